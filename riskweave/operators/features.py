@@ -46,20 +46,25 @@ def time_features(txns: DataFrame) -> DataFrame:
     )
 
 
-def hot_customers(txns: DataFrame, hot_rows: int = HOT_ROWS) -> list[int]:
-    """Ids of the customers too large for one window task; the list has at most ``MAX_HOT`` entries."""
+def hot_customers(txns: DataFrame, hot_rows: int = HOT_ROWS) -> dict[int, int]:
+    """Row counts of the customers too large for one window task; at most ``MAX_HOT`` entries."""
     counts = txns.groupBy(CUSTOMER).agg(F.count("*").alias("n")).filter(F.col("n") > hot_rows)
-    return [r[CUSTOMER] for r in counts.orderBy(F.col("n").desc()).limit(MAX_HOT).collect()]
+    return {r[CUSTOMER]: r["n"] for r in counts.orderBy(F.col("n").desc()).limit(MAX_HOT).collect()}
 
 
 def add_history(txns: DataFrame, columns: Sequence[str] = HISTORY, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Add the requested history columns; the running average is null where there is no earlier amount."""
+    """Add the requested history columns; the running average is null where there is no earlier amount.
+
+    Ids are taken to be unique, and rows to have an id, a customer and a time (``keyed_rows``).
+    """
     hot = hot_customers(txns, hot_rows)
     if not hot:
         return _whole_customers(txns, columns)
     listed = F.broadcast(txns.sparkSession.createDataFrame([(c,) for c in hot], f"{CUSTOMER} bigint"))
     usual = _whole_customers(txns.join(listed, CUSTOMER, "left_anti"), columns)
-    return usual.unionByName(_sliced_customers(txns.join(listed, CUSTOMER, "left_semi"), columns))
+    # as many slices as keep each near ``hot_rows`` rows
+    slices = sum(hot.values()) // hot_rows + 1
+    return usual.unionByName(_sliced_customers(txns.join(listed, CUSTOMER, "left_semi"), columns, slices))
 
 
 def _distance() -> Column:
@@ -109,7 +114,7 @@ def _whole_customers(txns: DataFrame, columns: Sequence[str]) -> DataFrame:
 # --- hot customers: slices of the order, carried totals -----------------------------------------
 
 
-def _sliced_customers(txns: DataFrame, columns: Sequence[str]) -> DataFrame:
+def _sliced_customers(txns: DataFrame, columns: Sequence[str], slices: int) -> DataFrame:
     rows = slice_by(
         txns.select(
             "*",
@@ -119,6 +124,7 @@ def _sliced_customers(txns: DataFrame, columns: Sequence[str]) -> DataFrame:
         CUSTOMER,
         TIME,
         ID,
+        slices=slices,
     )
     out = rows
     if "running_avg" in columns:
@@ -128,7 +134,7 @@ def _sliced_customers(txns: DataFrame, columns: Sequence[str]) -> DataFrame:
     if "new_device" in columns:
         out = _sliced_novelty(out, rows)
     if set(columns) & set(LOOKBACK):
-        out = _sliced_counts(out, rows)
+        out = _sliced_counts(out, rows, slices)
     return out.select(*txns.columns, *[c for c in HISTORY if c in columns])
 
 
@@ -164,12 +170,11 @@ def _sliced_novelty(out: DataFrame, rows: DataFrame) -> DataFrame:
     """Partial minima find each device's first row; joining on that row's own key is free of hot keys."""
     first = rows.groupBy(CUSTOMER, "device").agg(F.min(F.struct(TIME, ID)).alias("first"))
     marks = first.select(CUSTOMER, f"first.{TIME}", f"first.{ID}", F.lit(1).alias("new_device"))
-    return out.join(marks, [CUSTOMER, TIME, ID], "left").withColumn(
-        "new_device", F.coalesce("new_device", F.lit(0))
-    )
+    joined = out.join(marks.distinct(), [CUSTOMER, TIME, ID], "left")
+    return joined.withColumn("new_device", F.coalesce("new_device", F.lit(0)))
 
 
-def _sliced_counts(out: DataFrame, rows: DataFrame) -> DataFrame:
+def _sliced_counts(out: DataFrame, rows: DataFrame, slices: int) -> DataFrame:
     """Counts in [t - w, t) as a difference of running counts at t and at t - w.
 
     Rows are first summed per distinct time. Every distinct time asks three questions (offsets 0 h, 1 h,
@@ -182,7 +187,7 @@ def _sliced_counts(out: DataFrame, rows: DataFrame) -> DataFrame:
         own = F.col("n") if hours == 0 else F.lit(0).cast("long")
         marks.append(F.struct(at.alias("at"), own.alias("n"), F.lit(hours).alias("hours")))
     line = per_time.select(CUSTOMER, F.col(TIME).alias("asked"), F.explode(F.array(*marks)).alias("mark"))
-    sliced = slice_by(line.select(CUSTOMER, "asked", "mark.*"), CUSTOMER, "at")
+    sliced = slice_by(line.select(CUSTOMER, "asked", "mark.*"), CUSTOMER, "at", slices=slices)
     strictly_before = F.expr(
         f"sum(n) over (partition by {CUSTOMER}, {SLICE} order by at range between unbounded preceding"
         " and interval '0:00:00.000001' hour to second preceding)"

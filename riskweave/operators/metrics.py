@@ -34,9 +34,13 @@ def confusion_matrix(
 def precision_recall_f1(
     scored: DataFrame, by: Sequence[str] = (), threshold: float = DECISION_THRESHOLD
 ) -> DataFrame:
+    return _rates(confusion_matrix(scored, by, threshold), by)
+
+
+def _rates(counts: DataFrame, by: Sequence[str]) -> DataFrame:
     """Zero wherever the denominator is zero."""
     tp, fp, fn = F.col("true_positive"), F.col("false_positive"), F.col("false_negative")
-    return confusion_matrix(scored, by, threshold).select(
+    return counts.select(
         *by,
         ratio_or_zero(tp, tp + fp).alias("precision"),
         ratio_or_zero(tp, tp + fn).alias("recall"),
@@ -113,22 +117,24 @@ def _end(ranked: DataFrame, by: Sequence[str], **values: float) -> DataFrame:
 
 
 def compare_models(scored: DataFrame, threshold: float = DECISION_THRESHOLD) -> DataFrame:
-    """One row per ``model`` with precision, recall, F1, ROC area and average precision."""
+    """One row per ``model`` with precision, recall, F1, ROC area and average precision.
+
+    Everything is read off the per-score counts, so the models score their rows once.
+    """
     by = ["model"]
-    return (
-        precision_recall_f1(scored, by, threshold)
-        .join(areas(ranking(scored, by), by), by)
-        .select("model", *METRICS)
+    ranked = ranking(scored, by)
+    flagged = F.col(SCORE) >= threshold
+    counts = ranked.groupBy(*by).agg(
+        F.sum(F.when(flagged, F.col("pos")).otherwise(0)).alias("true_positive"),
+        F.sum(F.when(flagged, F.col("neg")).otherwise(0)).alias("false_positive"),
+        F.sum(F.when(~flagged, F.col("pos")).otherwise(0)).alias("false_negative"),
     )
+    return _rates(counts, by).join(areas(ranked, by), by).select("model", *METRICS)
 
 
-def stack_models(frames: dict[str, DataFrame], score: str = SCORE) -> DataFrame:
-    """Stack per-model (label, score) frames into one long frame with a ``model`` column."""
-    stacked = None
-    for name, frame in frames.items():
-        rows = frame.select(F.lit(name).alias("model"), LABEL, F.col(score).alias(SCORE))
-        stacked = rows if stacked is None else stacked.unionByName(rows)
-    return stacked
+def stack_scores(scored: DataFrame, models: Sequence[str]) -> DataFrame:
+    """Turn one score column per model into rows of (model, label, score)."""
+    return scored.select(LABEL, *models).unpivot([LABEL], list(models), "model", SCORE)
 
 
 def metrics_long(comparison: DataFrame) -> DataFrame:

@@ -21,9 +21,14 @@ from riskweave.session import cut_lineage
 SLICE = "slice_no"
 
 
-def slice_by(df: DataFrame, *keys: str | Column) -> DataFrame:
-    """Add ``slice_no``: ascending along ``keys``, with equal keys always in the same slice."""
-    return cut_lineage(df.repartitionByRange(*keys).withColumn(SLICE, F.spark_partition_id()))
+def slice_by(df: DataFrame, *keys: str | Column, slices: int | None = None) -> DataFrame:
+    """Add ``slice_no``: ascending along ``keys``, with equal keys always in the same slice.
+
+    Without a number of slices it is the session's shuffle partitions, which adaptive execution merges
+    where they are small.
+    """
+    ranged = df.repartitionByRange(*keys) if slices is None else df.repartitionByRange(slices, *keys)
+    return cut_lineage(ranged.withColumn(SLICE, F.spark_partition_id()))
 
 
 def add_earlier_totals(sliced: DataFrame, by: Sequence[str], sums: Sequence[str]) -> DataFrame:

@@ -263,9 +263,9 @@ _on_card("pr_curve", lambda s: metrics.pr_curve(metrics.ranking(s)))
 
 
 def _two_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    card = scorecard(spark, sf_dir)
-    amount_only = card.withColumn("score", F.least(F.lit(10000), card_points()) / F.lit(10000.0))
-    return metrics.compare_models(metrics.stack_models({"scorecard": card, "amount_only": amount_only}))
+    card = scorecard(spark, sf_dir).withColumnRenamed("score", "scorecard")
+    both = card.withColumn("amount_only", F.least(F.lit(10000), card_points()) / F.lit(10000.0))
+    return metrics.compare_models(metrics.stack_scores(both, ["scorecard", "amount_only"]))
 
 
 @register

@@ -241,7 +241,7 @@ def sql() -> dict[str, str]:
         select b.is_fraud, q1, median, q3,
           least(min(amount) filter (amount >= q1 - (q3 - q1) * 1.5), q1) as whisker_low,
           greatest(max(amount) filter (amount <= q3 + (q3 - q1) * 1.5), q3) as whisker_high
-        from t join b on t.is_fraud = b.is_fraud group by all)""",
+        from t join b on t.is_fraud = b.is_fraud group by 1, 2, 3, 4)""",
     )
     for key, name, column in (
         ("fraud_rate_hour_curve", "hour", "cast(extract(hour from transaction_time) as integer)"),

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskweave.operators.features import HOT_ROWS, build_features, median_amount
-from riskweave.operators.metrics import compare_models, stack_models
+from riskweave.operators.metrics import compare_models, stack_scores
 from riskweave.operators.models import BOOSTED, KINDS, RiskModel, train_models
 from riskweave.operators.scoring import PROBABILITY, scored_report, write_report
 from riskweave.operators.split import SPLIT, chronological_cuts, with_split
@@ -35,8 +35,11 @@ def part(features: DataFrame, name: str) -> DataFrame:
 
 
 def compare(models: Mapping[str, RiskModel], rows: DataFrame) -> DataFrame:
-    """Metrics of every model on the same rows."""
-    return compare_models(stack_models({k: m.score(rows) for k, m in models.items()}, PROBABILITY))
+    """Metrics of every model on the same rows, which are read once for all models."""
+    scored = rows
+    for name, model in models.items():
+        scored = model.score(scored).withColumnRenamed(PROBABILITY, name)
+    return compare_models(stack_scores(scored, list(models)))
 
 
 def write_comparison(comparison: DataFrame, path: str, fmt: str = "csv") -> None:
