@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from riskweave.functions.scalar import micros
+from riskweave.functions.scalar import MICROS_PER_DAY, micros
 from riskweave.session import cut_lineage
 
 SLICE = "slice_no"
@@ -101,8 +101,30 @@ def interpolated(placed: DataFrame, value: str, probabilities: dict[str, float],
     )
 
 
-def quantiles(df: DataFrame, value: str, probabilities: dict[str, float], by: Sequence[str] = ()) -> DataFrame:
-    return interpolated(placed_values(df, value, by), value, probabilities, by)
+# Up to this many distinct values, the counts per value fit one aggregation buffer.
+ONE_TASK_VALUES = 500_000
+
+
+def quantiles(
+    df: DataFrame,
+    value: str,
+    probabilities: dict[str, float],
+    by: Sequence[str] = (),
+    one_task_values: int = ONE_TASK_VALUES,
+) -> DataFrame:
+    """Exact quantiles with linear interpolation, one row per group.
+
+    Rows are first counted per distinct value. Few distinct values (checked with a sketch) go straight into
+    Spark's weighted percentile; many are ranked over slices.
+    """
+    present = df.filter(F.col(value).isNotNull())
+    distinct = present.agg(F.approx_count_distinct(F.struct(*by, value)).alias("n")).first()["n"]
+    if distinct > one_task_values:
+        return interpolated(placed_values(present, value, by), value, probabilities, by)
+    counts = present.groupBy(*by, value).agg(F.count("*").alias("n"))
+    points = F.percentile(value, [float(p) for p in probabilities.values()], F.col("n")).alias("points")
+    found = counts.groupBy(*by).agg(points)
+    return found.select(*by, *[F.get("points", F.lit(i)).alias(name) for i, name in enumerate(probabilities)])
 
 
 # --- order statistics on (time, id) --------------------------------------------------------------
@@ -111,9 +133,17 @@ BINS = 4096
 FINISH_ROWS = 200_000
 
 
+def span(df: DataFrame, time: str = "transaction_time") -> tuple[int, int | None, int | None]:
+    """Row count and the first and last microsecond, in one aggregation."""
+    us = micros(F.col(time))
+    row = df.agg(F.count("*").alias("n"), F.min(us).alias("low"), F.max(us).alias("high")).first()
+    return row["n"], row["low"], row["high"]
+
+
 def keys_at_ranks(
     df: DataFrame,
     ranks: Sequence[int],
+    bounds: tuple[int, int],
     time: str = "transaction_time",
     tie: str = "transaction_id",
     finish_rows: int = FINISH_ROWS,
@@ -121,41 +151,48 @@ def keys_at_ranks(
     """The (time, tie) keys at the given 0-based ranks of the order by ``time, tie``.
 
     No row moves: each round counts rows per equal-width time bin (at most ``BINS`` counts come back)
-    and narrows to the bin holding the rank, a filter that reaches the scan. A bin of at most
-    ``finish_rows`` rows is ranked directly; one instant with more rows than that is ranked over slices.
+    and narrows to the bins holding the ranks, a filter that reaches the scan. Bins of at most
+    ``finish_rows`` rows are ranked directly; one instant with more rows than that is ranked over slices.
     """
     keys = df.select(F.col(time).alias("t"), F.col(tie).alias("id"))
-    ends = keys.agg(F.min(micros(F.col("t"))).alias("low"), F.max(micros(F.col("t"))).alias("high")).first()
     found: dict[int, tuple[str, str]] = {}
-    # (first microsecond, last microsecond, rows before it, row count if known, ranks inside it)
-    pending = [(ends["low"], ends["high"], 0, None, sorted(set(ranks)))] if ranks else []
+    small: list[tuple[int, int, int, list[int]]] = []
+    # (first microsecond, last microsecond, rows before it, ranks inside it)
+    pending = [(*bounds, 0, sorted(set(ranks)))] if ranks else []
     while pending:
-        low, high, before, size, wanted = pending.pop()
-        inside = keys.filter(F.col("t").between(_instant(low), _instant(high)))
-        if size is not None and (size <= finish_rows or low == high):
-            found.update(_rank_inside(inside, before, wanted, size <= finish_rows))
-            continue
+        low, high, before, wanted = pending.pop()
         width = (high - low) // BINS + 1
         offset = micros(F.col("t")) - F.lit(low)
         counts = (
-            inside.groupBy(((offset - offset % F.lit(width)) / F.lit(width)).cast("long").alias("bin"))
+            keys.filter(_between(low, high))
+            .groupBy(((offset - offset % F.lit(width)) / F.lit(width)).cast("long").alias("bin"))
             .agg(F.count("*").alias("n"))
             .orderBy("bin")
             .collect()
         )
-        start = before
         for row in counts:
-            here = [r for r in wanted if start <= r < start + row["n"]]
-            if here:
-                first = low + row["bin"] * width
-                pending.append((first, min(first + width - 1, high), start, row["n"], here))
-            start += row["n"]
+            here = [r for r in wanted if before <= r < before + row["n"]]
+            first = low + row["bin"] * width
+            last = min(first + width - 1, high)
+            if here and row["n"] <= finish_rows:
+                small.append((first, last, before, here))
+            elif here and first == last:
+                found.update(_keys_in_instant(keys.filter(_between(first, last)), before, here))
+            elif here:
+                pending.append((first, last, before, here))
+            before += row["n"]
+    if small:
+        found.update(_keys_in_small_bins(keys, small))
     return found
 
 
+def _between(first: int, last: int) -> Column:
+    return F.col("t").between(_instant(first), _instant(last))
+
+
 def _instant(us: int) -> Column:
     """Zone-less timestamp literal; the optimiser folds it, so the comparison still reaches the scan."""
-    days, rest = divmod(us, 86_400_000_000)
+    days, rest = divmod(us, MICROS_PER_DAY)
     seconds, fraction = divmod(rest, 1_000_000)
     return F.expr(
         f"cast(date_from_unix_date({days}) as timestamp_ntz)"
@@ -163,19 +200,28 @@ def _instant(us: int) -> Column:
     )
 
 
-def _rank_inside(rows: DataFrame, before: int, wanted: list[int], small: bool) -> dict[int, tuple[str, str]]:
-    offsets = [r - before for r in wanted]
-    if small:
-        ranked = rows.withColumn("rank", F.row_number().over(W.orderBy("t", "id")) - 1)
-        hits = ranked.filter(F.col("rank").isin(offsets))
-    else:
-        per_id = rows.groupBy("t", "id").agg(F.count("*").alias("n"))
-        ranked = running_totals(per_id, "id", ["n"])
-        at = F.explode(F.array(*[F.lit(o).cast("long") for o in offsets]))
-        hits = ranked.withColumn("rank", at).filter(
-            (F.col("before_n") <= F.col("rank")) & (F.col("rank") < F.col("before_n") + F.col("n"))
-        )
-    return {
-        before + r["rank"]: (r["t"], r["id"])
-        for r in hits.select(F.col("t").cast("string").alias("t"), "id", "rank").collect()
-    }
+def _keys_in_small_bins(
+    keys: DataFrame, bins: Sequence[tuple[int, int, int, list[int]]]
+) -> dict[int, tuple[str, str]]:
+    """Rank the rows of a few bins of checked size, one window partition per bin."""
+    start, inside = F.lit(None).cast("long"), F.lit(False)
+    for first, last, before, _ in bins:
+        start = F.when(_between(first, last), F.lit(before)).otherwise(start)
+        inside = inside | _between(first, last)
+    in_bin = W.partitionBy("start").orderBy("t", "id")
+    ranked = keys.filter(inside).withColumn("start", start)
+    ranked = ranked.withColumn("rank", F.col("start") + F.row_number().over(in_bin) - 1)
+    return _collect_keys(ranked.filter(F.col("rank").isin([r for *_, here in bins for r in here])))
+
+
+def _keys_in_instant(rows: DataFrame, before: int, wanted: Sequence[int]) -> dict[int, tuple[str, str]]:
+    per_id = rows.groupBy("t", "id").agg(F.count("*").alias("n"))
+    first = F.col("before_n") + F.lit(before)
+    each = F.explode(F.array(*[F.lit(r).cast("long") for r in wanted]))
+    placed = running_totals(per_id, "id", ["n"]).withColumn("rank", each)
+    return _collect_keys(placed.filter((first <= F.col("rank")) & (F.col("rank") < first + F.col("n"))))
+
+
+def _collect_keys(hits: DataFrame) -> dict[int, tuple[str, str]]:
+    rows = hits.select("rank", F.col("t").cast("string").alias("t"), "id").collect()
+    return {r["rank"]: (r["t"], r["id"]) for r in rows}

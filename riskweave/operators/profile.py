@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskweave.operators.ordered import interpolated, placed_values, quantiles
+from riskweave.operators.ordered import quantiles
 from riskweave.schema import LABEL
 
 QUARTILES = {"q1": 0.25, "median": 0.5, "q3": 0.75}
@@ -54,10 +54,9 @@ def amount_by_class(txns: DataFrame) -> DataFrame:
 
 def boxplot_amount(txns: DataFrame) -> DataFrame:
     """Quartiles and whiskers per class; a whisker is the outermost value within 1.5 box heights."""
-    placed = placed_values(txns.filter(F.col(LABEL).isNotNull()), "amount", [LABEL])
-    box = interpolated(placed, "amount", QUARTILES, [LABEL])
+    amounts = txns.filter(F.col(LABEL).isNotNull()).select(LABEL, "amount")
     # one row per class
-    fenced = placed.select(LABEL, "amount").join(F.broadcast(box), LABEL)
+    fenced = amounts.join(F.broadcast(quantiles(amounts, "amount", QUARTILES, [LABEL])), LABEL)
     reach = (F.col("q3") - F.col("q1")) * 1.5
     amount = F.col("amount")
     return fenced.groupBy(LABEL, "q1", "median", "q3").agg(

@@ -30,24 +30,18 @@ def risk_score(probability: Column) -> Column:
 
 def risk_level(probability: Column, medium_from: float = MEDIUM_FROM, high_from: float = HIGH_FROM) -> Column:
     """Level of the unrounded probability; a missing probability has no level."""
-    known = probability.isNotNull() & ~F.isnan(probability)
-    return (
-        F.when(known & (probability >= high_from), "HIGH")
-        .when(known & (probability >= medium_from), "MEDIUM")
-        .when(known, "LOW")
-    )
+    known = F.nanvl(probability, F.lit(None).cast("double"))
+    return F.when(known >= high_from, "HIGH").when(known >= medium_from, "MEDIUM").when(known < medium_from, "LOW")
 
 
 def recommended_action(level: Column) -> Column:
-    action = F.lit(None).cast("string")
-    for name, text in ACTIONS.items():
-        action = F.when(level == name, text).otherwise(action)
-    return action
+    pairs = [F.lit(text) for pair in ACTIONS.items() for text in pair]
+    return F.try_element_at(F.create_map(*pairs), level)
 
 
 def with_risk(df: DataFrame, medium_from: float = MEDIUM_FROM, high_from: float = HIGH_FROM) -> DataFrame:
     """Add ``risk_score``, ``risk_level`` and ``recommended_action`` to a frame with probabilities."""
-    probability = F.when(~F.isnan(PROBABILITY), F.col(PROBABILITY))
+    probability = F.nanvl(F.col(PROBABILITY), F.lit(None).cast("double"))
     return (
         df.withColumn("risk_score", risk_score(probability))
         .withColumn("risk_level", risk_level(probability, medium_from, high_from))

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskweave.operators.ordered import FINISH_ROWS, keys_at_ranks
+from riskweave.operators.ordered import FINISH_ROWS, keys_at_ranks, span
 from riskweave.schema import LABEL, TRAIN_SHARE, VALIDATION_SHARE
 
 SPLIT = "split"
@@ -40,9 +40,9 @@ def chronological_cuts(
     finish_rows: int = FINISH_ROWS,
 ) -> Cuts:
     """Exact cut keys: the rows at positions ``int(n * train)`` and ``int(n * (train + validation))``."""
-    n = txns.count()
+    n, low, high = span(txns)
     ends = [int(n * train), int(n * (train + validation))]
-    keys = keys_at_ranks(txns, [e for e in ends if e < n], finish_rows=finish_rows)
+    keys = keys_at_ranks(txns, [e for e in ends if e < n], (low, high), finish_rows=finish_rows)
     return Cuts(keys.get(ends[0]), keys.get(ends[1]))
 
 
