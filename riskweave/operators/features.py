@@ -20,7 +20,6 @@ from pyspark.sql import functions as F
 from riskweave.functions.scalar import day_of_week, is_night, is_weekend
 from riskweave.operators.ordered import SLICE, add_earlier_totals, quantiles, slice_by
 from riskweave.schema import RATIO_EPSILON
-from riskweave.session import cut_lineage
 
 # A customer above HOT_ROWS is sliced. At most MAX_HOT customers are listed (the largest ones), which
 # bounds the broadcast list; any beyond it are smaller than 1/MAX_HOT of the table and stay whole.
@@ -180,7 +179,7 @@ def _sliced_counts(out: DataFrame, rows: DataFrame, slices: int) -> DataFrame:
     Rows are first summed per distinct time. Every distinct time asks three questions (offsets 0 h, 1 h,
     24 h), each placed on the customer's time line next to the counts; one running total answers all.
     """
-    per_time = cut_lineage(rows.groupBy(CUSTOMER, TIME).agg(F.sum("amount_count").alias("n")))
+    per_time = rows.groupBy(CUSTOMER, TIME).agg(F.sum("amount_count").alias("n"))
     marks = []
     for hours in (0, *LOOKBACK.values()):
         at = F.col(TIME) - F.expr(f"interval '{hours}' hour")

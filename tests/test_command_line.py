@@ -1,0 +1,45 @@
+import json
+
+import pytest
+
+from riskweave import __main__ as cli
+from riskweave.operators import models
+from riskweave.sources.events import requests_from_events, transactions_from_events
+from riskweave.sources.transactions import write_csv
+
+EVENTS = "/root/testdata/sf0.001/events.parquet"
+
+
+def test_all_stages(spark, tmp_path, monkeypatch):
+    small = {models.LOGISTIC: {"maxIter": 20}, models.FOREST: {"numTrees": 3, "maxDepth": 3}, models.BOOSTED: {"maxIter": 2, "maxDepth": 3}}
+    for kind, change in small.items():
+        monkeypatch.setitem(models.SETTINGS, kind, {**models.SETTINGS[kind], **change})
+    events, out = spark.read.parquet(EVENTS), str(tmp_path / "out")
+    table = str(tmp_path / "transactions.csv")
+    write_csv(transactions_from_events(events), table)
+    requests_from_events(events).write.json(str(tmp_path / "requests"))
+
+    cli.main(["reports", "--transactions", table, "--out", out])
+    cli.main(["profile", "--transactions", table, "--out", out])
+    cli.main(["train", "--transactions", table, "--out", out])
+    cli.main(["explain", "--out", out])
+    cli.main(["monitor", "--out", out, "--levels", "LOW", "MEDIUM", "HIGH"])
+    cli.main(["score", "--requests", str(tmp_path / "requests"), "--out", out, "--model", models.FOREST])
+
+    def csv(path):
+        return spark.read.option("header", True).csv(f"{out}/{path}")
+
+    assert csv("reports/total_transactions").first()["total"] == "1000"
+    assert csv("profile/describe_amount").count() == 8
+    assert csv("explain/riskiest").count() == 8
+    assert csv("monitor/transactions").count() == 150
+    assert csv("monitor/metrics").count() == 15
+    answers, rejects = spark.read.parquet(f"{out}/responses"), spark.read.parquet(f"{out}/rejected")
+    assert answers.count() == 1000
+    assert answers.filter("risk_level is null").count() == rejects.count() > 0
+    assert json.loads(answers.filter("risk_level is not null").toJSON().first())["recommended_action"]
+
+
+def test_missing_input_is_refused():
+    with pytest.raises(SystemExit):
+        cli.main(["reports", "--out", "x"])

@@ -157,19 +157,18 @@ def test_attributions_are_shapley_values(fitted):
         assert r["base_value"] == pytest.approx(base)
 
 
-def test_tabulated_and_direct_parts_agree(monkeypatch):
+def test_tabulated_and_direct_parts_agree():
     rng = np.random.default_rng(3)
-    shape = (17, 5)
-    low = rng.normal(size=shape) - 1
-    leaves = x.Leaves(rng.integers(0, 6, shape), low, low + rng.random(shape) * 3, rng.random(shape) * 0.9 + 0.05, rng.normal(size=17), 0.0, 6)
-    # a box names each feature once
-    leaves.feature[:] = np.argsort(rng.random((17, 6)), axis=1)[:, :5]
+    boxes = []
+    for _ in range(17):
+        low = rng.normal(size=5) - 1
+        named = tuple(int(f) for f in rng.permutation(6)[:5])
+        boxes.append(x.Leaf(named, tuple(low), tuple(low + 3 * rng.random(5)), rng.random(5) * 0.9 + 0.05, rng.normal()))
+    leaves = x.Leaves([*boxes, x.Leaf((), (), (), np.array([]), 2.0)], 0.0, 6)
     rows = rng.normal(size=(100, 6))
-    looked_up = x.attribute(leaves, rows)
-    monkeypatch.setattr(x, "MAX_PATTERN_DEPTH", 0)
-    assert x.attribute(leaves, rows) == pytest.approx(looked_up, abs=1e-12)
-    monkeypatch.setattr(x, "BLOCK_CELLS", 1)
-    assert x.attribute(leaves, rows) == pytest.approx(looked_up, abs=1e-12)
+    # 100 rows exceed the 32 patterns of five slots, single rows do not
+    one_by_one = np.concatenate([x.attribute(leaves, rows[i : i + 1]) for i in range(100)])
+    assert x.attribute(leaves, rows) == pytest.approx(one_by_one, abs=1e-12)
 
 
 def test_importance_and_explanation(fitted):
