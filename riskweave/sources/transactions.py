@@ -13,8 +13,13 @@ CSV_TIME_OUT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType = TRANSACTIONS) -> DataFrame:
-    """CSV with a header, read against a fixed schema: no inference pass over the data."""
-    return spark.read.schema(schema).option("header", True).csv(path)
+    """CSV with a header, read against a fixed schema: no inference pass over the data.
+
+    A number written as NaN is a missing value, like an empty field.
+    """
+    rows = spark.read.schema(schema).option("header", True).csv(path)
+    numbers = [f.name for f in schema if isinstance(f.dataType, T.DoubleType)]
+    return rows.withColumns({n: F.nanvl(n, F.lit(None).cast("double")) for n in numbers})
 
 
 def write_csv(df: DataFrame, path: str) -> None:

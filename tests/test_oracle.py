@@ -20,10 +20,14 @@ def test_sql_only_for_registered_queries():
 
 @pytest.mark.parametrize("name", sorted(contract.queries()))
 def test_query(spark, duck, name):
-    rows = contract.queries()[name](spark, SMALL_DIR).toPandas()
+    query = contract.queries()[name](spark, SMALL_DIR)
+    rows = query.toPandas()
     assert len(rows.columns) and len(rows)
     if name in SQL:
         assert difference(rows, duck.sql(SQL[name]).df()) is None
+        # what SQL can express stays in the JVM
+        plan = query._jdf.queryExecution().executedPlan().toString()
+        assert "Python" not in plan and "Pandas" not in plan
 
 
 def test_entry(spark):

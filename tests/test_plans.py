@@ -53,13 +53,6 @@ def test_split_search_pushes_its_time_filter(spark, table):
     assert "GreaterThanOrEqual(transaction_time,2023-11-14T22:13:20)" in text
 
 
-# every query that is plain SQL work stays in the JVM
-@pytest.mark.parametrize("name", sorted(contract.oracle_sql()))
-def test_no_python_in_sql_queries(spark, name):
-    text = plan(contract.queries()[name](spark, SMALL))
-    assert "Python" not in text and "Pandas" not in text
-
-
 def test_no_single_task_window_over_rows(spark, table):
     for df in (features.build_features(table), with_split(table), scoring.by_risk(contract.queries()["risk_scoring"](spark, SMALL))):
         assert "SinglePartition" not in plan(df)

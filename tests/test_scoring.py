@@ -1,6 +1,7 @@
 import math
 
 import pytest
+from pyspark.sql import functions as F
 
 from riskweave.operators import requests as rq
 from riskweave.operators import scoring as s
@@ -47,6 +48,16 @@ def test_views(spark):
     assert s.riskiest_row(report).first()["transaction_id"] == "T3"
 
 
+def test_report_sink_is_sorted_across_files(spark, tmp_path):
+    report = _report(spark, [i * 37 % 101 / 101 for i in range(400)])
+    s.write_report(report, str(tmp_path / "r"), "csv")
+    back = spark.read.option("header", True).schema(report.schema).csv(str(tmp_path / "r"))
+    parts = back.withColumn("file", F.input_file_name()).withColumn("at", F.monotonically_increasing_id())
+    rows = parts.orderBy("file", "at").collect()
+    assert len(rows) == 400
+    assert [r["risk_score"] for r in rows] == sorted((r["risk_score"] for r in rows), reverse=True)
+
+
 def test_own_thresholds(spark):
     df = _report(spark, [0.2]).select("fraud_probability")
     assert s.with_risk(df, medium_from=0.1, high_from=0.2).first()["risk_level"] == "HIGH"

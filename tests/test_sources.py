@@ -24,11 +24,13 @@ def test_csv_with_space_between_date_and_time(spark, tmp_path):
         ",".join(TRANSACTIONS.fieldNames())
         + "\nTXN100000,10001,12.5,2025-01-02 03:04:05,grocery,upi,web_chrome,10.1234,70.5678,0\n"
         + "TXN100001,,12.5,2025-01-02 03:04:05,,,,,,1\n"
+        + "TXN100002,10001,NaN,2025-01-02 03:04:06,,,,,,1\n"
     )
     df = src.read_csv(spark, str(file))
     assert df.filter("transaction_id = 'TXN100000'").first()["transaction_time"] == dt.datetime(2025, 1, 2, 3, 4, 5)
     assert [r["transaction_id"] for r in src.rejected_rows(df).collect()] == ["TXN100001"]
-    assert src.keyed_rows(df).count() == 1
+    assert src.keyed_rows(df).count() == 2
+    assert df.filter("amount is null").first()["transaction_id"] == "TXN100002"
 
 
 def test_load_table_replaces(spark, make):
