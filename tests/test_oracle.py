@@ -4,9 +4,10 @@ import pytest
 from conftest import SMALL_DIR
 
 import __spark_entry__ as contract
+from riskweave.plans import catalog, oracle
 from tools.compare import connect, difference
 
-SQL = contract.oracle_sql()
+SQL = oracle.sql()
 
 
 @pytest.fixture(scope="module")
@@ -15,10 +16,10 @@ def duck():
 
 
 def test_sql_only_for_registered_queries():
-    assert set(SQL) <= set(contract.queries())
+    assert set(contract.oracle_sql()) <= set(contract.queries())
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted(catalog.QUERIES))
 def test_query(spark, duck, name):
     query = contract.queries()[name](spark, SMALL_DIR)
     rows = query.toPandas()
