@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskweave.llm import jaccard_join
+from riskweave.llm import decontaminate, jaccard_join, toxicity
 from riskweave.llm.tables import table
 
 WORDS_SQL = r"""regexp_extract_all({text}, '[^\x20\x09-\x0D]+')"""
@@ -20,7 +20,7 @@ OP5_SQL = f"""
 with recursive w as (select doc_id, {WORDS_SQL.format(text=LOWER_SQL)} as w from documents),
 s as (
   select distinct doc_id, unnest(case
-    when len(w) >= 3 then list_transform(range(1, len(w) - 1), i -> w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])
+    when len(w) >= 3 then list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])
     when len(w) > 0 then [array_to_string(w, ' ')] else [] end) as shingle
   from w),
 n as (select doc_id, count(*) as n from s group by doc_id),
@@ -36,8 +36,20 @@ select w.doc_id, coalesce(n.n, 0) as n_shingles, least(w.doc_id, coalesce(r.low,
 from w left join n using (doc_id) left join (select a as doc_id, min(b) as low from reach group by a) r using (doc_id)
 """
 
+def op4_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents that hold a benchmark item: one row per document and item."""
+    return decontaminate.contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """Toxicity score of every document, learned from the labels outside the held-out fifth."""
+    return toxicity.predict(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 QUERIES = {
+    "op4_decontaminate": op4_decontaminate,
     "op5_jaccard_join": op5_jaccard_join,
+    "op10_toxicity": op10_toxicity,
 }
 
 
