@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from riskweave.llm import decontaminate, jaccard_join, toxicity
+from riskweave.llm import decontaminate, jaccard_join, mixing, sharding, toxicity
 from riskweave.llm.tables import table
 
 WORDS_SQL = r"""regexp_extract_all({text}, '[^\x20\x09-\x0D]+')"""
@@ -36,22 +37,63 @@ select w.doc_id, coalesce(n.n, 0) as n_shingles, least(w.doc_id, coalesce(r.low,
 from w left join n using (doc_id) left join (select a as doc_id, min(b) as low from reach group by a) r using (doc_id)
 """
 
+def op3_hilbert_shards(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document's shard and slot, by equal bytes along the curve."""
+    law, grown = F.lit("bytes").alias("law"), F.lit(None).cast("int").alias("grown_shard")
+    return sharding.assign(table(spark, folder, "documents")).select("*", law, grown)
+
+
 def op4_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     """Documents that hold a benchmark item: one row per document and item."""
     return decontaminate.contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
+def op6_mix(spark: SparkSession, folder: str) -> DataFrame:
+    """How many words the mix takes of every document."""
+    return mixing.mix(table(spark, folder, "documents"))
+
+
+# What a source gives is the beginning of its repeated, shuffled stream, up to its quota.
+OP6_SQL = f"""
+with d as (
+  select doc_id, source, len({WORDS_SQL.format(text="coalesce(text, '')")}) as size, md5(coalesce(doc_id::varchar, '')) as place
+  from documents),
+s as (
+  select source, sum(size)::bigint as source_size, 1 + (row_number() over (order by source nulls last) - 1) % 3 as weight
+  from d group by source),
+f as (
+  select *, (sum(source_size) over ())::bigint as total, (3 * source_size)::double / weight as full_at,
+    coalesce(sum(3 * source_size) over (order by (3 * source_size)::double / weight, source nulls last
+      rows between unbounded preceding and 1 preceding), 0)::bigint as filled,
+    (sum(weight) over (order by (3 * source_size)::double / weight, source nulls last
+      rows between current row and unbounded following))::bigint as open_weight
+  from s),
+l as (select max((total - filled)::double / open_weight) as level from f where (total - filled)::double / open_weight <= full_at),
+t as (select source, source_size, least(3 * source_size, coalesce(level, 0) * weight)::double as target from f, l),
+p as (
+  select d.*, coalesce(sum(size) over (partition by source order by place, size rows between unbounded preceding and 1 preceding), 0)
+    as start
+  from d)
+select p.doc_id, p.source, p.size, t.source_size, t.target,
+  (select sum(least(start + size + e * source_size, round(target)) - least(start + e * source_size, round(target)))
+   from range(3) r(e))::bigint as taken
+from p join t on p.source is not distinct from t.source
+"""
+
+
 def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     """Toxicity score of every document, learned from the labels outside the held-out fifth."""
     return toxicity.predict(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
 QUERIES = {
+    "op3_hilbert_shards": op3_hilbert_shards,
     "op4_decontaminate": op4_decontaminate,
     "op5_jaccard_join": op5_jaccard_join,
+    "op6_mix": op6_mix,
     "op10_toxicity": op10_toxicity,
 }
 
 
 def sql() -> dict[str, str]:
-    return {"op5_jaccard_join": OP5_SQL}
+    return {"op5_jaccard_join": OP5_SQL, "op6_mix": OP6_SQL}
