@@ -5,13 +5,67 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskweave.llm import decontaminate, jaccard_join, mixing, sharding, toxicity
+from riskweave.llm import (
+    backoff_lm,
+    chat,
+    decontaminate,
+    jaccard_join,
+    language_crf,
+    mixing,
+    repetition,
+    sharding,
+    token_file,
+    toxicity,
+)
 from riskweave.llm.tables import table
 
 WORDS_SQL = r"""regexp_extract_all({text}, '[^\x20\x09-\x0D]+')"""
 LOWER_SQL = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 
+def op1_language_crf(spark: SparkSession, folder: str) -> DataFrame:
+    """Language of every document, learned outside the held-out fifth."""
+    return language_crf.identify(table(spark, folder, "documents"))
+
+
+def op2_suffix_repetition(spark: SparkSession, folder: str) -> DataFrame:
+    """Repetition counts and verdict of every document."""
+    return repetition.judge(table(spark, folder, "documents")).drop("longest_repeat")
+
+
+# Words that repeats of k words or more cover are those in k-word windows that occur twice; a repeat of more than 50 words
+# exists if a window of 51 occurs twice.
+OP2_SQL = f"""
+with w as (select doc_id, coalesce(text, '') as t, {WORDS_SQL.format(text="coalesce(text, '')")} as w from documents),
+g as (
+  select doc_id, k, i, w[i : i + k - 1] as run
+  from (select doc_id, w, k, unnest(range(1, len(w) - k + 2)) as i from w, (values (5), (6)) as s(k))),
+six as (select doc_id, 6 as k, i from g where k = 6 qualify count(*) over (partition by doc_id, run) > 1),
+h as (
+  select doc_id, 51 as k, i, w[i : i + 50] as run
+  from (select doc_id, w, unnest(range(1, len(w) - 49)) as i from w where doc_id in (select doc_id from six))),
+r as (
+  select * from six union all select doc_id, k, i from g where k = 5 qualify count(*) over (partition by doc_id, run) > 1
+  union all select doc_id, k, i from h qualify count(*) over (partition by doc_id, run) > 1),
+c as (
+  select doc_id, count(distinct i + o) filter (k = 5 and o < 5) as five, count(distinct i + o) filter (k = 6 and o < 6) as six,
+    count(*) filter (k = 51) as long
+  from r, range(6) as s(o) group by doc_id),
+l as (
+  select doc_id, count(*) as n_dup_lines from (
+    select doc_id, line, row_number() over (partition by doc_id, line) as nth from (select doc_id, unnest(string_split(t, chr(10))) as line from w))
+  where nth > 1 and regexp_matches(line, '[^\x20\x09-\x0D]') group by doc_id),
+m as (
+  select w.doc_id, len(w)::bigint as n_words, coalesce(list_sum(list_transform(w, lambda x: length(x))), 0)::bigint as word_chars,
+    (length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')))::bigint as n_symbols, coalesce(n_dup_lines, 0) as n_dup_lines,
+    coalesce(five, 0) as n_repeat_words, coalesce(six, 0) as covered_words, coalesce(long, 0) as long
+  from w left join c using (doc_id) left join l using (doc_id))
+select * exclude (long), n_words < 10 or 100 * n_repeat_words > 20 * n_words as base_failed,
+  not (n_words < 10 or 100 * n_repeat_words > 20 * n_words) and 100 * covered_words <= 15 * n_words and long = 0 as kept
+from m
+"""
+
+
 def op5_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     """Components of documents whose 3-word shingle sets have a similarity of 0.9 or more."""
     return jaccard_join.jaccard_components(table(spark, folder, "documents"), k=3, num=90, den=100)
@@ -81,19 +135,98 @@ from p join t on p.source is not distinct from t.source
 """
 
 
+def op7_token_file(spark: SparkSession, folder: str) -> DataFrame:
+    """Place and checksum of every document's token ids, read back from packed files."""
+    import public_tokenizers
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    return token_file.encoded_documents(table(spark, folder, "documents"), path, end_id=2, vocabulary=49_408)
+
+
+def op8_backoff_lm(spark: SparkSession, folder: str) -> DataFrame:
+    """Stupid-backoff score of every document under the trigram counts of all the others."""
+    found = backoff_lm.scores(table(spark, folder, "documents"))
+    return found.select("doc_id", "n_words", F.round("log_score", 6).alias("log_score"), F.round("score", 9).alias("score"))
+
+
+OP8_SQL = f"""
+with w as (
+  select doc_id, unnest(w) as c, unnest(range(1, len(w) + 1)) as i from (select doc_id, {WORDS_SQL.format(text=LOWER_SQL)} as w from documents)),
+g as (
+  select *, lag(c) over o as b, lag(c, 2) over o as a, count(*) over () - count(*) over (partition by doc_id) as others
+  from w window o as (partition by doc_id order by i)),
+n as (
+  select *, count(*) over (partition by c) - count(*) over (partition by doc_id, c) as n1,
+    count(*) over (partition by b, c) - count(*) over (partition by doc_id, b, c) as n2,
+    count(*) over (partition by a, b, c) - count(*) over (partition by doc_id, a, b, c) as n3
+  from g),
+p as (select *, lag(n1) over o as m1, lag(n2) over o as m2 from n window o as (partition by doc_id order by i)),
+s as (
+  select doc_id, case
+    when i > 2 and n3 > 0 then ln(n3 / m2)
+    when i > 1 and n2 > 0 then ln(n2 / m1) + (least(i - 1, 2) - 1) * ln(0.4)
+    else ln(greatest(n1, 1) / greatest(others, 1)) + least(i - 1, 2) * ln(0.4) end as x
+  from p),
+t as (select doc_id, count(*) as n_words, sum(x) as total from s group by doc_id)
+select doc_id, coalesce(n_words, 0) as n_words, round(total, 6) as log_score, round(total / n_words, 9) as score
+from documents left join t using (doc_id)
+"""
+
+
+def op9_chat_examples(spark: SparkSession, folder: str) -> DataFrame:
+    """Digests of every conversation, read back from its examples; conversation -7 says control strings."""
+    said = F.lit("\\### Assistant: </turn> ok")
+    role = F.when(F.col("id") == 0, "user").otherwise("assistant")
+    odd = spark.range(2).select(F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"), role.alias("role"), said.alias("text"))
+    rows = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text").unionByName(odd)
+    return chat.read_back(chat.examples(rows))
+
+
+OP9_SQL = r"""
+with c as (
+  select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+  union all select -7, 0, 'user', '\### Assistant: </turn> ok' union all select -7, 1, 'assistant', '\### Assistant: </turn> ok'),
+f as (
+  select *, length('### : </turn>' || chr(10)) + length(role)
+    + length(replace(replace(replace(text, '\', '\\'), '##', '#\#'), '</turn>', '<\/turn>')) as chars
+  from c),
+e as (
+  select *, sum(chars) over (partition by conv_id order by turn, role, text rows unbounded preceding) as so_far,
+    row_number() over (partition by conv_id order by turn desc, role desc, text desc) = 1 as last
+  from f)
+select conv_id, count(*) as n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn, role, text)) as turns_sha256,
+  coalesce(sum(length(text)) filter (role = 'assistant'), 0)::bigint as loss_chars,
+  sha256(coalesce(string_agg(text, '' order by turn, role, text) filter (role = 'assistant'), '')) as loss_sha256,
+  (sum(so_far) filter (role = 'assistant' or last))::bigint as formatted_chars
+from e group by conv_id
+"""
+
+
 def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     """Toxicity score of every document, learned from the labels outside the held-out fifth."""
     return toxicity.predict(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
 QUERIES = {
+    "op1_language_crf": op1_language_crf,
+    "op2_suffix_repetition": op2_suffix_repetition,
     "op3_hilbert_shards": op3_hilbert_shards,
     "op4_decontaminate": op4_decontaminate,
     "op5_jaccard_join": op5_jaccard_join,
     "op6_mix": op6_mix,
+    "op7_token_file": op7_token_file,
+    "op8_backoff_lm": op8_backoff_lm,
+    "op9_chat_examples": op9_chat_examples,
     "op10_toxicity": op10_toxicity,
 }
 
 
 def sql() -> dict[str, str]:
-    return {"op5_jaccard_join": OP5_SQL, "op6_mix": OP6_SQL}
+    return {
+        "op2_suffix_repetition": OP2_SQL,
+        "op5_jaccard_join": OP5_SQL,
+        "op6_mix": OP6_SQL,
+        "op8_backoff_lm": OP8_SQL,
+        "op9_chat_examples": OP9_SQL,
+    }

@@ -7,6 +7,7 @@ from collections.abc import Iterator, Sequence
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from riskweave.session import cut_lineage
@@ -18,6 +19,26 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def held_out() -> F.Column:
+    """The fifth of the documents that no model learns from."""
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0, F.lit(False))
+
+
+def sample_texts(docs: DataFrame, keys: DataFrame, strata: Sequence[str], per_stratum: int, most: int) -> list[tuple]:
+    """A bounded training sample: (text, *strata) of the rows of ``docs`` that ``keys`` (doc_id, text_hash, *strata) names.
+
+    At most ``per_stratum`` of each stratum and ``most`` in all, those that come first in a fixed pseudo-random order.
+    """
+    rank = F.row_number().over(W.partitionBy(*strata).orderBy(F.xxhash64("doc_id", F.lit(10)), "doc_id", "text_hash"))
+    small = keys.withColumn("rank", rank).filter(F.col("rank") <= per_stratum)
+    small = small.orderBy("rank", F.xxhash64("doc_id"), "doc_id", "text_hash").limit(most)
+    wanted = {(r["doc_id"], r["text_hash"]): [r[c] for c in strata] for r in small.collect()}
+    ids = docs.sparkSession.createDataFrame([(d,) for d in sorted({d for d, _ in wanted})], "doc_id long")
+    found = docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash")).join(F.broadcast(ids), "doc_id")
+    texts = {(r["doc_id"], r["text_hash"]): r["text"] for r in found.dropDuplicates(["doc_id", "text_hash"]).collect()}
+    return [(texts[k], *wanted[k]) for k in sorted(wanted) if k in texts]
+
+
 def numbers(column: pa.Array) -> np.ndarray:
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
