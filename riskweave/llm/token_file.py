@@ -261,6 +261,6 @@ def encoded_documents(docs: DataFrame, tokenizer: str, end_id: int, vocabulary:
     spark = docs.sparkSession
     path = new_path(spark, "token-blocks")
     write(docs, path, tokenizer, end_id, vocabulary)
-    blocks = spark.read.parquet(path)
+    blocks = spark.read.schema(BLOCKS).parquet(path)
     found = read_documents(blocks).join(manifest(blocks), F.col("file_no") == F.col("of_file"))
     return found.select("doc_id", (F.col("file_start") + F.col("place")).alias("start"), "n_tokens", "ids_crc32")
