@@ -1,12 +1,15 @@
 """Command line for ``spark-submit``: one stage per call, results written under ``--out``.
 
-    python -m riskweave reports  --transactions data.csv --out out
-    python -m riskweave profile  --transactions data.csv --out out
-    python -m riskweave train    --transactions data.csv --out out
+    python -m riskweave load     --transactions data.csv --out out
+    python -m riskweave reports  --out out
+    python -m riskweave profile  --out out
+    python -m riskweave train    --out out
     python -m riskweave explain  --out out
     python -m riskweave monitor  --out out
     python -m riskweave score    --requests requests/ --out out
     python -m riskweave stream   --requests requests/ --out out
+
+``load`` parses the text once; the stages after it read the loaded table, or what ``--transactions`` names.
 """
 
 from __future__ import annotations
@@ -14,13 +17,13 @@ from __future__ import annotations
 import argparse
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from riskweave.operators import explain, hypothesis, profile, reports, scoring
 from riskweave.operators import requests as req
 from riskweave.operators.metrics import metrics_long
 from riskweave.operators.models import BOOSTED, KINDS, RiskModel
 from riskweave.plans import workflow
-from riskweave.schema import REQUESTS
 from riskweave.sources import transactions as src
 from riskweave.streaming.scoring import read_requests, score_requests, start_scoring
 
@@ -50,7 +53,7 @@ def _transactions(spark: SparkSession, path: str) -> DataFrame:
 
 def main(arguments: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(prog="riskweave", description=__doc__.splitlines()[0])
-    stages = ("reports", "profile", "train", "explain", "monitor", "score", "stream")
+    stages = ("load", "reports", "profile", "train", "explain", "monitor", "score", "stream")
     parser.add_argument("stage", choices=stages)
     parser.add_argument("--transactions", help="CSV file with a header, or a parquet table")
     parser.add_argument("--requests", help="folder of JSON lines")
@@ -60,18 +63,22 @@ def main(arguments: list[str] | None = None) -> None:
     args = parser.parse_args(arguments)
     spark, out = SparkSession.builder.appName(f"riskweave {args.stage}").getOrCreate(), args.out
 
-    if args.stage in ("reports", "profile", "train") and not args.transactions:
+    if args.stage == "load" and not args.transactions:
         parser.error("--transactions is needed for this stage")
+    loaded = f"{out}/transactions"
+    table = args.transactions or loaded
     if args.stage in ("score", "stream") and not args.requests:
         parser.error("--requests is needed for this stage")
 
-    if args.stage == "reports":
-        _write(reports.run_reports(_transactions(spark, args.transactions)), f"{out}/reports")
+    if args.stage == "load":
+        _transactions(spark, table).write.mode("overwrite").parquet(loaded)
+    elif args.stage == "reports":
+        _write(reports.run_reports(_transactions(spark, table)), f"{out}/reports")
     elif args.stage == "profile":
-        txns = _transactions(spark, args.transactions)
+        txns = _transactions(spark, table)
         _write({name: build(txns) for name, build in PROFILE.items()}, f"{out}/profile")
     elif args.stage == "train":
-        workflow.run(_transactions(spark, args.transactions), out, report_model=args.model)
+        workflow.run(_transactions(spark, table), out, report_model=args.model)
     elif args.stage == "explain":
         model = RiskModel.load(spark, f"{out}/models/{BOOSTED}")
         test = workflow.part(spark.read.parquet(f"{out}/features"), "test")
@@ -102,9 +109,9 @@ def main(arguments: list[str] | None = None) -> None:
     else:
         model = RiskModel.load(spark, f"{out}/models/{args.model}")
         if args.stage == "score":
-            answers = score_requests(spark.read.schema(REQUESTS).json(args.requests), model)
-            answers.write.mode("overwrite").parquet(f"{out}/responses")
-            rejects = req.rejected(req.validate(spark.read.schema(REQUESTS).json(args.requests)))
+            requests = req.typed(spark.read.schema(req.AS_TEXT).json(args.requests))
+            score_requests(requests, model).write.mode("overwrite").parquet(f"{out}/responses")
+            rejects = spark.read.parquet(f"{out}/responses").filter(F.size("errors") > 0).select(req.REQUEST_ID, "errors")
             rejects.write.mode("overwrite").parquet(f"{out}/rejected")
         else:
             arriving = read_requests(spark, args.requests)

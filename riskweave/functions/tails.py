@@ -4,10 +4,6 @@ from __future__ import annotations
 
 import math
 
-# Up to this many cells the exact rank-sum distribution is tabulated.
-EXACT_CELLS = 1_000_000
-
-
 def two_sided_normal(z: float) -> float:
     return min(1.0, math.erfc(z / math.sqrt(2.0)))
 
@@ -29,20 +25,39 @@ def chi_square_tail(x: float, dof: int) -> float:
     return min(1.0, base + math.fsum(math.exp(t) for t in terms))
 
 
+def _small_part_counts(parts: int) -> tuple[list[int], int]:
+    """(numerator, step) so that numerator(q) / (1 - q^step)^(parts + 1) counts, at q^j, the partitions of the numbers
+    up to j into parts of at most ``parts``. Its length depends on ``parts`` alone."""
+    step = math.lcm(*range(1, parts + 1))
+    numerator = [1]
+    for divisor in (1, *range(1, parts + 1)):
+        # (1 - q^step) / (1 - q^divisor) is 1 + q^divisor + ... + q^(step - divisor)
+        longer = numerator + [0] * (step - divisor)
+        for k in range(divisor, len(longer)):
+            longer[k] += longer[k - divisor] - (numerator[k - step] if 0 <= k - step < len(numerator) else 0)
+        numerator = longer
+    return numerator, step
+
+
 def exact_rank_sum(u: float, n1: int, n2: int) -> float:
-    """Two-sided exact p-value of the rank-sum statistic without ties.
+    """Two-sided exact p-value of the rank-sum statistic without ties; the cost follows the smaller sample alone.
 
-    The number of orderings with each U are the coefficients of the Gaussian binomial, built by
-    multiplying by (1 - q^(n + i)) and dividing by (1 - q^i).
+    The number of orderings with each U are the coefficients of the Gaussian binomial
+    ``prod (1 - q^(large + i)) / (1 - q^i)``. Multiplying out its numerator gives one signed term per subset of the smaller
+    sample; each shifts the count of partitions into small parts, which has a closed form.
     """
     small, large = sorted((n1, n2))
-    size = n1 * n2 + 1
-    ways = [0] * size
-    ways[0] = 1
+    numerator, step = _small_part_counts(small)
+
+    def partitions_up_to(j: int) -> int:
+        return sum(c * math.comb((j - d) // step + small, small) for d, c in enumerate(numerator) if d <= j and (j - d) % step == 0)
+
+    below = n1 * n2 - math.ceil(max(u, n1 * n2 - u))  # by symmetry, as many orderings as at or above
+    terms = {0: 1}
     for i in range(1, small + 1):
-        for k in range(size - 1, large + i - 1, -1):
-            ways[k] -= ways[k - large - i]
-        for k in range(i, size):
-            ways[k] += ways[k - i]
-    above = math.ceil(max(u, n1 * n2 - u))
-    return min(1.0, 2 * sum(ways[above:]) / math.comb(n1 + n2, small))
+        for shift, sign in list(terms.items()):
+            moved = shift + large + i
+            if moved <= below:
+                terms[moved] = terms.get(moved, 0) - sign
+    ways = sum(sign * partitions_up_to(below - shift) for shift, sign in terms.items())
+    return min(1.0, 2 * ways / math.comb(n1 + n2, small))

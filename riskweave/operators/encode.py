@@ -97,15 +97,20 @@ class Scaling:
     means: dict[str, float]
     deviations: dict[str, float]
 
-    def apply(self, name: str) -> Column:
-        return (F.col(name).cast("double") - F.lit(self.means[name])) / F.lit(self.deviations[name])
+    def apply(self, name: str, column: str | None = None) -> Column:
+        return (F.col(column or name).cast("double") - F.lit(self.means[name])) / F.lit(self.deviations[name])
 
 
 def fit_scaling(df: DataFrame, names: Sequence[str]) -> Scaling:
-    """All moments in one aggregation; only the two numbers per feature reach the driver."""
-    row = df.agg(
-        *[F.avg(F.col(f"`{n}`")).alias(f"m{i}") for i, n in enumerate(names)],
-        *[F.stddev_pop(F.col(f"`{n}`")).alias(f"s{i}") for i, n in enumerate(names)],
+    """All moments in one aggregation; only the two numbers per feature reach the driver.
+
+    ``df`` has the features by place: names hold category texts, which may differ in case alone or hold a backtick.
+    """
+    at = [df.columns.index(n) for n in names]
+    inputs = [f"input_{i}" for i in range(len(df.columns))]
+    row = df.toDF(*inputs).agg(
+        *[F.avg(inputs[j]).alias(f"m{i}") for i, j in enumerate(at)],
+        *[F.stddev_pop(inputs[j]).alias(f"s{i}") for i, j in enumerate(at)],
     ).first()
     return Scaling(
         {n: row[f"m{i}"] or 0.0 for i, n in enumerate(names)},
@@ -116,7 +121,10 @@ def fit_scaling(df: DataFrame, names: Sequence[str]) -> Scaling:
 def standardize(
     df: DataFrame, scaling: Scaling, names: Sequence[str], keep: Sequence[str] = ("transaction_id",)
 ) -> DataFrame:
-    return df.select(*keep, *[scaling.apply(n).alias(n) for n in names])
+    inputs = {n: f"input_{i}" for i, n in enumerate(df.columns)}
+    numbered = df.toDF(*inputs.values())
+    kept = [F.col(inputs[k]).alias(k) for k in keep]
+    return numbered.select(*kept, *[scaling.apply(n, inputs[n]).alias(n) for n in names])
 
 
 def class_weights(df: DataFrame) -> DataFrame:

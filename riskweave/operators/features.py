@@ -90,9 +90,10 @@ def _amounts_before(hours: int) -> Column:
 def _whole_customers(txns: DataFrame, columns: Sequence[str]) -> DataFrame:
     in_order = W.partitionBy(CUSTOMER).orderBy(TIME, ID)
     made = {
-        "new_device": lambda: (F.row_number().over(W.partitionBy(CUSTOMER, "device").orderBy(TIME, ID)) == 1).cast(
-            "int"
-        ),
+        # a missing device is no new one
+        "new_device": lambda: (
+            (F.row_number().over(W.partitionBy(CUSTOMER, "device").orderBy(TIME, ID)) == 1) & F.col("device").isNotNull()
+        ).cast("int"),
         "running_avg": lambda: F.avg("amount").over(in_order.rowsBetween(W.unboundedPreceding, -1)),
         "location_change": lambda: F.lag(_place()).over(in_order),
         "last_24h": lambda: _amounts_before(24),
@@ -167,7 +168,7 @@ def _sliced_distance(out: DataFrame, rows: DataFrame) -> DataFrame:
 
 def _sliced_novelty(out: DataFrame, rows: DataFrame) -> DataFrame:
     """Partial minima find each device's first row; joining on that row's own key is free of hot keys."""
-    first = rows.groupBy(CUSTOMER, "device").agg(F.min(F.struct(TIME, ID)).alias("first"))
+    first = rows.filter(F.col("device").isNotNull()).groupBy(CUSTOMER, "device").agg(F.min(F.struct(TIME, ID)).alias("first"))
     marks = first.select(CUSTOMER, f"first.{TIME}", f"first.{ID}", F.lit(1).alias("new_device"))
     joined = out.join(marks.distinct(), [CUSTOMER, TIME, ID], "left")
     return joined.withColumn("new_device", F.coalesce("new_device", F.lit(0)))

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskweave.functions.scalar import ratio
-from riskweave.functions.tails import EXACT_CELLS, chi_square_tail, exact_rank_sum, two_sided_normal
+from riskweave.functions.tails import chi_square_tail, exact_rank_sum, two_sided_normal
 from riskweave.operators.ordered import running_totals
 from riskweave.operators.profile import crosstab
 from riskweave.schema import LABEL, SIGNIFICANCE
@@ -69,7 +69,7 @@ def mann_whitney_p(row) -> float | None:
     n1, n2 = row["n_fraud"], row["n_legit"]
     if not n1 or not n2:
         return None
-    if min(n1, n2) <= 8 and row["tie_term"] == 0 and n1 * n2 <= EXACT_CELLS:
+    if min(n1, n2) <= 8 and row["tie_term"] == 0:
         return exact_rank_sum(row["u_statistic"], n1, n2)
     return None if row["z"] is None or math.isnan(row["z"]) else two_sided_normal(row["z"])
 

@@ -101,30 +101,12 @@ def interpolated(placed: DataFrame, value: str, probabilities: dict[str, float],
     )
 
 
-# Up to this many distinct values, the counts per value fit one aggregation buffer.
-ONE_TASK_VALUES = 500_000
-
-
-def quantiles(
-    df: DataFrame,
-    value: str,
-    probabilities: dict[str, float],
-    by: Sequence[str] = (),
-    one_task_values: int = ONE_TASK_VALUES,
-) -> DataFrame:
+def quantiles(df: DataFrame, value: str, probabilities: dict[str, float], by: Sequence[str] = ()) -> DataFrame:
     """Exact quantiles with linear interpolation, one row per group.
 
-    Rows are first counted per distinct value. Few distinct values (checked with a sketch) go straight into
-    Spark's weighted percentile; many are ranked over slices.
+    Rows are first counted per distinct value; the distinct values are ranked over slices, at every size alike.
     """
-    present = df.filter(F.col(value).isNotNull())
-    distinct = present.agg(F.approx_count_distinct(F.struct(*by, value)).alias("n")).first()["n"]
-    if distinct > one_task_values:
-        return interpolated(placed_values(present, value, by), value, probabilities, by)
-    counts = present.groupBy(*by, value).agg(F.count("*").alias("n"))
-    points = F.percentile(value, [float(p) for p in probabilities.values()], F.col("n")).alias("points")
-    found = counts.groupBy(*by).agg(points)
-    return found.select(*by, *[F.get("points", F.lit(i)).alias(name) for i, name in enumerate(probabilities)])
+    return interpolated(placed_values(df, value, by), value, probabilities, by)
 
 
 # --- order statistics on (time, id) --------------------------------------------------------------

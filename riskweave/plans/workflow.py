@@ -9,12 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskweave.operators.features import HOT_ROWS, build_features, median_amount
-from riskweave.operators.metrics import compare_models, stack_scores
+from riskweave.operators.metrics import compare_models, confusion_matrix, pr_curve, ranking, roc_curve, stack_scores
 from riskweave.operators.models import BOOSTED, KINDS, RiskModel, train_models
-from riskweave.operators.scoring import PROBABILITY, scored_report, write_report
-from riskweave.operators.split import SPLIT, chronological_cuts, with_split
+from riskweave.operators.scoring import PROBABILITY, level_distribution, scored_report, top_risk, write_report
+from riskweave.operators.split import SPLIT, chronological_cuts, split_summary, with_split
 from riskweave.schema import MODEL_COMPARISON, SCORED_REPORT
-from riskweave.sources.transactions import keyed_rows
+from riskweave.sources.transactions import keyed_rows, rejected_rows
 
 
 def write_features(txns: DataFrame, path: str, hot_rows: int = HOT_ROWS) -> DataFrame:
@@ -34,12 +34,26 @@ def part(features: DataFrame, name: str) -> DataFrame:
     return features.filter(F.col(SPLIT) == name)
 
 
-def compare(models: Mapping[str, RiskModel], rows: DataFrame) -> DataFrame:
-    """Metrics of every model on the same rows, which are read once for all models."""
+def score_all(models: Mapping[str, RiskModel], rows: DataFrame) -> DataFrame:
+    """(model, label, score) of every model on the same rows, which are read once for all models."""
     scored = rows
     for name, model in models.items():
         scored = model.score(scored).withColumnRenamed(PROBABILITY, name)
-    return compare_models(stack_scores(scored, list(models)))
+    return stack_scores(scored, list(models))
+
+
+def compare(models: Mapping[str, RiskModel], rows: DataFrame) -> DataFrame:
+    return compare_models(score_all(models, rows))
+
+
+def curves(stacked: DataFrame) -> dict[str, DataFrame]:
+    """What the plots of each model show, by name of its folder."""
+    ranked = ranking(stacked, ["model"])
+    return {
+        "roc_points": roc_curve(ranked, ["model"]),
+        "pr_points": pr_curve(ranked, ["model"]),
+        "confusion": confusion_matrix(stacked, ["model"]),
+    }
 
 
 def write_comparison(comparison: DataFrame, path: str, fmt: str = "csv") -> None:
@@ -70,15 +84,30 @@ def run(
     settings: Mapping[str, Mapping] | None = None,
     report_model: str = BOOSTED,
 ) -> Run:
-    """Train and compare the models, and write features, models, comparison and report under ``folder``."""
+    """Train and compare the models, and write everything under ``folder``: features and the sizes of their parts, rows
+    set aside and their number, models, comparison, curves and confusion matrices, report, its levels and riskiest rows."""
     spark = txns.sparkSession
+
+    def write(name: str, frame: DataFrame) -> None:
+        frame.write.mode("overwrite").parquet(f"{folder}/{name}")
+
+    write("rejected_rows", rejected_rows(txns))
+    write("rejected_count", spark.read.schema(txns.schema).parquet(f"{folder}/rejected_rows").agg(F.count("*").alias("rejected")))
     features = write_features(txns, f"{folder}/features")
+    write("split_summary", split_summary(features))
     models = train_models(part(features, "train"), kinds, settings)
     for kind, model in models.items():
         model.save(spark, f"{folder}/models/{kind}")
     test = part(features, "test")
-    write_comparison(compare(models, test), f"{folder}/model_comparison")
+    write("test_scores", score_all(models, test))
+    stacked = spark.read.parquet(f"{folder}/test_scores")
+    write_comparison(compare_models(stacked), f"{folder}/model_comparison")
+    for name, frame in curves(stacked).items():
+        write(name, frame)
     write_report(scored_report(models[report_model].score(test)), f"{folder}/scored_transactions")
+    report = read_report(spark, f"{folder}/scored_transactions")
+    write("level_distribution", level_distribution(report))
+    write("top_risk", top_risk(report))
     return Run(
         features,
         models,

@@ -12,22 +12,23 @@ from riskweave.schema import TRANSACTIONS
 CSV_TIME_OUT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType = TRANSACTIONS) -> DataFrame:
-    """CSV with a header, read against a fixed schema: no inference pass over the data.
-
-    A number written as NaN is a missing value, like an empty field.
-    """
-    rows = spark.read.schema(schema).option("header", True).csv(path)
-    numbers = [f.name for f in schema if isinstance(f.dataType, T.DoubleType)]
+def without_nan(rows: DataFrame) -> DataFrame:
+    """NaN is a missing value wherever a row comes from; it would otherwise spread through sums and averages."""
+    numbers = [f.name for f in rows.schema if isinstance(f.dataType, T.DoubleType)]
     return rows.withColumns({n: F.nanvl(n, F.lit(None).cast("double")) for n in numbers})
 
 
+def read_csv(spark: SparkSession, path: str, schema: T.StructType = TRANSACTIONS) -> DataFrame:
+    """CSV with a header, read against a fixed schema: no inference pass over the data."""
+    return without_nan(spark.read.schema(schema).option("header", True).csv(path))
+
+
 def write_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("header", True).option("timestampNTZFormat", CSV_TIME_OUT).csv(path)
 
 
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(TRANSACTIONS).parquet(path)
+    return without_nan(spark.read.schema(TRANSACTIONS).parquet(path))
 
 
 def load_table(df: DataFrame, name: str = "transactions", *, view: bool = False) -> DataFrame:
@@ -56,7 +57,7 @@ def map_columns(df: DataFrame, mapping: dict[str, str | Column]) -> DataFrame:
         column = F.expr(source) if isinstance(source, str) else F.lit(None) if source is None else source
         return column.cast(field.dataType).alias(field.name)
 
-    return df.select(*[target(f) for f in TRANSACTIONS])
+    return without_nan(df.select(*[target(f) for f in TRANSACTIONS]))
 
 
 def _usable() -> Column:

@@ -34,7 +34,7 @@ def history(rows):
             "running_avg": sum(amounts) / len(amounts) if amounts else None,
             "last_24h": within(24),
             "last_1h": within(1),
-            "new_device": int(all(r["device"] != row["device"] for r in earlier)),
+            "new_device": int(row["device"] is not None and all(r["device"] != row["device"] for r in earlier)),
             "location_change": move,
         }
     return out

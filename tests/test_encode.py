@@ -47,3 +47,11 @@ def test_class_weights(make):
     assert (row["weight_positive"], row["weight_negative"], row["scale_pos_weight"]) == (2.5, 0.625, 4.0)
     none = e.class_weights(make([{"transaction_time": dt.datetime(2025, 1, 1)}])).first()
     assert (none["weight_positive"], none["weight_negative"], none["scale_pos_weight"]) == (None, 0.5, 1.0)
+
+
+def test_scaling_of_categories_that_differ_in_case_or_hold_a_backtick(make):
+    df = make([{"payment_type": v} for v in ("UPI", "upi", "a`b", "upi")])
+    encoding = e.fit_encoding(df, ["payment_type"], ["amount"])
+    scaling = e.fit_scaling(e.feature_matrix(df, encoding), encoding.names)
+    assert scaling.means == {"amount": 10.0, "payment_type_a`b": 0.25, "payment_type_upi": 0.5}
+    assert len(e.standardize(e.feature_matrix(df, encoding), scaling, encoding.names).collect()) == 4

@@ -153,3 +153,10 @@ def test_session_time_zone_does_not_matter(spark, make):
         check(df, 2)
     finally:
         spark.conf.set("spark.sql.session.timeZone", zone)
+
+
+def test_a_missing_device_is_no_new_one(make):
+    df = make([{"device": d} for d in (None, None, "a", "a", None, "b")])
+    for hot_rows in (100, 1):
+        rows = fe.add_history(df, ["new_device"], hot_rows).orderBy("transaction_id").collect()
+        assert [r["new_device"] for r in rows] == [0, 0, 1, 0, 0, 1]

@@ -88,3 +88,9 @@ def test_single_class_has_no_degrees_of_freedom(make):
     results = {r["test"]: r for r in h.hypothesis_results(_table(make, {"a": (3, 0), "b": (4, 0)})).collect()}
     assert results["chi_square_payment_type"]["p_value"] == 1.0
     assert results["mann_whitney_amount"]["reject"] is None
+
+
+def test_exact_rank_sum_of_a_small_and_a_large_sample():
+    assert exact_rank_sum(0.93 * 8 * 200_000, 8, 200_000) == pytest.approx(4.80e-7, rel=2e-3)
+    # one value above all others: two of n + 1 orderings are as extreme
+    assert exact_rank_sum(10**6, 1, 10**6) == pytest.approx(2 / (10**6 + 1))

@@ -229,3 +229,15 @@ def test_forest_scores_requests_with_gaps(spark, fitted):
     answer = rq.respond(run.models[m.FOREST].score(rq.request_features(df))).first()
     assert set(json.loads(spark.createDataFrame([answer]).toJSON().first())) == {"request_id", PROBABILITY, "risk_score", "risk_level", "recommended_action"}
     assert 0 <= answer[PROBABILITY] <= 1
+
+
+def test_nan_goes_right_in_attributions():
+    import pandas as pd
+
+    nodes = pd.DataFrame(
+        [(0, 0, 0.0, 4.0, 1, 2, 0, 0.5), (0, 1, -0.5, 2.0, -1, -1, -1, 0.0), (0, 2, 1.0, 2.0, -1, -1, -1, 0.0)],
+        columns=["tree", "node", "prediction", "cover", "left", "right", "feature", "threshold"],
+    )
+    leaves = x.collect_leaves(nodes, [1.0], 1)
+    parts = x.attribute(leaves, np.array([[np.nan], [0.0], [1.0]]))
+    assert (leaves.base + parts.sum(1)).tolist() == pytest.approx([2.0, -1.0, 2.0])

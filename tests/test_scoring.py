@@ -113,3 +113,26 @@ def test_response_rounds_only_what_is_shown(spark):
     df = spark.createDataFrame([("a", 0.299996), ("b", 0.12345)], "request_id string, fraud_probability double")
     rows = {r["request_id"]: tuple(r)[1:4] for r in rq.respond(df).collect()}
     assert rows == {"a": (0.3, 30, "LOW"), "b": (0.1234, 12, "LOW")}
+
+
+def test_ill_typed_request_fields_are_refused(spark, tmp_path):
+    from riskweave.operators import requests as q
+
+    lines = [
+        '{"request_id": "a", "amount": 5, "hour": "2", "day_of_week": 3.0, "new_device": true}',
+        '{"request_id": "b", "amount": 5, "hour": 2.5}',
+        '{"request_id": "c", "amount": 5, "day_of_week": "monday", "transactions_last_1h": "many"}',
+        '{"request_id": "d", "amount": "lots"}',
+        '{"request_id": "e", "hour": 24}',
+    ]
+    spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1).write.text(str(tmp_path / "in"))
+    typed = q.typed(spark.read.schema(q.AS_TEXT).json(str(tmp_path / "in")))
+    found = {r["request_id"]: r for r in q.validate(typed).collect()}
+    assert {k: r["errors"] for k, r in found.items()} == {
+        "a": [],
+        "b": ["hour_type"],
+        "c": ["day_of_week_type", "transactions_last_1h_type"],
+        "d": ["amount_type"],
+        "e": ["amount_required", "hour_range"],
+    }
+    assert (found["a"]["hour"], found["a"]["day_of_week"], found["a"]["new_device"]) == (2, 3, 1)

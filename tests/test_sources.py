@@ -85,3 +85,16 @@ def test_shared_folder_follows_the_session(spark):
     assert spark.sparkContext.getCheckpointDir() is not None
     first, second = new_path(spark, "x"), new_path(spark, "x")
     assert first != second and first.startswith(folder)
+
+
+def test_nan_is_missing_in_every_reader(spark, make, tmp_path):
+    from riskweave.operators.features import add_history
+
+    make([{"amount": a} for a in (10.0, float("nan"), 30.0, 40.0)]).write.parquet(str(tmp_path / "t"))
+    rows = src.read_parquet(spark, str(tmp_path / "t"))
+    mapped = src.map_columns(spark.read.parquet(str(tmp_path / "t")), {c: c for c in rows.columns})
+    for df in (rows, mapped):
+        history = add_history(df, ["running_avg", "last_24h"]).orderBy("transaction_id").collect()
+        assert [r["amount"] for r in history] == [10.0, None, 30.0, 40.0]
+        assert [r["running_avg"] for r in history] == [None, 10.0, 10.0, 20.0]
+        assert [r["last_24h"] for r in history] == [0.0, 1.0, 1.0, 2.0]
