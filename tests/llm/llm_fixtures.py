@@ -1,0 +1,73 @@
+"""Rows that every operator has to take, and plain versions of shared rules."""
+
+from __future__ import annotations
+
+import random
+import re
+import string
+import zlib
+
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+LOWER = str.maketrans(string.ascii_uppercase, string.ascii_lowercase)
+# names that operators use for columns of their own
+CLASHING = ["row", "row_key", "node", "token", "size", "score", "n", "rank", "text_hash", "slot", "slot_no", "place", "one", "bucket"]
+CLASHING += ["shard", "copy", "taken", "start", "curve", "file_no", "held_out", "slice_no", "component_id"]
+
+
+def words(text: str | None) -> list[str]:
+    return WORD.findall(text or "")
+
+
+def odd_rows() -> list[tuple]:
+    long = " ".join(f"w{i % 997}" for i in range(30_000))
+    return [
+        (1, "the cat sat on the mat and the dog lay by the door of the old house", "en", "a", 10),
+        (1, "the cat sat on the mat and the dog lay by the door of the old house", "en", "a", 10),
+        (2, "the cat sat on the mat and the dog lay by the door of the old house", "fr", None, None),
+        (2, "another text under the same id with quite different words in it", "en", "b", 1),
+        (3, None, None, "a", None),
+        (4, "", "en", "a", 0),
+        (4, "", "en", "a", 0),
+        (5, " \n\t \n", "en", "b", 5),
+        (6, "one", "en", "b", 3),
+        (7, "one two", None, "c", 7),
+        (8, "12 34 -- ## <b> 56", "en", None, 9),
+        (None, "a row without an id", "en", "b", 2),
+        (9, long, "en", "a", len(long)),
+        (10, "x" * 50_000, "de", "d", 50_000),
+        (-3, "Ünïcödé 中文 \U0001f600 é è <\\/turn> \\ ###", "fr", "é", 4),
+        (11, "a b c d e f g a b c d e f g\nsame line here\nsame line here\n\n\nsame line here", "en", "c", 1),
+    ]
+
+
+def random_rows(n: int, seed: int = 5, vocabulary: int = 60, length: int = 40) -> list[tuple]:
+    """Random texts, a third of them changed copies of earlier ones."""
+    rng = random.Random(seed)
+    texts: list[list[str]] = []
+    for _ in range(n):
+        if texts and rng.random() < 0.4:
+            text = list(rng.choice(texts))
+            for _ in range(rng.choice([0, 0, 1, 1, 2, 4])):
+                text[rng.randrange(len(text))] = f"w{rng.randrange(vocabulary)}"
+        else:
+            text = [f"w{rng.randrange(vocabulary)}" for _ in range(rng.randint(1, length))]
+        texts.append(text)
+    return [(i, " ".join(t), "en", f"s{i % 3}", 0) for i, t in enumerate(texts)]
+
+
+def frame(spark, rows: list[tuple], clashing: bool = False):
+    df = spark.createDataFrame(rows, SCHEMA)
+    if clashing:
+        from pyspark.sql import functions as F
+
+        df = df.select("*", *[F.lit("other").alias(c) for c in CLASHING])
+    return df
+
+
+def is_held_out(doc_id: int | None) -> bool:
+    return doc_id is not None and zlib.crc32(str(doc_id).encode()) % 5 == 0
+
+
+def key(row: tuple) -> tuple:
+    return tuple((x is not None, x) for x in row)

@@ -1,0 +1,74 @@
+import random
+import zlib
+
+import numpy as np
+import pyarrow as pa
+import public_tokenizers
+import pytest
+from llm_fixtures import odd_rows
+from tokenizers import Tokenizer
+
+from riskweave.llm import token_file
+from riskweave.llm import words as w
+
+PATH = public_tokenizers.path("word_bpe_49k.json")
+
+
+@pytest.mark.parametrize("width", [1, 3, 8, 13, 16, 17, 31, 32])
+def test_pack_round_trip(width):
+    ids = np.random.default_rng(1).integers(0, 1 << width, 1001, dtype=np.uint64)
+    packed = token_file.pack(ids, width)
+    assert len(packed) == -(-1001 * width // 64)
+    assert (token_file.unpack(packed, width, 0, 1001) == ids).all()
+    assert (token_file.unpack(packed, width, 17, 100) == ids[17:117]).all()
+
+
+def test_encoder_equals_the_tokenizer():
+    rng = random.Random(2)
+    signs = "abcXYZ  \n\t019'’.,<|>éÉÑß×÷̱́ \u0085 İıſKÅ中\x1c\x00"
+    texts = ["".join(rng.choice(signs) for _ in range(rng.randint(0, 60))) for _ in range(1500)]
+    texts += ["<|endoftext|> a<|startoftext|>b don't can'tll 'S H̱ É", "H̱a", "", None, "a" * 3000]
+    encoder, plain, got = token_file.Encoder(PATH), Tokenizer.from_file(PATH), []
+    for _, _, raw, starts in w.pieces(pa.array(texts, pa.string()), 5000):
+        ids, sizes = encoder.encode(raw, starts, 2)
+        got += [x.tolist() for x in np.split(ids, np.cumsum(sizes)[:-1])]
+    assert got == [[*plain.encode(t or "", add_special_tokens=False).ids, 2] for t in texts]
+
+
+def test_encoder_forgets(monkeypatch):
+    monkeypatch.setattr(token_file, "KNOWN_WORDS", 3)
+    encoder, plain = token_file.Encoder(PATH), Tokenizer.from_file(PATH)
+    for text in ("one two", "two three four five", "one", "six, seven"):
+        raw, starts = w.text_bytes(pa.array([text]))
+        assert encoder.encode(raw, starts, 2)[0].tolist() == [*plain.encode(text, add_special_tokens=False).ids, 2]
+
+
+@pytest.mark.parametrize("block", [1, 50, 1 << 16])
+def test_documents_read_back(spark, odd, tmp_path, block):
+    plain, rows = Tokenizer.from_file(PATH), []
+    start = 0
+    for doc_id, text, *_ in sorted(odd_rows(), key=lambda r: (r[0] is not None, r[0] or 0)):
+        ids = [*plain.encode(text or "", add_special_tokens=False).ids, 2]
+        rows.append((doc_id, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
+    token_file.write(odd, str(tmp_path / "blocks"), PATH, 2, 49_408, block)
+    blocks = spark.read.parquet(str(tmp_path / "blocks"))
+    found = token_file.read_documents(blocks).join(token_file.manifest(blocks), blocks_match()).collect()
+    assert sorted((r["doc_id"] is not None, r["doc_id"] or 0, r["n_tokens"], r["ids_crc32"]) for r in found) == sorted(
+        (a is not None, a or 0, b, c) for a, b, c in rows
+    )
+    placed = sorted((r["file_start"] + r["place"], r["n_tokens"], r["doc_id"]) for r in found)
+    for at, size, _ in placed:
+        assert at == start
+        start += size
+    ids = [d for *_, d in placed if d is not None]
+    assert ids == sorted(ids)
+
+
+def blocks_match():
+    from pyspark.sql import functions as F
+
+    return F.col("file_no") == F.col("of_file")
+
+
+def test_no_documents(nothing):
+    assert token_file.encoded_documents(nothing, PATH, 2, 49_408).count() == 0
