@@ -19,7 +19,7 @@ from riskweave.plans import workflow
 from riskweave.schema import LABEL, NUMERIC_FEATURES
 from riskweave.session import new_path
 from riskweave.sources.events import requests_from_events, transactions_from_events
-from riskweave.sources.transactions import load_table, map_columns
+from riskweave.sources.transactions import load_table, map_columns, read_csv, write_csv
 from riskweave.streaming.scoring import start_scoring
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -87,6 +87,14 @@ def scan_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return transactions(spark, sf_dir)
 
 
+@register
+def csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The transactions written as CSV text and parsed again."""
+    path = new_path(spark, "csv")
+    write_csv(transactions(spark, sf_dir), path)
+    return read_csv(spark, path)
+
+
 @register
 def load_table_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.total_transactions(load_table(transactions(spark, sf_dir), view=True)).select(
@@ -136,6 +144,12 @@ _report("crosstab_payment", profile.crosstab)
 _report("global_median", profile.global_median)
 _report("mannwhitney", lambda t: rounded(hypothesis.mann_whitney(t), 9, "z"))
 _report("chi_square", lambda t: rounded(hypothesis.chi_square(t), 9, "chi2"))
+_report(
+    "chi_square_p",
+    lambda t: rounded(
+        hypothesis.hypothesis_results(t).filter("test = 'chi_square_payment_type'").select("p_value", "reject"), 9, "p_value"
+    ),
+)
 _report("corr_hour_fraud", lambda t: rounded(hypothesis.correlation(t), 9, "corr"))
 _report("hypothesis_results", hypothesis.hypothesis_results)
 
@@ -355,6 +369,36 @@ def score_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     return req.respond(built.withColumn("fraud_probability", F.least(F.lit(10000), points) / F.lit(10000.0)))
 
 
+class Scorecard:
+    """The fixed scorecard where a trained model would stand."""
+
+    def score(self, df: DataFrame) -> DataFrame:
+        points = card_points() + 1500 * F.col("is_night") + 1000 * F.col("new_device")
+        return df.withColumn("fraud_probability", F.least(F.lit(10000), points) / F.lit(10000.0))
+
+
+@register
+def score_stream_card(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The request table as a stream through the scorecard: the responses of valid requests that the sink received."""
+    return _streamed(spark, sf_dir, Scorecard()).filter(F.size("errors") == 0).drop("errors")
+
+
+@register
+def report_read_back(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The scorecard's report through its sink and its reader."""
+    path = new_path(spark, "report")
+    scoring.write_report(card_report(spark, sf_dir), path)
+    return workflow.read_report(spark, path)
+
+
+@register
+def comparison_read_back(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The comparison of two scores through its sink and its reader."""
+    path = new_path(spark, "comparison")
+    workflow.write_comparison(_two_scores(spark, sf_dir), path)
+    return rounded(workflow.read_comparison(spark, path), 9, *metrics.METRICS)
+
+
 # --- linear attributions -------------------------------------------------------------------------
 
 
@@ -454,14 +498,16 @@ def explain_top(spark: SparkSession, sf_dir: str) -> DataFrame:
     return explain.explain_riskiest(fitted[models.BOOSTED], workflow.part(table, "test"))
 
 
+def _streamed(spark: SparkSession, sf_dir: str, model) -> DataFrame:
+    schema = events(spark, sf_dir).schema
+    arriving = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+    output = new_path(spark, "responses")
+    start_scoring(requests_from_events(arriving), model, output, new_path(spark, "progress"), True).awaitTermination()
+    return spark.read.parquet(output)
+
+
 @register
 def score_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The request table as a stream, scored until its end; returns what the sink received."""
     fitted, _ = trained(spark, sf_dir)
-    schema = events(spark, sf_dir).schema
-    arriving = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
-    output = new_path(spark, "responses")
-    start_scoring(
-        requests_from_events(arriving), fitted[models.LOGISTIC], output, new_path(spark, "progress"), True
-    ).awaitTermination()
-    return spark.read.parquet(output).withColumn("errors", F.array_join("errors", ","))
+    return _streamed(spark, sf_dir, fitted[models.BOOSTED]).withColumn("errors", F.array_join("errors", ","))

@@ -176,6 +176,7 @@ def sql() -> dict[str, str]:
     out: dict[str, str] = {}
 
     out["scan_transactions"] = _q(T, "select * from t")
+    out["csv_round_trip"] = out["scan_transactions"]
     out["load_table_count"] = _q(T, "select count(*) as rows_loaded from t")
     out["map_foreign_orders"] = """select concat('ORD', o_orderkey) as transaction_id, o_custkey as customer_id,
       o_totalprice as amount, o_orderdate as transaction_time, cast(null as varchar) as merchant_category,
@@ -277,6 +278,9 @@ def sql() -> dict[str, str]:
         """select round(sum(power(seen - expected, 2) / expected), 9) as chi2,
         cast((count(distinct payment_type) - 1) * (count(distinct is_fraud) - 1) as integer) as dof from e""",
     )
+    # four degrees of freedom: the tail has a closed form
+    out["chi_square_p"] = f"""select round(exp(-chi2 / 2) * (1 + chi2 / 2), 9) as p_value,
+      exp(-chi2 / 2) * (1 + chi2 / 2) < 0.05 as reject from ({out["chi_square"]}) where dof = 4"""
     out["corr_hour_fraud"] = _q(
         T, "select round(corr(extract(hour from transaction_time), is_fraud), 9) as corr from t"
     )
@@ -416,6 +420,9 @@ def sql() -> dict[str, str]:
              from (select rf.*, cast(round(amount * 100) as bigint) as cents from rf))""",
         f"select request_id, round_even(p, 4) as fraud_probability, {_risk('p')} from p",
     )
+    out["score_stream_card"] = out["score_requests"]
+    out["report_read_back"] = _q(*rep, "select report.* from report")
+    out["comparison_read_back"] = out["metrics_two_scores"]
 
     out["linear_attributions"] = _q(
         T, H, F, LINEAR, f"select transaction_id, {_rounded(LINEAR_WEIGHTS, 8)} from lin"
