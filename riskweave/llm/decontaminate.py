@@ -179,8 +179,9 @@ def search(index: Index, raw: np.ndarray, starts: np.ndarray, threshold: float,
     key, where = np.unique(passage[source] * n_blocks + index.block[at], return_inverse=True)
     opened = key[np.bincount(where, index.block_max[at], len(key)) >= bound]
     out = []
-    heads = np.flatnonzero(np.diff(opened // n_blocks, prepend=-1))
-    for low, high in zip(heads, np.append(heads[1:], len(opened)), strict=True):
+    # opened blocks of one passage stand together
+    borders = np.append(np.flatnonzero(np.diff(opened // n_blocks, prepend=-1)), len(opened))
+    for low, high in zip(borders, borders[1:], strict=False):
         p, blocks = opened[low] // n_blocks, opened[low:high] % n_blocks
         i = int(np.searchsorted(base, p, "right")) - 1
         first = found.at[i] + (p - base[i]) * stride

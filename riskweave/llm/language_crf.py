@@ -231,11 +231,10 @@ def predict(docs: DataFrame, model: Crf | None) -> DataFrame:
                 np.cumsum(p, axis=0, out=total[1:])
                 count = np.diff(found.at)
                 mean = (total[found.at[1:]] - total[found.at[:-1]]) / np.maximum(count, 1)[:, None]
-                change = np.zeros(len(p) + 1, np.int64)
                 best = p.argmax(1)
-                change[1:-1] = np.cumsum(best[1:] != best[:-1])[: max(0, len(p) - 1)]
-                change[-1:] = change[-2:-1]
-                switches = change[np.maximum(found.at[1:] - 1, found.at[:-1])] - change[found.at[:-1]]
+                changes = np.zeros(len(p) + 1, np.int64)
+                changes[2:] = np.cumsum(best[1:] != best[:-1])[: max(0, len(p) - 1)]
+                switches = changes[found.at[1:]] - changes[np.minimum(found.at[:-1] + 1, found.at[1:])]
                 pick = mean.argmax(1)
                 score = np.clip(mean.max(1), 0, 1)
                 known = letters[low:high] & (count > 0)
