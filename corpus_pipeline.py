@@ -25,8 +25,9 @@ def _documents(docs: DataFrame) -> DataFrame:
 
 
 def _row_key() -> F.Column:
-    """Tells rows apart that share an id; equal for rows that agree in all columns."""
-    return F.xxhash64(*COLUMNS).alias("row_key")
+    """Tells rows apart that share an id; equal for rows that agree in all columns. The hash passes over nulls, so
+    which columns are null is hashed too."""
+    return F.xxhash64(*COLUMNS, *[F.col(c).isNull() for c in COLUMNS]).alias("row_key")
 
 
 def _numbered(docs: DataFrame) -> DataFrame:
