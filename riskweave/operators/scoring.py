@@ -11,6 +11,7 @@ from riskweave.functions.scalar import percent, round_half_even
 from riskweave.schema import ACTIONS, HIGH_FROM, LABEL, MEDIUM_FROM, SCORED_REPORT
 
 PROBABILITY = "fraud_probability"
+# Columns of the monitoring view.
 MONITOR_COLUMNS = (
     "transaction_id",
     "customer_id",

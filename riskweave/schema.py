@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
+# Names and types of the tables below.
 TRANSACTIONS = T.StructType(
     [
         T.StructField("transaction_id", T.StringType()),
