@@ -5,8 +5,8 @@ empty set, linked with nothing). Two sets of similarity ``num / den`` or more sh
 ``n - ceil(n * num / den) + 1`` of each set, in *any* fixed order of all tokens. Candidates must do so in every one of
 ``ORDERS`` orders; the candidate pairs of the orders are intersected before the sets are compared.
 
-* Every order puts tokens that are rare in the corpus first (logarithm of a count over all documents, kept in a table of
-  ``CELLS`` cells whose size is fixed) and differs in how it ranks the tokens of a rarity. The table changes speed only:
+* Every order puts tokens that are rare in the corpus first (by a count over all documents, kept in a table of ``CELLS``
+  one-byte cells whose size is fixed) and differs in how it ranks the tokens of one count. The table changes speed only:
   any order gives the same links.
 * Equal sets are one class, found by a 64-bit hash of the set; only classes are compared.
 * Links inside a large group are not spelled out: each bucket of a prefix token first links its members with one of them,
@@ -16,7 +16,9 @@ empty set, linked with nothing). Two sets of similarity ``num / den`` or more sh
 * A row carries its set's histogram over ``BINS`` bins: the sum of the smaller counts is never below the size of the
   intersection, so pairs under the bound are dropped without their texts. What remains is compared on the whole texts.
 
-Null and empty texts are rows of the result with ``n_shingles`` 0. Repeated ids are refused: a component is named by an id.
+Null and empty texts are rows of the result with ``n_shingles`` 0 and their own id as component. Rows are told apart by a
+64-bit hash of id and text, so repeated rows and ids that stand for several texts are linked like any others and every row
+is returned; a component is named by its smallest id (null if it has none). An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -25,6 +27,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -32,8 +35,11 @@ from riskweave.llm import words as w
 from riskweave.llm.tables import components, numbers, run_starts, whole_runs
 from riskweave.session import cut_lineage
 
-CELLS = 1 << 18
+CELLS = 1 << 24
 SLOTS = 16
+FULL = 255  # a cell counts no further
+# Cells of the filter that keeps unwanted texts out of a shuffle; a full one lets more texts through.
+FILTER_CELLS = 1 << 20
 BINS = 256
 BLOCK = 512
 ORDERS = 2
@@ -46,24 +52,30 @@ def need(n: np.ndarray, num: int, den: int) -> np.ndarray:
     return -(-n * num // den)
 
 
+def _count(counts: np.ndarray, values: np.ndarray) -> None:
+    cells, n = np.unique(_cell(values), return_counts=True)
+    counts[cells] = np.minimum(counts[cells] + np.minimum(n, FULL), FULL)
+
+
 def _summed(rows: DataFrame) -> np.ndarray:
     """Counts per cell, from one row per task and slot; the result has ``CELLS`` entries at any input size."""
 
     def add(key: tuple, tables: pa.Table) -> pa.Table:
-        total = np.zeros(CELLS // SLOTS, np.int64)
-        for cells in tables["cells"]:
-            total += np.frombuffer(cells.as_py(), np.uint32)
-        return pa.table({"slot": pa.array([key[0].as_py()], pa.int32()), "cells": [total.tobytes()]})
+        total = np.zeros(CELLS // SLOTS, np.uint16)
+        for part in tables["cells"]:
+            total = np.minimum(total + np.frombuffer(zstandard.decompress(part.as_py()), np.uint8), FULL).astype(np.uint16)
+        return pa.table({"slot": pa.array([key[0].as_py()], pa.int32()), "cells": [total.astype(np.uint8).tobytes()]})
 
     found = rows.groupBy("slot").applyInArrow(add, "slot int, cells binary").collect()
-    out = np.zeros((SLOTS, CELLS // SLOTS), np.int64)
+    out = np.zeros((SLOTS, CELLS // SLOTS), np.uint8)
     for row in found:
-        out[row["slot"]] = np.frombuffer(row["cells"], np.int64)
+        out[row["slot"]] = np.frombuffer(row["cells"], np.uint8)
     return out.ravel()
 
 
 def _cell_rows(counts: np.ndarray) -> list[dict]:
-    return [{"slot": i, "cells": part.astype(np.uint32).tobytes()} for i, part in enumerate(counts.reshape(SLOTS, -1))]
+    parts = counts.astype(np.uint8).reshape(SLOTS, -1)
+    return [{"slot": i, "cells": zstandard.compress(part.tobytes(), 1)} for i, part in enumerate(parts)]
 
 
 def _cell(values: np.ndarray) -> np.ndarray:
@@ -82,34 +94,33 @@ def _set_hash(values: np.ndarray, at: np.ndarray) -> np.ndarray:
 
 
 def classes_and_counts(docs: DataFrame, k: int) -> DataFrame:
-    """One row per document (doc_id, n_shingles, set_hash), and rows with each task's token counts (slot, cells)."""
+    """One row per document (row, doc_id, n_shingles, set_hash), and rows with each task's token counts (slot, cells)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(CELLS, np.int64)
+        counts = np.zeros(CELLS, np.uint16)
         schema = pa.schema(
-            [("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("set_hash", pa.int64()), ("slot", pa.int32()), ("cells", pa.binary())]
+            [("row", pa.int64()), ("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("set_hash", pa.int64()), ("slot", pa.int32()), ("cells", pa.binary())]
         )
         for batch in batches:
-            ids = batch.column(0)
-            for low, high, raw, starts in w.pieces(batch.column(1)):
+            for low, high, raw, starts in w.pieces(batch.column(2)):
                 values, at = _sets(raw, starts, k)
-                counts += np.bincount(_cell(values), minlength=CELLS)
+                _count(counts, values)
                 n = high - low
                 yield pa.record_batch(
-                    [ids.slice(low, n), np.diff(at), _set_hash(values, at), pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary())], schema=schema
+                    [batch.column(0).slice(low, n), batch.column(1).slice(low, n), np.diff(at), _set_hash(values, at), pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary())], schema=schema
                 )
         yield pa.RecordBatch.from_pylist(_cell_rows(counts), schema=schema)
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n_shingles long, set_hash long, slot int, cells binary")
+    return docs.select("row", "doc_id", "text").mapInArrow(run, "row long, doc_id long, n_shingles long, set_hash long, slot int, cells binary")
 
 
 def signatures(docs: DataFrame, k: int, num: int, den: int, rarity, orders: int) -> DataFrame:
-    """Per document with a set: set_hash, n, histogram, and the prefix of every order as ``prefix_i``."""
+    """Per row with a set: row, n, histogram, and the prefix of every order as ``prefix_i``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ranks = rarity.value
         for batch in batches:
-            for _, _, raw, starts in w.pieces(batch.column(1)):
+            for low, high, raw, starts in w.pieces(batch.column(1)):
                 values, at = _sets(raw, starts, k)
                 n = np.diff(at)
                 full = np.flatnonzero(n)
@@ -117,7 +128,7 @@ def signatures(docs: DataFrame, k: int, num: int, den: int, rarity, orders: int)
                 bins = text * BINS + (w.scramble(values, 31) % np.uint64(BINS)).astype(np.int64)
                 hist = np.minimum(np.bincount(bins, minlength=len(n) * BINS), 65535).astype(np.uint16).reshape(len(n), BINS)
                 columns = [
-                    pa.array(_set_hash(values, at)[full]),
+                    batch.column(0).slice(low, high - low).take(pa.array(full)),
                     pa.array(n[full]),
                     pa.array([h.astype(np.uint8).tobytes() if h.max() < 256 else h.tobytes() for h in hist[full]], pa.binary()),
                 ]
@@ -126,21 +137,21 @@ def signatures(docs: DataFrame, k: int, num: int, den: int, rarity, orders: int)
                 place = np.arange(len(values)) - np.repeat(at[:-1], n)
                 for i in range(orders):
                     # rarity in the top bits, the order's own ranking below; ties of the whole key are broken by the token
-                    key = (rank << np.uint64(58)) | (w.scramble(values, 100 + i) >> np.uint64(6))
+                    key = (rank << np.uint64(56)) | (w.scramble(values, 100 + i) >> np.uint64(8))
                     chosen = values[np.lexsort((values, key, text))][place < size[text]]
                     ends = np.concatenate([[0], np.cumsum(size[full])])
                     columns.append(pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(chosen.view(np.int64))))
-                yield pa.record_batch(columns, names=["set_hash", "n", "hist", *[f"prefix_{i}" for i in range(orders)]])
+                yield pa.record_batch(columns, names=["row", "n", "hist", *[f"prefix_{i}" for i in range(orders)]])
 
-    schema = "set_hash long, n long, hist binary, " + ", ".join(f"prefix_{i} array<long>" for i in range(orders))
-    return docs.select("doc_id", "text").mapInArrow(run, schema)
+    schema = "row long, n long, hist binary, " + ", ".join(f"prefix_{i} array<long>" for i in range(orders))
+    return docs.select("row", "text").mapInArrow(run, schema)
 
 
-def buckets(signed: DataFrame, described: DataFrame, order: int) -> DataFrame:
-    """(token, size, node, n, hist): the classes of each prefix token that two or more classes have."""
-    rows = signed.select(F.explode(f"prefix_{order}").alias("token"), "set_hash").distinct()
+def buckets(signed: DataFrame, order: int) -> DataFrame:
+    """(token, size, node): the classes of each prefix token that two or more classes have."""
+    rows = signed.select(F.explode(f"prefix_{order}").alias("token"), "node")
     shared = cut_lineage(rows.groupBy("token").agg(F.count("*").alias("size")).filter("size > 1"))
-    return rows.join(shared, "token").join(described, "set_hash").select("token", "size", "node", "n", "hist")
+    return cut_lineage(rows.join(shared, "token").select("token", "size", "node"))
 
 
 def _histograms(column: pa.ChunkedArray) -> np.ndarray:
@@ -165,7 +176,7 @@ def _blocks(column: str = "size") -> F.Column:
     return F.ceil(F.col(column) / BLOCK).cast("int")
 
 
-def star_candidates(rows: DataFrame, num: int, den: int) -> DataFrame:
+def star_candidates(rows: DataFrame, described: DataFrame, num: int, den: int) -> DataFrame:
     """(a, b): each member of a bucket's block with the block's smallest node, if the bounds leave it open."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -181,11 +192,11 @@ def star_candidates(rows: DataFrame, num: int, den: int) -> DataFrame:
                 yield pa.record_batch([node[head[keep]], node[keep]], names=["a", "b"])
 
     block = F.pmod(F.xxhash64("node", "token"), _blocks()).cast("int")
-    dealt = rows.withColumn("block", block).repartition("token", "block").sortWithinPartitions("token", "block", "node")
+    dealt = rows.join(described, "node").withColumn("block", block).repartition("token", "block").sortWithinPartitions("token", "block", "node")
     return dealt.select("token", "block", "node", "n", "hist").mapInArrow(run, "a long, b long").distinct()
 
 
-def cross_candidates(rows: DataFrame, num: int, den: int) -> DataFrame:
+def cross_candidates(rows: DataFrame, described: DataFrame, num: int, den: int) -> DataFrame:
     """(a, b): pairs of one bucket in different components that the bounds leave open. ``rows`` has ``comp``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -221,6 +232,7 @@ def cross_candidates(rows: DataFrame, num: int, den: int) -> DataFrame:
     )
     dealt = (
         rows.join(mixed, "token")
+        .join(described, "node")
         .withColumn("block", F.pmod(F.xxhash64("node", "token"), _blocks()).cast("int"))
         .withColumn("pair", F.explode(blocks))
         .select("token", "pair.one", "pair.two", "block", "node", "n", "comp", "hist")
@@ -231,23 +243,9 @@ def cross_candidates(rows: DataFrame, num: int, den: int) -> DataFrame:
 
 
 def _only_wanted(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """Documents whose id may be wanted, by a filter of fixed size; the join that follows settles it."""
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(CELLS, np.int64)
-        for batch in batches:
-            counts += np.bincount(_cell(numbers(batch.column(0)).view(np.uint64)), minlength=CELLS)
-        yield pa.RecordBatch.from_pylist(_cell_rows(counts), schema=pa.schema([("slot", pa.int32()), ("cells", pa.binary())]))
-
-    wanted = _summed(ids.mapInArrow(count, "slot int, cells binary")) > 0
-    bits = docs.sparkSession.sparkContext.broadcast(np.packbits(wanted))
-
-    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hit = np.unpackbits(bits.value).astype(bool)
-        for batch in batches:
-            yield batch.filter(pa.array(hit[_cell(numbers(batch.column(0)).view(np.uint64))]))
-
-    return docs.select("doc_id", "text").mapInArrow(keep, "doc_id long, text string")
+    """Rows whose number may be wanted, by a filter of at most ``FILTER_CELLS`` entries; the join that follows settles it."""
+    cell = F.pmod(F.col("row"), F.lit(FILTER_CELLS)).cast("int").alias("cell")
+    return docs.select("row", "text", cell).join(F.broadcast(ids.select(cell).distinct()), "cell", "left_semi").drop("cell")
 
 
 def linked(docs: DataFrame, pairs: DataFrame, k: int, num: int, den: int) -> DataFrame:
@@ -272,11 +270,11 @@ def linked(docs: DataFrame, pairs: DataFrame, k: int, num: int, den: int) -> Dat
                 yield part.select(["a", "b"]).filter(pa.array(den * common >= num * union))
 
     pairs = cut_lineage(pairs)
-    ids = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
-    texts = _only_wanted(docs, ids)
+    ids = pairs.select(F.col("a").alias("row")).union(pairs.select("b")).distinct()
+    texts = _only_wanted(docs, ids).join(ids, "row").dropDuplicates(["row"])
     rows = (
-        pairs.join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")), "b")
-        .join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a")
+        pairs.join(texts.select(F.col("row").alias("b"), F.col("text").alias("text_b")), "b")
+        .join(texts.select(F.col("row").alias("a"), F.col("text").alias("text_a")), "a")
         .select("a", "b", "text_a", "text_b")
     )
     return cut_lineage(rows.mapInArrow(run, "a long, b long"))
@@ -285,38 +283,36 @@ def linked(docs: DataFrame, pairs: DataFrame, k: int, num: int, den: int) -> Dat
 def jaccard_components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100, orders: int = ORDERS) -> DataFrame:
     """(doc_id, n_shingles, component_id) for every row of ``docs`` (doc_id, text)."""
     spark = docs.sparkSession
+    docs = docs.select(F.xxhash64("doc_id", "text").alias("row"), "doc_id", "text")
     first = cut_lineage(classes_and_counts(docs, k))
-    per_doc = first.filter("slot is null").select("doc_id", "n_shingles", "set_hash")
+    per_doc = first.filter("slot is null").select("row", "doc_id", "n_shingles", "set_hash")
     counts = _summed(first.filter("slot is not null").select("slot", "cells"))
-    rarity = spark.sparkContext.broadcast(np.minimum(np.log2(np.maximum(counts, 1)), 63).astype(np.uint8))
+    rarity = spark.sparkContext.broadcast(counts)
 
     classes = cut_lineage(
-        per_doc.filter("n_shingles > 0").groupBy("set_hash").agg(F.min("doc_id").alias("node"), F.max("n_shingles").alias("n"))
+        per_doc.filter("n_shingles > 0").groupBy("set_hash").agg(F.min("row").alias("node"), F.min("doc_id").alias("low"))
     )
-    signed = cut_lineage(signatures(docs, k, num, den, rarity, orders))
-    hists = signed.select("set_hash", "hist").dropDuplicates(["set_hash"])
-    described = cut_lineage(classes.join(hists, "set_hash"))
+    own = signatures(docs, k, num, den, rarity, orders)
+    signed = cut_lineage(own.withColumnRenamed("row", "node").join(classes.select("node"), "node").dropDuplicates(["node"]))
+    described = signed.select("node", "n", "hist")
 
-    by_order = [cut_lineage(buckets(signed, described, i)) for i in range(orders)]
-    near = linked(docs, star_candidates(by_order[0], num, den), k, num, den)
+    by_order = [buckets(signed, i) for i in range(orders)]
+    near = linked(docs, star_candidates(by_order[0], described, num, den), k, num, den)
     merged = components(near)
 
     candidates = None
     for rows in by_order:
-        with_comp = rows.join(merged, rows.node == merged.node, "left").select(
-            "token", "size", rows.node, "n", "hist", F.coalesce("component", rows.node).alias("comp")
-        )
-        found = cross_candidates(cut_lineage(with_comp), num, den)
+        with_comp = rows.join(merged, "node", "left").withColumn("comp", F.coalesce("component", "node"))
+        found = cross_candidates(with_comp.select("token", "size", "node", "comp"), described, num, den)
         candidates = found if candidates is None else candidates.intersect(found)
     rest = linked(docs, candidates, k, num, den)
-    final = cut_lineage(components(near.union(rest)).withColumnRenamed("node", "of"))
-
-    named = cut_lineage(
-        classes.join(final, classes.node == final.of, "left").select("set_hash", F.coalesce("component", "node").alias("component_id"))
-    )
+    final = components(near.union(rest))
+    in_component = classes.join(final, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    lowest = cut_lineage(in_component.groupBy("component").agg(F.min("low").alias("component_id")))
+    named = cut_lineage(in_component.join(lowest, "component").select("set_hash", "component_id"))
     key = F.when(F.col("n_shingles") > 0, F.col("set_hash"))  # empty sets join nothing
     return (
         per_doc.withColumn("set_hash", key)
         .join(named, "set_hash", "left")
-        .select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
+        .select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
     )

@@ -75,26 +75,59 @@ def run_starts(keys: Sequence[np.ndarray]) -> np.ndarray:
     return np.flatnonzero(new)
 
 
+# Edges that one task contracts; more of them take more tasks.
+EDGES_PER_TASK = 1_000_000
+
+
+def _contracted(edges: DataFrame) -> DataFrame:
+    """(v, u): each node of the edges (a, b) that a task holds, with the smallest node it reaches inside it."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [b for b in batches if b.num_rows]
+        if not held:
+            return
+        one, two = (np.concatenate([numbers(b.column(i)) for b in held]) for i in (0, 1))
+        nodes, place = np.unique(np.concatenate([one, two]), return_inverse=True)
+        one, two = place[: len(one)], place[len(one) :]
+        root = np.arange(len(nodes))
+        while (root[one] != root[two]).any():
+            low = np.minimum(root[one], root[two])
+            np.minimum.at(root, root[one], low)
+            np.minimum.at(root, root[two], low)
+            while (root[root] != root).any():
+                root = root[root]
+        member = np.flatnonzero(root != np.arange(len(nodes)))
+        yield pa.record_batch([nodes[member], nodes[root[member]]], names=["v", "u"])
+
+    tasks = -(-edges.count() // EDGES_PER_TASK)
+    return cut_lineage(edges.select("a", "b").coalesce(max(1, tasks)).mapInArrow(run, "v long, u long"))
+
+
+def _settled(stars: DataFrame) -> bool:
+    """Whether every node has one root, and no root has one itself."""
+    sides = stars.select(F.col("v").alias("node"), F.lit(1).alias("below")).union(stars.select("u", F.lit(0)))
+    per = sides.groupBy("node").agg(F.sum("below").alias("roots"), F.min("below").alias("above"))
+    return not per.agg(F.max((F.col("roots") > 1) | ((F.col("roots") > 0) & (F.col("above") == 0)))).first()[0]
+
+
 def components(edges: DataFrame, rounds: int = 50) -> DataFrame:
-    """(node, component): the smallest node reachable, for every node of ``edges`` (a, b).
+    """(node, component): the smallest node reachable, for every node of ``edges`` (a, b), a written table or cheap to read.
 
-    Alternating large and small stars; each half is written out, so a lost executor repeats one half at most. A node's
-    smallest neighbour comes from a partial aggregation and meets its edges in a join that adaptive execution can
-    split, so a node with very many edges does not end in one task.
+    Each round first contracts the edges that share a partition, then alternates a large and a small star between
+    partitions. Results are written out, so a lost executor repeats one step at most. A node's smallest neighbour comes from
+    a partial aggregation and meets its edges in a join that adaptive execution can split, so a node with very many
+    edges does not end in one task.
     """
-    now = cut_lineage(edges.filter("a <> b").select(F.greatest("a", "b").alias("v"), F.least("a", "b").alias("u")).distinct())
-    seen = None
+    now = _contracted(edges.filter("a <> b"))
     for _ in range(rounds):
+        if _settled(now):
+            break
         both = now.select("u", "v").union(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = cut_lineage(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")))
         large = cut_lineage(both.filter("v > u").join(least, "u").select("v", F.col("m").alias("u")).distinct())
         lowest = cut_lineage(large.groupBy("v").agg(F.min("u").alias("m")))
-        moved = large.join(lowest, "v").select(F.col("u").alias("v"), F.col("m").alias("u")).filter("v <> u")
-        now = cut_lineage(moved.union(lowest.select("v", F.col("m").alias("u"))).distinct())
-        state = now.agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")).first()
-        if state == seen:
-            break
-        seen = state
+        moved = large.join(lowest, "v").select(F.col("u").alias("a"), F.col("m").alias("b")).filter("a <> b")
+        now = _contracted(cut_lineage(moved.union(lowest.select(F.col("v").alias("a"), F.col("m").alias("b")))))
     else:
         raise RuntimeError(f"components did not settle in {rounds} rounds")
     roots = now.select(F.col("u").alias("node")).distinct()
