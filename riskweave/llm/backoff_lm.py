@@ -31,7 +31,7 @@ from riskweave.llm.tables import WORD
 
 ORDER = 3
 ALPHA = 0.4
-BITS = 56
+BITS = 52
 BUCKET_BYTES = 8_000_000
 PARTITION_BYTES = 16_000_000
 
