@@ -130,7 +130,7 @@ def signatures(docs: DataFrame, k: int, num: int, den: int, rarity, orders: int)
                 columns = [
                     batch.column(0).slice(low, high - low).take(pa.array(full)),
                     pa.array(n[full]),
-                    pa.array([h.astype(np.uint8).tobytes() if h.max() < 256 else h.tobytes() for h in hist[full]], pa.binary()),
+                    pa.array([_packed(h) for h in hist[full]], pa.binary()),
                 ]
                 rank = ranks[_cell(values)].astype(np.uint64)
                 size = (n - need(n, num, den) + 1) * (n > 0)
@@ -148,17 +148,29 @@ def signatures(docs: DataFrame, k: int, num: int, den: int, rarity, orders: int)
 
 
 def buckets(signed: DataFrame, order: int) -> DataFrame:
-    """(token, size, node): the classes of each prefix token that two or more classes have."""
+    """(token, size, lead, node): the classes of each prefix token that two or more classes have, and the smallest of them."""
     rows = signed.select(F.explode(f"prefix_{order}").alias("token"), "node")
-    shared = cut_lineage(rows.groupBy("token").agg(F.count("*").alias("size")).filter("size > 1"))
-    return cut_lineage(rows.join(shared, "token").select("token", "size", "node"))
+    shared = cut_lineage(rows.groupBy("token").agg(F.count("*").alias("size"), F.min("node").alias("lead")).filter("size > 1"))
+    return cut_lineage(rows.join(shared, "token").select("token", "size", "lead", "node"))
 
 
-def _histograms(column: pa.ChunkedArray) -> np.ndarray:
+def _packed(hist: np.ndarray) -> bytes:
+    """A histogram in 4, 8 or 16 bits a bin, told apart by the length."""
+    most = hist.max()
+    if most < 16:
+        return (hist[::2] | hist[1::2] << 4).astype(np.uint8).tobytes()
+    return hist.astype(np.uint8).tobytes() if most < 256 else hist.tobytes()
+
+
+def _histograms(column: pa.Array) -> np.ndarray:
     out = np.zeros((len(column), BINS), np.uint16)
     for i, h in enumerate(column):
         b = h.as_buffer()
-        out[i] = np.frombuffer(b, np.uint8 if len(b) == BINS else np.uint16)
+        if len(b) == BINS // 2:
+            pairs = np.frombuffer(b, np.uint8)
+            out[i, ::2], out[i, 1::2] = pairs & 15, pairs >> 4
+        else:
+            out[i] = np.frombuffer(b, np.uint8 if len(b) == BINS else np.uint16)
     return out
 
 
@@ -197,20 +209,26 @@ def star_candidates(rows: DataFrame, described: DataFrame, num: int, den: int) -
 
 
 def cross_candidates(rows: DataFrame, described: DataFrame, num: int, den: int) -> DataFrame:
-    """(a, b): pairs of one bucket in different components that the bounds leave open. ``rows`` has ``comp``."""
+    """(a, b): pairs of one bucket in different components that the bounds leave open. ``rows`` has ``comp``.
+
+    Buckets of one family mostly have the same smallest node. Their blocks are dealt to tasks by that node, and a node's
+    block is the same in all of them, so a pair that shares many tokens leaves its task once and not once per token.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for t in whole_runs(batches, ["token", "one", "two"]):
+        for t in whole_runs(batches, ["lead", "one", "two"]):
             node, n, comp = numbers(t["node"]), numbers(t["n"]), numbers(t["comp"])
             one, two, block = numbers(t["one"]), numbers(t["two"]), numbers(t["block"])
-            starts = run_starts([numbers(t["token"]), one, two])
+            starts = run_starts([numbers(t["lead"]), one, two, numbers(t["token"])])
             group = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, len(node))))
             # rows of a group ascend in n: partners of i stand behind it, as far as their size allows
             limit = n * den // num
             width = int(n.max()) + 2
             end = np.searchsorted(group * width + n, group * width + np.minimum(limit, width - 1), "right")
             many = np.maximum(end - np.arange(len(node)) - 1, 0)
-            hist = _histograms(t["hist"])
+            _, first, own = np.unique(node, return_index=True, return_inverse=True)
+            hist, size = _histograms(t["hist"].take(pa.array(first))), n[first]
+            found = np.zeros((0, 2), np.int64)
             totals = np.cumsum(many)
             low = 0
             while low < len(node):
@@ -219,25 +237,27 @@ def cross_candidates(rows: DataFrame, described: DataFrame, num: int, den: int)
                 base = np.repeat(totals[low:high] - many[low:high], many[low:high]) - (totals[low - 1] if low else 0)
                 j = i + 1 + np.arange(len(i)) - base
                 right = (comp[i] != comp[j]) & ((one[i] == two[i]) | (block[i] != block[j]))
-                i, j = i[right], j[right]
-                keep = _may_link(i, j, n, hist, num, den)
-                a, b = node[i[keep]], node[j[keep]]
-                yield pa.record_batch([np.minimum(a, b), np.maximum(a, b)], names=["a", "b"])
+                pairs = np.unique(np.sort(np.stack([own[i[right]], own[j[right]]], 1), axis=1), axis=0)
+                keep = _may_link(pairs[:, 0], pairs[:, 1], size, hist, num, den)
+                found = np.unique(np.concatenate([found, pairs[keep]]), axis=0)
                 low = high
+            yield pa.record_batch([node[first][found[:, 0]], node[first][found[:, 1]]], names=["a", "b"])
 
     mixed = rows.groupBy("token").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1")).filter("c0 <> c1").select("token")
-    blocks = F.transform(
-        F.sequence(F.lit(0), _blocks() - 1),
+    # a power of two, so that a node's block is the same in buckets of like size
+    blocks = F.pow(F.lit(2.0), F.ceil(F.log2(F.greatest(F.col("size") / BLOCK, F.lit(1.0))))).cast("int")
+    with_each = F.transform(
+        F.sequence(F.lit(0), blocks - 1),
         lambda x: F.struct(F.least(x, F.col("block")).alias("one"), F.greatest(x, F.col("block")).alias("two")),
     )
     dealt = (
         rows.join(mixed, "token")
         .join(described, "node")
-        .withColumn("block", F.pmod(F.xxhash64("node", "token"), _blocks()).cast("int"))
-        .withColumn("pair", F.explode(blocks))
-        .select("token", "pair.one", "pair.two", "block", "node", "n", "comp", "hist")
-        .repartition("token", "one", "two")
-        .sortWithinPartitions("token", "one", "two", "n")
+        .withColumn("block", F.pmod(F.xxhash64("node"), blocks).cast("int"))
+        .withColumn("pair", F.explode(with_each))
+        .select("lead", "token", "pair.one", "pair.two", "block", "node", "n", "comp", "hist")
+        .repartition("lead", "one", "two")
+        .sortWithinPartitions("lead", "one", "two", "token", "n")
     )
     return dealt.mapInArrow(run, "a long, b long").distinct()
 
@@ -303,7 +323,7 @@ def jaccard_components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 10
     candidates = None
     for rows in by_order:
         with_comp = rows.join(merged, "node", "left").withColumn("comp", F.coalesce("component", "node"))
-        found = cross_candidates(with_comp.select("token", "size", "node", "comp"), described, num, den)
+        found = cross_candidates(with_comp.select("token", "size", "lead", "node", "comp"), described, num, den)
         candidates = found if candidates is None else candidates.intersect(found)
     rest = linked(docs, candidates, k, num, den)
     final = components(near.union(rest))
