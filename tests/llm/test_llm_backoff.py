@@ -1,6 +1,8 @@
 import math
 from collections import Counter
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from llm_fixtures import LOWER, frame, odd_rows, random_rows, words
 
@@ -48,3 +50,16 @@ def test_odd_rows_and_no_rows(odd, nothing):
     found = backoff_lm.scores(odd).collect()
     assert sorted(((r["doc_id"], r["n_words"], r["log_score"] and round(r["log_score"], 6)) for r in found), key=str) == brute(odd_rows(), 3)
     assert backoff_lm.scores(nothing).count() == 0
+
+
+def test_hashes_that_differ_in_their_last_bit_are_different_keys(monkeypatch):
+    monkeypatch.setattr(backoff_lm.w, "grams", lambda one, at, n: (np.arange(len(one) - n + 1, dtype=np.uint64), None))
+    grams = backoff_lm.keys(pa.chunked_array([["a b c d"]]), 2)[0]
+    assert [g.tolist() for g in grams] == [[0, 1, 2, 3], [0, 1, 2]]
+
+
+@pytest.mark.parametrize("top", [1, 2, 300, 1 << 44, (1 << 64) - 1])
+@pytest.mark.parametrize("n", [0, 1, 5000])
+def test_squeezed_integers_come_back(top, n):
+    values = np.random.default_rng(n).integers(0, top, n, dtype=np.uint64, endpoint=True)
+    assert backoff_lm.expand(backoff_lm.squeeze(values)).tolist() == values.tolist()
