@@ -5,7 +5,7 @@ Doubles that come out of sums are rounded here, because the order of summation d
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -37,13 +37,6 @@ LINEAR_WEIGHTS = {
     "location_change": 0.05,
 }
 
-# Small settings for the registered model queries; the full-size ones are the library's defaults.
-SMALL = {
-    models.LOGISTIC: {"maxIter": 100},
-    models.FOREST: {"numTrees": 20, "maxDepth": 6},
-    models.BOOSTED: {"maxIter": 12, "maxDepth": 4},
-}
-
 
 def register(query: Query) -> Query:
     QUERIES[query.__name__] = query
@@ -434,18 +427,22 @@ def linear_explain_top(spark: SparkSession, sf_dir: str) -> DataFrame:
 _TRAINED: dict[tuple[str, str], tuple[dict[str, models.RiskModel], DataFrame]] = {}
 
 
-def trained(spark: SparkSession, sf_dir: str) -> tuple[dict[str, models.RiskModel], DataFrame]:
-    """Models and feature table of one session and folder: trained once, then used by every model query."""
+def trained(
+    spark: SparkSession, sf_dir: str, kinds: Iterable[str] = models.KINDS
+) -> tuple[dict[str, models.RiskModel], DataFrame]:
+    """Full-size models and feature table of one session and folder: each is trained once, by the first query that needs it."""
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _TRAINED:
-        table = workflow.write_features(transactions(spark, sf_dir), new_path(spark, "features"))
-        _TRAINED[key] = (models.train_models(workflow.part(table, "train"), settings=SMALL), table)
-    return _TRAINED[key]
+        _TRAINED[key] = ({}, workflow.write_features(transactions(spark, sf_dir), new_path(spark, "features")))
+    fitted, table = _TRAINED[key]
+    if missing := [k for k in kinds if k not in fitted]:
+        fitted |= models.train_models(workflow.part(table, "train"), missing)
+    return {k: fitted[k] for k in kinds}, table
 
 
 def _scores(name: str, kind: str) -> None:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        fitted, table = trained(spark, sf_dir)
+        fitted, table = trained(spark, sf_dir, [kind])
         scored = fitted[kind].score(workflow.part(table, "test"))
         return scored.select("transaction_id", LABEL, "fraud_probability")
 
@@ -470,7 +467,7 @@ def model_comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _attributed(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, list[str]]:
-    fitted, table = trained(spark, sf_dir)
+    fitted, table = trained(spark, sf_dir, [models.BOOSTED])
     model = fitted[models.BOOSTED]
     return explain.tree_attributions(model, workflow.part(table, "test")), model.encoding.names
 
@@ -494,7 +491,7 @@ def attribution_long(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def explain_top(spark: SparkSession, sf_dir: str) -> DataFrame:
-    fitted, table = trained(spark, sf_dir)
+    fitted, table = trained(spark, sf_dir, [models.BOOSTED])
     return explain.explain_riskiest(fitted[models.BOOSTED], workflow.part(table, "test"))
 
 
@@ -509,5 +506,5 @@ def _streamed(spark: SparkSession, sf_dir: str, model) -> DataFrame:
 @register
 def score_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The request table as a stream, scored until its end; returns what the sink received."""
-    fitted, _ = trained(spark, sf_dir)
+    fitted, _ = trained(spark, sf_dir, [models.BOOSTED])
     return _streamed(spark, sf_dir, fitted[models.BOOSTED]).withColumn("errors", F.array_join("errors", ","))

@@ -1,5 +1,6 @@
 import json
 import random
+import threading
 
 import numpy as np
 import pytest
@@ -11,7 +12,7 @@ from riskweave.operators import explain as x
 from riskweave.operators import models as m
 from riskweave.operators import requests as rq
 from riskweave.operators.scoring import PROBABILITY
-from riskweave.plans import workflow
+from riskweave.plans import catalog, workflow
 from riskweave.schema import REQUESTS
 from riskweave.sources.events import requests_from_events, transactions_from_events
 from riskweave.streaming import scoring as stream
@@ -82,6 +83,37 @@ def test_logistic_matches_newton(spark, fitted):
     assert np.isin(np.round(v.std(axis=0), 9), [0.0, 1.0]).all()
 
 
+def test_registered_queries_train_at_full_size(spark, monkeypatch, fitted):
+    run, _ = fitted
+    asked = []
+
+    def train(rows, kinds=m.KINDS, settings=None, encoding=None):
+        asked.extend((k, {**m.SETTINGS[k], **(settings or {}).get(k, {})}) for k in kinds)
+        return {k: run.models[k] for k in kinds}
+
+    monkeypatch.setattr(catalog, "_TRAINED", {})
+    monkeypatch.setattr(m, "train_models", train)
+    catalog.QUERIES["rf_scores"](spark, "/root/testdata/sf0.001")
+    catalog.QUERIES["validation_metrics"](spark, "/root/testdata/sf0.001")
+    # no model twice, none smaller than the library's
+    assert sorted(asked, key=str) == sorted(m.SETTINGS.items(), key=str)
+    sizes = {k: (s.get("numTrees"), s["maxIter"] if "maxIter" in s else None, s.get("maxDepth")) for k, s in asked}
+    assert sizes == {m.LOGISTIC: (None, 1000, None), m.FOREST: (300, None, 12), m.BOOSTED: (None, 400, 6)}
+
+
+def test_models_are_fitted_at_the_same_time(fitted, monkeypatch):
+    run, _ = fitted
+    together, estimator = threading.Barrier(3, timeout=60), m._estimator
+
+    def met(kind, rows, settings):
+        together.wait()
+        return estimator(kind, rows, settings)
+
+    monkeypatch.setattr(m, "_estimator", met)
+    again = m.train_models(workflow.part(run.features, "train"), settings=SMALL)
+    assert list(again) == list(m.KINDS) and all(again[k].kind == k for k in again)
+
+
 def test_training_needs_both_classes(make):
     from riskweave.operators.features import build_features
 
