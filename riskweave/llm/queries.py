@@ -9,6 +9,7 @@ from riskweave.llm import (
     backoff_lm,
     chat,
     decontaminate,
+    hard_negatives,
     jaccard_join,
     language_crf,
     mixing,
@@ -208,6 +209,36 @@ def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.predict(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
+def op12_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    """The best negatives in the score window of each anchor's positives; every seventh row carries a wrong label."""
+    label = F.col("label").cast("long")
+    wrong = F.when(F.col("vec_id") % 7 == 0, (label + 1) % 10).otherwise(label)
+    vectors = table(spark, folder, "embeddings").select("vec_id", wrong.alias("label"), "embedding")
+    return hard_negatives.mine(vectors, F.col("vec_id") % 100 == 0)
+
+
+OP12_SQL = """
+with v as (
+  select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+    list_transform(embedding, lambda x: floor(256 * x::double)) as q
+  from embeddings
+  where label is not null and embedding is not null
+    and len(list_filter(embedding, lambda x: x is null or isnan(x) or isinf(x))) = 0),
+s as (
+  select a.vec_id as anchor_id, c.vec_id, c.label = a.label as same, list_dot_product(a.q, c.q)::bigint as score
+  from v a join v c on a.vec_id <> c.vec_id where a.vec_id % 100 = 0),
+p as (
+  select anchor_id, vec_id as positive_id, score as positive_score from s where same
+  qualify row_number() over (partition by anchor_id order by score desc, vec_id) <= 5)
+select anchor_id, positive_id,
+  (row_number() over (partition by anchor_id, positive_id order by s.score desc, s.vec_id))::int as rank,
+  s.vec_id as negative_id, positive_score, s.score as negative_score
+from p join s using (anchor_id)
+where not same and 30 * positive_score <= 100 * s.score and 100 * s.score <= 90 * positive_score
+qualify rank <= 10
+"""
+
+
 QUERIES = {
     "op1_language_crf": op1_language_crf,
     "op2_suffix_repetition": op2_suffix_repetition,
@@ -219,6 +250,7 @@ QUERIES = {
     "op8_backoff_lm": op8_backoff_lm,
     "op9_chat_examples": op9_chat_examples,
     "op10_toxicity": op10_toxicity,
+    "op12_hard_negatives": op12_hard_negatives,
 }
 
 
@@ -229,4 +261,5 @@ def sql() -> dict[str, str]:
         "op6_mix": OP6_SQL,
         "op8_backoff_lm": OP8_SQL,
         "op9_chat_examples": OP9_SQL,
+        "op12_hard_negatives": OP12_SQL,
     }
