@@ -15,6 +15,7 @@ from riskweave.llm import (
     mixing,
     repetition,
     sharding,
+    simhash,
     token_file,
     toxicity,
 )
@@ -239,6 +240,11 @@ qualify rank <= 10
 """
 
 
+def op13_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    """Fingerprint and component of every document, by links of four bits or fewer."""
+    return simhash.near_components(table(spark, folder, "documents"))
+
+
 QUERIES = {
     "op1_language_crf": op1_language_crf,
     "op2_suffix_repetition": op2_suffix_repetition,
@@ -251,6 +257,7 @@ QUERIES = {
     "op9_chat_examples": op9_chat_examples,
     "op10_toxicity": op10_toxicity,
     "op12_hard_negatives": op12_hard_negatives,
+    "op13_simhash": op13_simhash,
 }
 
 
