@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from riskweave.llm import (
     backoff_lm,
+    burst_trie,
     chat,
     decontaminate,
     hard_negatives,
@@ -20,6 +21,7 @@ from riskweave.llm import (
     toxicity,
 )
 from riskweave.llm.tables import table
+from riskweave.session import cut_lineage
 
 WORDS_SQL = r"""regexp_extract_all({text}, '[^\x20\x09-\x0D]+')"""
 LOWER_SQL = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -210,6 +212,44 @@ def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.predict(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
+def op11_burst_trie(spark: SparkSession, folder: str) -> DataFrame:
+    """Every node of the prefix trie of all conversations, each rebuilt on the first turns of its family's first one."""
+    placed = cut_lineage(burst_trie.positions(table(spark, folder, "conversations")))
+    return burst_trie.trie(*burst_trie.with_shared_heads(placed))
+
+
+# crc32 bit by bit: every byte is mixed in and shifted out by eight steps, which the -1 stand for.
+OP11_SQL = f"""
+with t as (
+  select conv_id as c, coalesce(role, '') as r, coalesce(text, '') as x,
+    row_number() over (partition by conv_id order by turn nulls first, coalesce(role, ''), coalesce(text, '')) as p
+  from conversations where conv_id is not null),
+k as (
+  select c, c - c % 20 as b, xor(4294967295, list_reduce(
+    list_prepend(4294967295::bigint, flatten(list_transform(string_split(c::varchar, ''), lambda y: [ascii(y)::bigint, -1, -1, -1, -1, -1, -1, -1, -1]))),
+    lambda a, y: case when y >= 0 then xor(a, y) when a % 2 = 1 then xor(a >> 1, 3988292384) else a >> 1 end)) % 4 as h
+  from (select distinct c from t)),
+z as (
+  select k.c, t.p as o, r, x from k join t on t.c = k.b and t.p <= k.h
+  union all select k.c, t.p + 3, r, x from k join t on t.c = k.c and t.p > k.h),
+s as (select c, row_number() over (partition by c order by o) as d, r, x from z),
+q as (
+  select c, d, list([r, x]) over (partition by c order by d rows unbounded preceding) as path, len({WORDS_SQL.format(text="x")}) as w from s
+  union all select c, 0, []::varchar[][], 0 from k),
+l as (select c, max(d) as d from q group by c),
+n as (select path, d, min(c) as conv_id, count(*) as n_convs, min(w) as w from q group by path, d),
+e as (select path, sha256(string_agg(c::varchar, ',' order by c)) as ends_sha256 from q join l using (c, d) group by path),
+g as (select list_slice(path, 1, d - 1) as path, count(*) as n_children from n where d > 0 group by 1),
+u as (
+  select q.path, sum((n_convs - 1) * n.w)::bigint as saved_tokens, count(*) filter (g.n_children is null) as n_leaves
+  from n left join g using (path) join q on q.c = n.conv_id and q.d <= n.d group by q.path)
+select n.conv_id, n.d as depth, f.conv_id as parent_conv_id, n.n_convs, coalesce(g.n_children, 0) as n_children, u.n_leaves,
+  u.saved_tokens, coalesce(e.ends_sha256, sha256('')) as ends_sha256
+from n join u using (path) left join g using (path) left join e using (path)
+  left join n f on n.d > 0 and f.path = list_slice(n.path, 1, n.d - 1)
+"""
+
+
 def op12_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
     """The best negatives in the score window of each anchor's positives; every seventh row carries a wrong label."""
     label = F.col("label").cast("long")
@@ -256,6 +296,7 @@ QUERIES = {
     "op8_backoff_lm": op8_backoff_lm,
     "op9_chat_examples": op9_chat_examples,
     "op10_toxicity": op10_toxicity,
+    "op11_burst_trie": op11_burst_trie,
     "op12_hard_negatives": op12_hard_negatives,
     "op13_simhash": op13_simhash,
 }
@@ -268,5 +309,6 @@ def sql() -> dict[str, str]:
         "op6_mix": OP6_SQL,
         "op8_backoff_lm": OP8_SQL,
         "op9_chat_examples": OP9_SQL,
+        "op11_burst_trie": OP11_SQL,
         "op12_hard_negatives": OP12_SQL,
     }
