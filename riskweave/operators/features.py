@@ -1,12 +1,12 @@
 """Leakage-safe transaction features: every history column looks only at earlier rows of its customer.
 
-Ordinary customers share one hash exchange on ``customer_id`` and are handled by plain windows. The 24h
-and 1h counts are differences of two growing frames, so a row costs the same however many rows its
-window holds (a sliding frame would be summed afresh for every row).
+All rows are range-partitioned along (customer, time, id) into slices and take the same windows inside (customer, slice).
+Only a customer at the edge of a slice can continue in the next one, so at most one customer per slice needs more: what its
+earlier slices hold (sum and count of amounts, last place, devices seen, counts a day and an hour back) is carried over. No
+customer, however large, has to fit one task, and sums are integers, so the number of slices never changes a value.
 
-A customer with more rows than one task should hold is listed first, by a count per customer. Its rows
-are cut into slices of the order (time, id), and each slice starts from the totals of the slices before
-it, so no task ever holds the whole customer. Both ways give the same features.
+The 24h and 1h counts are differences of two growing frames, so a row costs the same however many rows its window holds (a
+sliding frame would be summed afresh for every row).
 """
 
 from __future__ import annotations
@@ -20,16 +20,15 @@ from pyspark.sql import functions as F
 from riskweave.functions.scalar import day_of_week, is_night, is_weekend
 from riskweave.operators.ordered import SLICE, add_earlier_totals, quantiles, slice_by
 from riskweave.schema import RATIO_EPSILON
-
-# A customer above HOT_ROWS is sliced. At most MAX_HOT customers are listed (the largest ones), which
-# bounds the broadcast list; any beyond it are smaller than 1/MAX_HOT of the table and stay whole.
-HOT_ROWS = 5_000_000
-MAX_HOT = 10_000
+from riskweave.session import cut_lineage
 
 HISTORY = ("running_avg", "last_24h", "last_1h", "new_device", "location_change")
 TIME, ID, CUSTOMER = "transaction_time", "transaction_id", "customer_id"
 # window width in hours behind each count column
 LOOKBACK = {"last_24h": 24, "last_1h": 1}
+# Amounts are summed as whole units and billionths of one, both integers: exact in any order.
+PARTS = 1_000_000_000
+SUMS = ("amount_units", "amount_parts", "amount_counted")
 
 
 def time_features(txns: DataFrame) -> DataFrame:
@@ -45,142 +44,139 @@ def time_features(txns: DataFrame) -> DataFrame:
     )
 
 
-def hot_customers(txns: DataFrame, hot_rows: int = HOT_ROWS) -> dict[int, int]:
-    """Row counts of the customers too large for one window task; at most ``MAX_HOT`` entries."""
-    counts = txns.groupBy(CUSTOMER).agg(F.count("*").alias("n")).filter(F.col("n") > hot_rows)
-    return {r[CUSTOMER]: r["n"] for r in counts.orderBy(F.col("n").desc()).limit(MAX_HOT).collect()}
-
-
-def add_history(txns: DataFrame, columns: Sequence[str] = HISTORY, hot_rows: int = HOT_ROWS) -> DataFrame:
+def add_history(txns: DataFrame, columns: Sequence[str] = HISTORY, slices: int | None = None) -> DataFrame:
     """Add the requested history columns; the running average is null where there is no earlier amount.
 
-    Ids are taken to be unique, and rows to have an id, a customer and a time (``keyed_rows``).
+    Ids are taken to be unique, and rows to have an id, a customer and a time (``keyed_rows``). Without a number of slices
+    it is the session's shuffle partitions, merged where they are small. A running average is exact to a billionth.
     """
-    hot = hot_customers(txns, hot_rows)
-    if not hot:
-        return _whole_customers(txns, columns)
-    listed = F.broadcast(txns.sparkSession.createDataFrame([(c,) for c in hot], f"{CUSTOMER} bigint"))
-    usual = _whole_customers(txns.join(listed, CUSTOMER, "left_anti"), columns)
-    # as many slices as keep each near ``hot_rows`` rows
-    slices = sum(hot.values()) // hot_rows + 1
-    return usual.unionByName(_sliced_customers(txns.join(listed, CUSTOMER, "left_semi"), columns, slices))
+    units = F.floor("amount")
+    summed = {
+        "amount_units": F.coalesce(units, F.lit(0)),
+        "amount_parts": F.coalesce(F.round((F.col("amount") - units) * PARTS).cast("long"), F.lit(0)),
+        "amount_counted": F.col("amount").isNotNull().cast("long"),
+    }
+    rows = slice_by(txns.withColumns(summed), CUSTOMER, TIME, ID, slices=slices)
+    over = spanning_customers(rows)
+    kept = [*txns.columns, *[c for c in HISTORY if c in columns]]
+    if not over.take(1):
+        return _finished(_inside_slices(rows, columns), columns).select(*kept)
+    listed = F.broadcast(over)  # a customer per slice at most
+    within = _inside_slices(rows.join(listed, CUSTOMER, "left_anti"), columns)
+    across = _carried(rows.join(listed, CUSTOMER, "left_semi"), columns, slices)
+    return _finished(within, columns).select(*kept).unionByName(_finished(across, columns).select(*kept))
 
 
-def _distance() -> Column:
-    north = F.col("location_lat") - F.col("before.lat")
-    east = F.col("location_lon") - F.col("before.lon")
-    return F.coalesce(F.sqrt(north * north + east * east), F.lit(0.0))
+def spanning_customers(rows: DataFrame) -> DataFrame:
+    """The customers with rows in several slices. Such a customer is the first or the last one of each of its slices."""
+    edges = rows.groupBy(SLICE).agg(F.array(F.min(CUSTOMER), F.max(CUSTOMER)).alias("edge"))
+    edges = edges.select(SLICE, F.explode("edge").alias(CUSTOMER)).distinct()
+    return cut_lineage(edges.groupBy(CUSTOMER).agg(F.count("*").alias("n")).filter("n > 1").select(CUSTOMER))
 
 
 def _place() -> Column:
     return F.struct(F.col("location_lat").alias("lat"), F.col("location_lon").alias("lon"))
 
 
-# --- ordinary customers: one exchange, plain windows --------------------------------------------
+def _distance() -> Column:
+    north = F.col("location_lat") - F.col("place_before.lat")
+    east = F.col("location_lon") - F.col("place_before.lon")
+    return F.coalesce(F.sqrt(north * north + east * east), F.lit(0.0))
+
+
+def _finished(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """The history columns out of what the windows gathered."""
+    total = F.col("amount_units_before").cast("double") + F.col("amount_parts_before") / F.lit(float(PARTS))
+    made = {
+        "running_avg": lambda: F.try_divide(total, F.col("amount_counted_before")),
+        "location_change": _distance,
+        # a missing device is no new one
+        "new_device": lambda: (F.col("first_of_device") & F.col("device").isNotNull()).cast("int"),
+    }
+    out = rows
+    for name in columns:
+        out = out.withColumn(name, made[name]() if name in made else F.col(name).cast("double"))
+    return out
+
+
+# --- inside a slice ------------------------------------------------------------------------------
 
 
 def _amounts_before(hours: int) -> Column:
-    """Amounts of this customer at or before one microsecond ahead of ``time - hours``."""
+    """Amounts of this customer and slice at or before one microsecond ahead of ``time - hours``."""
     return F.expr(
-        f"count(amount) over (partition by {CUSTOMER} order by {TIME} range between unbounded preceding"
+        f"count(amount) over (partition by {CUSTOMER}, {SLICE} order by {TIME} range between unbounded preceding"
         f" and interval '{hours}:00:00.000001' hour to second preceding)"
     )
 
 
-def _whole_customers(txns: DataFrame, columns: Sequence[str]) -> DataFrame:
-    in_order = W.partitionBy(CUSTOMER).orderBy(TIME, ID)
-    made = {
-        # a missing device is no new one
-        "new_device": lambda: (
-            (F.row_number().over(W.partitionBy(CUSTOMER, "device").orderBy(TIME, ID)) == 1) & F.col("device").isNotNull()
-        ).cast("int"),
-        "running_avg": lambda: F.avg("amount").over(in_order.rowsBetween(W.unboundedPreceding, -1)),
-        "location_change": lambda: F.lag(_place()).over(in_order),
-        "last_24h": lambda: _amounts_before(24),
-        "last_1h": lambda: _amounts_before(1),
-    }
-    picked = [make().alias(name) for name, make in made.items() if name in columns]
+def _inside_slices(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """What each row's earlier rows in its slice give: sums, place, whether the device is new, and counts."""
+    in_order = W.partitionBy(CUSTOMER, SLICE).orderBy(TIME, ID)
+    picked = []
+    if "new_device" in columns:
+        of_device = W.partitionBy(CUSTOMER, SLICE, "device").orderBy(TIME, ID)
+        picked.append((F.row_number().over(of_device) == 1).alias("first_of_device"))
+    if "running_avg" in columns:
+        earlier = in_order.rowsBetween(W.unboundedPreceding, -1)
+        picked += [F.coalesce(F.sum(c).over(earlier), F.lit(0)).alias(f"{c}_before") for c in SUMS]
+    if "location_change" in columns:
+        picked.append(F.lag(_place()).over(in_order).alias("place_before"))
+        picked.append((F.row_number().over(in_order) == 1).alias("first_of_slice"))
     counted = [c for c in LOOKBACK if c in columns]
     if counted:
-        picked.append(_amounts_before(0).alias("earlier"))
-    out = txns.select("*", *picked)
-    for name in counted:
-        out = out.withColumn(name, (F.col("earlier") - F.col(name)).cast("double"))
-    if "location_change" in columns:
-        out = out.withColumnRenamed("location_change", "before").withColumn("location_change", _distance())
-    return out.select(*txns.columns, *[c for c in HISTORY if c in columns])
+        picked += [_amounts_before(0).alias("earlier"), *[_amounts_before(LOOKBACK[c]).alias(f"{c}_ago") for c in counted]]
+    out = rows.select("*", *picked)
+    return out.withColumns({c: F.col("earlier") - F.col(f"{c}_ago") for c in counted})
 
 
-# --- hot customers: slices of the order, carried totals -----------------------------------------
+# --- customers that go on in another slice -------------------------------------------------------
 
 
-def _sliced_customers(txns: DataFrame, columns: Sequence[str], slices: int) -> DataFrame:
-    rows = slice_by(
-        txns.select(
-            "*",
-            F.coalesce("amount", F.lit(0.0)).alias("amount_sum"),
-            F.col("amount").isNotNull().cast("long").alias("amount_count"),
-        ),
+def _carried(rows: DataFrame, columns: Sequence[str], slices: int | None) -> DataFrame:
+    """``_inside_slices`` with what the customer's earlier slices hold."""
+    out = _inside_slices(rows, columns)
+    per_slice = rows.groupBy(CUSTOMER, SLICE).agg(
+        *[F.sum(c).alias(c) for c in SUMS], F.max_by(_place(), F.struct(TIME, ID)).alias("place")
+    )
+    in_order = W.partitionBy(CUSTOMER).orderBy(SLICE)
+    earlier = in_order.rowsBetween(W.unboundedPreceding, -1)
+    # a row per slice, or two
+    carry = per_slice.select(
         CUSTOMER,
-        TIME,
-        ID,
-        slices=slices,
+        SLICE,
+        *[F.coalesce(F.sum(c).over(earlier), F.lit(0)).alias(f"{c}_carried") for c in SUMS],
+        F.lag("place").over(in_order).alias("place_carried"),
     )
-    out = rows
+    out = out.join(carry, [CUSTOMER, SLICE])
     if "running_avg" in columns:
-        out = _sliced_average(out)
+        out = out.withColumns({f"{c}_before": F.col(f"{c}_before") + F.col(f"{c}_carried") for c in SUMS})
     if "location_change" in columns:
-        out = _sliced_distance(out, rows)
+        before = F.when(F.col("first_of_slice"), F.col("place_carried")).otherwise(F.col("place_before"))
+        out = out.withColumn("place_before", before)
     if "new_device" in columns:
-        out = _sliced_novelty(out, rows)
+        out = _with_seen_devices(out, rows)
     if set(columns) & set(LOOKBACK):
-        out = _sliced_counts(out, rows, slices)
-    return out.select(*txns.columns, *[c for c in HISTORY if c in columns])
-
-
-def _sliced_average(rows: DataFrame) -> DataFrame:
-    inside = W.partitionBy(CUSTOMER, SLICE).orderBy(TIME, ID).rowsBetween(W.unboundedPreceding, -1)
-
-    def so_far(name: str) -> Column:
-        return F.col(f"before_{name}") + F.coalesce(F.sum(name).over(inside), F.lit(0))
-
-    carried = add_earlier_totals(rows, [CUSTOMER], ["amount_sum", "amount_count"])
-    return carried.select(
-        *rows.columns, F.try_divide(so_far("amount_sum"), so_far("amount_count")).alias("running_avg")
-    )
-
-
-def _sliced_distance(out: DataFrame, rows: DataFrame) -> DataFrame:
-    """The first row of a slice compares with the last row of the customer's previous slice."""
-    last = rows.groupBy(CUSTOMER, SLICE).agg(F.max_by(_place(), F.struct(TIME, ID)).alias("last_place"))
-    carried = last.select(
-        CUSTOMER, SLICE, F.lag("last_place").over(W.partitionBy(CUSTOMER).orderBy(SLICE)).alias("carried_place")
-    )
-    inside = W.partitionBy(CUSTOMER, SLICE).orderBy(TIME, ID)
-    # one row per slice and listed customer
-    joined = out.join(F.broadcast(carried), [CUSTOMER, SLICE])
-    first = F.row_number().over(inside) == 1
-    before = F.when(first, F.col("carried_place")).otherwise(F.lag(_place()).over(inside))
-    return joined.withColumn("before", before).withColumn("location_change", _distance()).select(
-        *out.columns, "location_change"
-    )
+        out = _with_counts(out, rows, slices)
+    return out
 
 
-def _sliced_novelty(out: DataFrame, rows: DataFrame) -> DataFrame:
-    """Partial minima find each device's first row; joining on that row's own key is free of hot keys."""
-    first = rows.filter(F.col("device").isNotNull()).groupBy(CUSTOMER, "device").agg(F.min(F.struct(TIME, ID)).alias("first"))
-    marks = first.select(CUSTOMER, f"first.{TIME}", f"first.{ID}", F.lit(1).alias("new_device"))
-    joined = out.join(marks.distinct(), [CUSTOMER, TIME, ID], "left")
-    return joined.withColumn("new_device", F.coalesce("new_device", F.lit(0)))
+def _with_seen_devices(out: DataFrame, rows: DataFrame) -> DataFrame:
+    """Of a device's first rows in each slice only the first is new. They are few: one per slice and device."""
+    firsts = rows.filter(F.col("device").isNotNull()).groupBy(CUSTOMER, "device", SLICE).agg(F.min(F.struct(TIME, ID)).alias("at"))
+    first = firsts.groupBy(CUSTOMER, "device").agg(F.min("at").alias("at"))
+    marks = first.select(CUSTOMER, f"at.{TIME}", f"at.{ID}").distinct().withColumn("is_first", F.lit(True))
+    joined = out.join(marks, [CUSTOMER, TIME, ID], "left")
+    return joined.withColumn("first_of_device", F.col("first_of_device") & F.coalesce("is_first", F.lit(False)))
 
 
-def _sliced_counts(out: DataFrame, rows: DataFrame, slices: int) -> DataFrame:
-    """Counts in [t - w, t) as a difference of running counts at t and at t - w.
+def _with_counts(out: DataFrame, rows: DataFrame, slices: int | None) -> DataFrame:
+    """Counts in [t - w, t) as a difference of running counts at t and at t - w, over all slices.
 
-    Rows are first summed per distinct time. Every distinct time asks three questions (offsets 0 h, 1 h,
-    24 h), each placed on the customer's time line next to the counts; one running total answers all.
+    Rows are first summed per distinct time. Every distinct time asks three questions (offsets 0 h, 1 h, 24 h), each placed
+    on the customer's time line next to the counts; one running total answers all.
     """
-    per_time = rows.groupBy(CUSTOMER, TIME).agg(F.sum("amount_count").alias("n"))
+    per_time = rows.groupBy(CUSTOMER, TIME).agg(F.sum("amount_counted").alias("n"))
     marks = []
     for hours in (0, *LOOKBACK.values()):
         at = F.col(TIME) - F.expr(f"interval '{hours}' hour")
@@ -200,9 +196,9 @@ def _sliced_counts(out: DataFrame, rows: DataFrame, slices: int) -> DataFrame:
         return F.max(F.when(F.col("hours") == hours, F.col("count")))
 
     counts = answered.groupBy(CUSTOMER, F.col("asked").alias(TIME)).agg(
-        *[(count_at(0) - count_at(hours)).cast("double").alias(name) for name, hours in LOOKBACK.items()]
+        *[(count_at(0) - count_at(hours)).alias(name) for name, hours in LOOKBACK.items()]
     )
-    return out.join(counts, [CUSTOMER, TIME])
+    return out.drop(*LOOKBACK).join(counts, [CUSTOMER, TIME])
 
 
 # --- the feature table ---------------------------------------------------------------------------
@@ -222,7 +218,7 @@ def with_ratio(history: DataFrame, fill_value: float | None) -> DataFrame:
     )
 
 
-def build_features(txns: DataFrame, fill_value: float | None = None, hot_rows: int = HOT_ROWS) -> DataFrame:
+def build_features(txns: DataFrame, fill_value: float | None = None, slices: int | None = None) -> DataFrame:
     """All features of every transaction, one row each.
 
     ``fill_value`` replaces a missing running average; without it the median of all amounts given is
@@ -230,7 +226,7 @@ def build_features(txns: DataFrame, fill_value: float | None = None, hot_rows: i
     """
     if fill_value is None:
         fill_value = median_amount(txns)
-    history = add_history(txns, HISTORY, hot_rows)
+    history = add_history(txns, HISTORY, slices)
     # row-local features come last, so the shuffle carries the raw columns only
     return time_features(with_ratio(history, fill_value)).select(
         *txns.columns,

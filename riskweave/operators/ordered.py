@@ -35,7 +35,7 @@ def add_earlier_totals(sliced: DataFrame, by: Sequence[str], sums: Sequence[str]
     """Add ``before_<c>`` (total over earlier slices of the group) and ``total_<c>`` (whole group).
 
     The joined side has at most one row per slice plus one per group: callers keep the number of
-    groups bounded (classes, models, listed hot customers), so it is safe to broadcast.
+    groups bounded (classes, models, a customer per slice), so it is safe to broadcast.
     """
     group = W.partitionBy(*by)
     earlier = group.orderBy(SLICE).rowsBetween(W.unboundedPreceding, -1)

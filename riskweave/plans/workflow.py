@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskweave.operators.features import HOT_ROWS, build_features, median_amount
+from riskweave.operators.features import build_features, median_amount
 from riskweave.operators.metrics import compare_models, confusion_matrix, pr_curve, ranking, roc_curve, stack_scores
 from riskweave.operators.models import BOOSTED, KINDS, RiskModel, train_models
 from riskweave.operators.scoring import PROBABILITY, level_distribution, scored_report, top_risk, write_report
@@ -17,7 +17,7 @@ from riskweave.schema import MODEL_COMPARISON, SCORED_REPORT
 from riskweave.sources.transactions import keyed_rows, rejected_rows
 
 
-def write_features(txns: DataFrame, path: str, hot_rows: int = HOT_ROWS) -> DataFrame:
+def write_features(txns: DataFrame, path: str, slices: int | None = None) -> DataFrame:
     """Build the features once and write them by split part; later stages read only the part they need.
 
     The stand-in average comes from the training part, so no later amount reaches a feature.
@@ -25,7 +25,7 @@ def write_features(txns: DataFrame, path: str, hot_rows: int = HOT_ROWS) -> Data
     usable = keyed_rows(txns)
     cuts = chronological_cuts(usable)
     fill = median_amount(usable.filter(cuts.column() == "train"))
-    features = with_split(build_features(usable, fill, hot_rows), cuts)
+    features = with_split(build_features(usable, fill, slices), cuts)
     features.write.mode("overwrite").partitionBy(SPLIT).parquet(path)
     return txns.sparkSession.read.schema(features.schema).parquet(path)
 

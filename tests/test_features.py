@@ -7,7 +7,10 @@ from brute import history
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
+from pyspark.sql import functions as F
+
 from riskweave.operators import features as fe
+from riskweave.operators.ordered import slice_by
 from riskweave.sources.events import transactions_from_events
 
 DAY = dt.datetime(2025, 1, 1)
@@ -21,11 +24,11 @@ def by_id(df):
     return {r["transaction_id"]: r.asDict() for r in df.collect()}
 
 
-def check(df, hot_rows):
+def check(df, slices):
     rows = [r.asDict() for r in df.collect()]
     expected = history(rows)
-    got = by_id(fe.add_history(df, hot_rows=hot_rows))
-    assert len(got) == len(rows) == fe.add_history(df, hot_rows=hot_rows).count()
+    got = by_id(fe.add_history(df, slices=slices))
+    assert len(got) == len(rows) == fe.add_history(df, slices=slices).count()
     for key, want in expected.items():
         for name, value in want.items():
             if value is None:
@@ -34,27 +37,27 @@ def check(df, hot_rows):
                 assert got[key][name] == pytest.approx(value, abs=1e-9), (key, name)
 
 
-# hot_rows 3 sends customers through the sliced way, the large value through plain windows
-@pytest.mark.parametrize("hot_rows", [1_000_000, 3])
-def test_counts_with_ties(make, hot_rows):
+# several slices cut customers apart, one does not
+@pytest.mark.parametrize("slices", [1, 3])
+def test_counts_with_ties(make, slices):
     times = [at(), at(hours=10), at(hours=10), at(hours=10), at(days=1), at(days=1, hours=10), at(days=1, hours=10, seconds=1)]
     df = make([{"transaction_time": t} for t in times])
-    got = by_id(fe.add_history(df, hot_rows=hot_rows))
+    got = by_id(fe.add_history(df, slices=slices))
     assert [got[f"T{i:05d}"]["last_24h"] for i in range(7)] == [0, 1, 1, 1, 4, 4, 2]
-    check(df, hot_rows)
+    check(df, slices)
 
 
-@pytest.mark.parametrize("hot_rows", [1_000_000, 2])
-def test_window_edges(make, hot_rows):
+@pytest.mark.parametrize("slices", [1, 4])
+def test_window_edges(make, slices):
     times = [at(), at(microseconds=-1), at(hours=23), at(hours=24)]
-    got = by_id(fe.add_history(make([{"transaction_time": t} for t in times]), hot_rows=hot_rows))
+    got = by_id(fe.add_history(make([{"transaction_time": t} for t in times]), slices=slices))
     # exactly 24 hours earlier counts, one microsecond more does not
     assert got["T00003"]["last_24h"] == 2
     assert got["T00003"]["last_1h"] == 1
 
 
-@pytest.mark.parametrize("hot_rows", [1_000_000, 2])
-def test_null_values(make, hot_rows):
+@pytest.mark.parametrize("slices", [1, 4])
+def test_null_values(make, slices):
     df = make(
         [
             {"amount": None, "device": None},
@@ -64,11 +67,11 @@ def test_null_values(make, hot_rows):
             {"amount": 1.0, "customer_id": 2},
         ]
     )
-    check(df, hot_rows)
+    check(df, slices)
 
 
-@pytest.mark.parametrize("hot_rows", [1_000_000, 20])
-def test_random_rows(make, hot_rows):
+@pytest.mark.parametrize("slices", [1, 30])
+def test_random_rows(make, slices):
     rng = random.Random(5)
     rows = [
         {
@@ -82,7 +85,7 @@ def test_random_rows(make, hot_rows):
         }
         for _ in range(300)
     ]
-    check(make(rows), hot_rows)
+    check(make(rows), slices)
 
 
 @settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
@@ -100,15 +103,31 @@ def test_any_rows(make, rows):
             for c, h, d, a in rows
         ]
     )
-    check(df, 1_000_000)
+    check(df, 1)
 
 
-def test_both_ways_agree_on_the_test_table(spark):
+def test_any_number_of_slices_gives_the_same_bits(spark):
     txns = transactions_from_events(spark.read.parquet("/root/testdata/sf0.001/events.parquet"))
-    assert 0 < len(fe.hot_customers(txns, 70)) < 15
-    plain = fe.build_features(txns).orderBy("transaction_id").toPandas()
-    sliced = fe.build_features(txns, hot_rows=70).orderBy("transaction_id").toPandas()
-    pd.testing.assert_frame_equal(plain, sliced)
+    # cents, thirds and large amounts: sums of doubles would differ with the order
+    amount = F.when(F.col("amount") > 50, F.col("amount") * 1e6 / 3).otherwise(F.col("amount"))
+    txns = txns.withColumn("amount", amount).select(*txns.columns).cache()
+    wanted = fe.build_features(txns, slices=1).orderBy("transaction_id").toPandas()
+    for slices in (7, 50):
+        found = fe.build_features(txns, slices=slices).orderBy("transaction_id").toPandas()
+        pd.testing.assert_frame_equal(wanted, found, check_exact=True)
+    txns.unpersist()
+
+
+def test_no_task_holds_a_large_customer(spark):
+    # one customer has nearly all rows: its slices are of like size, and only it goes on from one to the next
+    rows = spark.range(20_000).selectExpr(
+        "concat('T', id) as transaction_id", "if(id % 100 = 0, id, 7L) as customer_id", "cast(id % 9 as double) as amount",
+        "timestamp_ntz'2025-01-01 00:00:00' + make_dt_interval(0, 0, 0, id) as transaction_time",
+    )
+    sliced = slice_by(rows, fe.CUSTOMER, fe.TIME, fe.ID, slices=10)
+    sizes = [r["count"] for r in sliced.groupBy("slice_no").count().collect()]
+    assert len(sizes) == 10 and max(sizes) < 4_000
+    assert [r.customer_id for r in fe.spanning_customers(sliced).collect()] == [7]
 
 
 def test_later_rows_change_nothing_earlier(spark):
@@ -149,14 +168,14 @@ def test_session_time_zone_does_not_matter(spark, make):
     df = make([{"transaction_time": dt.datetime(2025, 3, 30, h)} for h in (0, 1, 2, 3, 4)])
     try:
         spark.conf.set("spark.sql.session.timeZone", "Europe/Berlin")
-        check(df, 1_000_000)
-        check(df, 2)
+        check(df, 1)
+        check(df, 3)
     finally:
         spark.conf.set("spark.sql.session.timeZone", zone)
 
 
 def test_a_missing_device_is_no_new_one(make):
     df = make([{"device": d} for d in (None, None, "a", "a", None, "b")])
-    for hot_rows in (100, 1):
-        rows = fe.add_history(df, ["new_device"], hot_rows).orderBy("transaction_id").collect()
+    for slices in (1, 4):
+        rows = fe.add_history(df, ["new_device"], slices).orderBy("transaction_id").collect()
         assert [r["new_device"] for r in rows] == [0, 0, 1, 0, 0, 1]
