@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import argparse
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -67,18 +68,27 @@ def main(arguments: list[str] | None = None) -> None:
         parser.error("--transactions is needed for this stage")
     loaded = f"{out}/transactions"
     table = args.transactions or loaded
+
+    def transactions() -> DataFrame:
+        try:
+            return _transactions(spark, table)
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return parser.error(f"there is no table in {table}: run load first, or name one with --transactions")
+
     if args.stage in ("score", "stream") and not args.requests:
         parser.error("--requests is needed for this stage")
 
     if args.stage == "load":
-        _transactions(spark, table).write.mode("overwrite").parquet(loaded)
+        transactions().write.mode("overwrite").parquet(loaded)
     elif args.stage == "reports":
-        _write(reports.run_reports(_transactions(spark, table)), f"{out}/reports")
+        _write(reports.run_reports(transactions()), f"{out}/reports")
     elif args.stage == "profile":
-        txns = _transactions(spark, table)
+        txns = transactions()
         _write({name: build(txns) for name, build in PROFILE.items()}, f"{out}/profile")
     elif args.stage == "train":
-        workflow.run(_transactions(spark, table), out, report_model=args.model)
+        workflow.run(transactions(), out, report_model=args.model)
     elif args.stage == "explain":
         model = RiskModel.load(spark, f"{out}/models/{BOOSTED}")
         test = workflow.part(spark.read.parquet(f"{out}/features"), "test")

@@ -140,12 +140,10 @@ def test_weights_raise_recall(spark):
 
 
 def _margins(model, rows):
+    """Log odds of every row. A boosted model's raw prediction is half of it."""
     out = model.classifier.transform(model.assemble(rows))
-    probability = vector_to_array(F.col("probability"))[1]
-    return {
-        r["transaction_id"]: r["margin"]
-        for r in out.select("transaction_id", F.log(probability / (1 - probability)).alias("margin")).collect()
-    }
+    raw = vector_to_array(F.col("rawPrediction"))[1] * (2 if model.kind == m.BOOSTED else 1)
+    return {r["transaction_id"]: r["margin"] for r in out.select("transaction_id", raw.alias("margin")).collect()}
 
 
 def test_attributions_add_up_to_the_margin(fitted):

@@ -4,17 +4,31 @@ import pytest
 from conftest import SMALL_DIR
 
 import __spark_entry__ as contract
+from riskweave.operators import models
 from riskweave.plans import catalog, oracle
 from tools.compare import connect, difference
 
 SQL = oracle.sql()
 
 
+SMALL_MODELS = {models.LOGISTIC: {"maxIter": 50}, models.FOREST: {"numTrees": 5, "maxDepth": 4}, models.BOOSTED: {"maxIter": 4, "maxDepth": 3}}
+
+
 @pytest.fixture(scope="module")
 def duck():
     return connect(SMALL_DIR)
 
 
+@pytest.fixture(scope="module", autouse=True)
+def small_models():
+    """Queries train the full sizes; here a few trees do, so that every query gets its verdict in time."""
+    with pytest.MonkeyPatch.context() as patch:
+        for kind, change in SMALL_MODELS.items():
+            patch.setitem(models.SETTINGS, kind, {**models.SETTINGS[kind], **change})
+        patch.setattr(catalog, "_TRAINED", {})
+        yield
+
+
 def test_sql_only_for_registered_queries():
     assert set(contract.oracle_sql()) <= set(contract.queries())
 
