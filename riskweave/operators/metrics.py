@@ -58,6 +58,11 @@ def ranking(scored: DataFrame, by: Sequence[str] = ()) -> DataFrame:
         .groupBy(*by, SCORE)
         .agg(F.sum(LABEL).alias("pos"), F.sum(1 - F.col(LABEL)).alias("neg"))
     )
+    return ranked_counts(per_score, by)
+
+
+def ranked_counts(per_score: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """``ranking`` of rows that are counted already: one row (by, score, pos, neg) per distinct score."""
     return running_totals(per_score, SCORE, ["pos", "neg"], by, descending=True)
 
 
@@ -123,13 +128,18 @@ def compare_models(scored: DataFrame, threshold: float = DECISION_THRESHOLD) ->
     """
     by = ["model"]
     ranked = ranking(scored, by)
+    return rates_at(ranked, by, threshold).join(areas(ranked, by), by).select("model", *METRICS)
+
+
+def rates_at(ranked: DataFrame, by: Sequence[str], threshold: float = DECISION_THRESHOLD) -> DataFrame:
+    """Precision, recall and F1 per group, off the counts per distinct score."""
     flagged = F.col(SCORE) >= threshold
     counts = ranked.groupBy(*by).agg(
         F.sum(F.when(flagged, F.col("pos")).otherwise(0)).alias("true_positive"),
         F.sum(F.when(flagged, F.col("neg")).otherwise(0)).alias("false_positive"),
         F.sum(F.when(~flagged, F.col("pos")).otherwise(0)).alias("false_negative"),
     )
-    return _rates(counts, by).join(areas(ranked, by), by).select("model", *METRICS)
+    return _rates(counts, by)
 
 
 def stack_scores(scored: DataFrame, models: Sequence[str]) -> DataFrame:

@@ -7,19 +7,21 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskweave.functions.scalar import percent, round_half_even
 from riskweave.operators import encode, explain, features, hypothesis, metrics, models, profile, reports
 from riskweave.operators import requests as req
-from riskweave.operators import scoring
+from riskweave.operators import scoring, trees
 from riskweave.operators.split import SPLIT, split_summary, with_split
 from riskweave.plans import workflow
 from riskweave.schema import LABEL, NUMERIC_FEATURES
 from riskweave.session import new_path
 from riskweave.sources.events import requests_from_events, transactions_from_events
 from riskweave.sources.transactions import load_table, map_columns, read_csv, write_csv
+from riskweave.streaming import history
 from riskweave.streaming.scoring import start_scoring
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -37,6 +39,18 @@ LINEAR_WEIGHTS = {
     "location_change": 0.05,
 }
 
+# Fixed boosted trees on the inputs below, so that attributions and rounds can be checked in SQL: (weight, nodes) per tree, a
+# node being (prediction, cover, left, right, input, threshold) or, for a leaf, (prediction, cover).
+TREE_INPUTS = ("amount", "is_night", "transactions_last_24h", "new_device")
+TREES = [
+    (1.0, [(0.0, 1000, 1, 2, 0, 50.0), (0.0, 700, 3, 4, 1, 0.5), (0.0, 300, 5, 6, 3, 0.5),
+           (-0.75, 560), (0.25, 140), (-0.25, 225), (0.875, 75)]),
+    (0.5, [(0.0, 1000, 1, 2, 2, 1.0), (0.0, 600, 3, 4, 0, 20.0), (0.0, 400, 5, 6, 0, 120.0),
+           (-0.5, 240), (0.125, 360), (0.25, 300), (1.0, 100)]),
+    (0.25, [(0.0, 1000, 1, 2, 0, 80.0), (-0.375, 800), (0.0, 200, 3, 4, 0, 200.0),
+            (0.0, 150, 5, 6, 1, 0.5), (0.75, 50), (0.125, 120), (0.625, 30)]),
+]
+
 
 def register(query: Query) -> Query:
     QUERIES[query.__name__] = query
@@ -222,6 +236,20 @@ def build_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(built, 6, "log_amount", "amount_vs_customer_avg", "location_change")
 
 
+@register
+def stream_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The history features of the transactions arriving as a stream, stopped half way and started again."""
+    txns = transactions(spark, sf_dir)
+    own = history.history_session(spark)
+    inbox, output, progress = (new_path(spark, name) for name in ("arriving", "history", "progress"))
+    day = F.dayofmonth("transaction_time")
+    for arrives in (txns.filter(day <= 15), txns.filter(day > 15).unionByName(history.closing_row(spark))):
+        arrives.write.mode("append").parquet(inbox)
+        history.start_history(history.read_transactions(own, inbox), output, progress, available_now=True).awaitTermination()
+    answered = spark.read.parquet(output).withColumnsRenamed({c: f"transactions_{c}" for c in features.LOOKBACK})
+    return rounded(rounded(answered.drop("customer_id", "transaction_time"), 8, "running_avg"), 6, "location_change")
+
+
 # --- split and encoding --------------------------------------------------------------------------
 
 
@@ -495,6 +523,69 @@ def explain_top(spark: SparkSession, sf_dir: str) -> DataFrame:
     return explain.explain_riskiest(fitted[models.BOOSTED], workflow.part(table, "test"))
 
 
+@register
+def round_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The boosted model's ranking metrics on the validation rows after each of its rounds."""
+    fitted, table = trained(spark, sf_dir, [models.BOOSTED])
+    model = fitted[models.BOOSTED]
+    rows = trees.model_inputs(model, workflow.part(table, "validation"), [LABEL])
+    return trees.round_metrics(rows, trees.Forest.of_model(model, spark))
+
+
+def _fixed_trees(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, trees.Forest]:
+    """Inputs of all transactions for the fixed trees, and the trees read back from their folder."""
+    nodes = [
+        (t, i, float(n[0]), float(n[1]), *(n[2:5] if len(n) > 2 else (-1, -1, -1)), n[5] if len(n) > 2 else 0.0)
+        for t, (_, tree) in enumerate(TREES)
+        for i, n in enumerate(tree)
+    ]
+    path = new_path(spark, "fixed-trees")
+    columns = [field.split()[0] for field in trees.NODES.split(", ")]
+    trees.Forest(pd.DataFrame(nodes, columns=columns), tuple(w for w, _ in TREES), TREE_INPUTS).write(spark, path)
+    inputs = F.array(*[F.col(c).cast("double") for c in TREE_INPUTS]).alias(trees.INPUTS)
+    part = F.when(F.dayofmonth("transaction_time") <= 20, "early").otherwise("late").alias("part")
+    return _features(spark, sf_dir).select("transaction_id", LABEL, part, inputs), trees.Forest.read(spark, path)
+
+
+@register
+def fixed_round_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Metrics of the fixed trees after each round, of two groups of rows."""
+    rows, forest = _fixed_trees(spark, sf_dir)
+    return rounded(trees.round_metrics(rows, forest, ["part"]), 9, *metrics.METRICS)
+
+
+def _fixed_attributions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows, forest = _fixed_trees(spark, sf_dir)
+    return explain.forest_probability(explain.forest_attributions(rows, forest))
+
+
+@register
+def fixed_tree_attributions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = _fixed_attributions(spark, sf_dir)
+    parts = [F.round(F.col(explain.ATTRIBUTIONS)[i], 9).alias(n) for i, n in enumerate(TREE_INPUTS)]
+    return found.select("transaction_id", F.round("base_value", 9).alias("base_value"), *parts)
+
+
+@register
+def fixed_attribution_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(explain.attribution_importance(_fixed_attributions(spark, sf_dir), TREE_INPUTS), 9, "mean_abs_attribution")
+
+
+@register
+def fixed_attribution_long(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(explain.attribution_long(_fixed_attributions(spark, sf_dir), TREE_INPUTS), 9, "attribution")
+
+
+@register
+def fixed_explain_top(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The riskiest transaction under the fixed trees, explained."""
+    found = rounded(_fixed_attributions(spark, sf_dir), 9, "fraud_probability")
+    top = scoring.riskiest_row(found)
+    keep = ("transaction_id", LABEL, "fraud_probability")
+    parts = rounded(explain.attribution_long(top, TREE_INPUTS, keep), 9, "attribution")
+    return explain.top_features(parts)
+
+
 def _streamed(spark: SparkSession, sf_dir: str, model) -> DataFrame:
     schema = events(spark, sf_dir).schema
     arriving = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)

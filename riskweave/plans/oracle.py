@@ -6,7 +6,7 @@ scorecard, ``report`` scored report, ``parts`` chronological split.
 
 from __future__ import annotations
 
-from riskweave.plans.catalog import BUSY_CUSTOMER, LINEAR_WEIGHTS
+from riskweave.plans.catalog import BUSY_CUSTOMER, LINEAR_WEIGHTS, TREE_INPUTS, TREES
 from riskweave.schema import ACTIONS, NUMERIC_FEATURES, TRANSACTIONS
 from riskweave.sources.events import REQUESTS_SQL, TRANSACTIONS_SQL
 
@@ -107,6 +107,39 @@ TWO = f"two as ({_metrics('scorecard', 'score')} union all {_metrics('amount_onl
 METRIC_NAMES = ("precision", "recall", "f1", "roc_auc", "pr_auc")
 
 
+def _steps() -> str:
+    """One row per step from a root towards a leaf: (tree, leaf, value, input, threshold, goes left, share of the weight)."""
+    rows = []
+    for t, (weight, nodes) in enumerate(TREES):
+        up = {child: (i, child == n[2]) for i, n in enumerate(nodes) if len(n) > 2 for child in n[2:4]}
+        for leaf in (i for i, n in enumerate(nodes) if len(n) == 2):
+            at = leaf
+            while at:
+                above, left = up[at]
+                _, _, _, _, feature, cut = nodes[above]
+                rows.append(f"({t}, {leaf}, {2 * weight * nodes[leaf][0]!r}e0, {feature}, {cut!r}e0, {left}, {nodes[at][1]} / {nodes[above][1]}e0)")
+                at = above
+    return f"step(tree, leaf, value, input, cut, goes_left, share) as (values {', '.join(rows)})"
+
+
+M = len(TREE_INPUTS)
+# ``v`` is the trees' expectation for a row when only the inputs of ``mask`` are known, and a Shapley value the weighted sum of
+# what an input adds to every subset of the others.
+SHAPLEY = (
+    _steps(),
+    f"""x as (select f.*, [{', '.join(f'{c}::double' for c in TREE_INPUTS)}] as inputs,
+      case when extract(day from transaction_time) <= 20 then 'early' else 'late' end as part from f)""",
+    f"""v as (select transaction_id, mask, sum(value * p) as v from (
+      select transaction_id, mask, any_value(value) as value, product(case when (mask >> input) & 1 = 0 then share
+        when (inputs[input + 1] <= cut) = goes_left then 1 else 0 end) as p
+      from x, range({2**M}) s(mask), step group by transaction_id, mask, tree, leaf) group by all)""",
+    f"""phi as (select a.transaction_id, j, sum((b.v - a.v) * case bit_count(a.mask::integer) when 0 then 6 when 3 then 6 else 2 end / 24e0) as phi
+      from v a, range({M}) i(j), v b
+      where (a.mask >> j) & 1 = 0 and b.mask = a.mask + (1 << j) and a.transaction_id = b.transaction_id group by all)""",
+    f"named as (select *, [{', '.join(repr(c) for c in TREE_INPUTS)}][j + 1] as feature from phi)",
+)
+
+
 def _q(*fragments_and_body: str) -> str:
     *fragments, body = fragments_and_body
     return f"with {', '.join(fragments)} {body}"
@@ -302,6 +335,12 @@ def sql() -> dict[str, str]:
     out["feat_location_change"] = _q(
         T, H, "select transaction_id, round(location_change, 6) as location_change from h"
     )
+    out["stream_history"] = _q(
+        T,
+        H,
+        """select transaction_id, round(running_avg, 8) as running_avg, transactions_last_24h, transactions_last_1h, new_device,
+        round(location_change, 6) as location_change from h""",
+    )
     out["feat_amount_ratio"] = _q(
         T, H, F, "select transaction_id, round(amount_vs_customer_avg, 6) as amount_vs_customer_avg from f"
     )
@@ -449,4 +488,45 @@ def sql() -> dict[str, str]:
         )
         + ") order by abs(attribution) desc, feature limit 8",
     )
+    shapley = (T, H, F, *SHAPLEY)
+    out["fixed_tree_attributions"] = _q(
+        *shapley,
+        f"""select v.transaction_id, round(v.v, 9) as base_value,
+        {", ".join(f"round(max(phi) filter (j = {i}), 9) as {c}" for i, c in enumerate(TREE_INPUTS))}
+        from v join phi using (transaction_id) where v.mask = 0 group by v.transaction_id, v.v""",
+    )
+    out["fixed_attribution_importance"] = _q(
+        *shapley, "select feature, round(avg(abs(phi)), 9) as mean_abs_attribution from named group by feature"
+    )
+    out["fixed_attribution_long"] = _q(
+        *shapley,
+        "select transaction_id, feature, inputs[j + 1] as value, round(phi, 9) as attribution from named join x using (transaction_id)",
+    )
+    out["fixed_explain_top"] = _q(
+        *shapley,
+        f"top as (select transaction_id, round(1 / (1 + exp(-v)), 9) as fraud_probability from v where mask = {2**M - 1}"
+        " order by 2 desc, 1 limit 1)",
+        """select transaction_id, is_fraud, fraud_probability, feature, inputs[j + 1] as value, round(phi, 9) as attribution
+        from top join named using (transaction_id) join x using (transaction_id)
+        order by abs(phi) desc, feature limit 8""",
+    )
+    out["fixed_round_metrics"] = _q(
+        T,
+        H,
+        F,
+        *SHAPLEY[:2],
+        f"""g as (select transaction_id, part, is_fraud, tree, sum(value * p) as v from (
+          select transaction_id, part, is_fraud, tree, any_value(value) as value,
+            product(case when (inputs[input + 1] <= cut) = goes_left then 1 else 0 end) as p
+          from x, step group by transaction_id, part, is_fraud, tree, leaf) group by all)""",
+        "s as (select part, is_fraud, tree + 1 as round, sum(v) over (partition by transaction_id order by tree) as score from g)",
+        "k as (select part, round, score, sum(is_fraud) as pos, sum(1 - is_fraud) as neg from s group by all)",
+        """r as (select *, sum(pos) over w as tp, sum(neg) over w as fp, sum(pos) over (partition by part, round) as p,
+          sum(neg) over (partition by part, round) as n from k window w as (partition by part, round order by score desc))""",
+        """c as (select part, round, sum(neg * (2 * (tp - pos) + pos)) / (2e0 * max(p) * max(n)) as roc_auc,
+          sum(pos * (tp / (tp + fp))) / max(p) as pr_auc, sum(pos) filter (score >= 0) as tp, sum(neg) filter (score >= 0) as fp,
+          sum(pos) filter (score < 0) as fn from r group by all)""",
+        f"m as (select part, round, roc_auc, pr_auc, {FLAGGED} from (select * replace (coalesce(tp, 0) as tp, coalesce(fp, 0) as fp, coalesce(fn, 0) as fn) from c))",
+        f"select part, round::integer as round, {_rounded(METRIC_NAMES, 9)} from m",
+    )
     return out

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from riskweave.operators import explain as x
 from riskweave.operators import models as m
 from riskweave.operators import requests as rq
+from riskweave.operators import trees
 from riskweave.operators.scoring import PROBABILITY
 from riskweave.plans import catalog, workflow
 from riskweave.schema import REQUESTS
@@ -160,10 +161,10 @@ def test_attributions_add_up_to_the_margin(fitted):
 def test_attributions_are_shapley_values(fitted):
     run, _ = fitted
     model = run.models[m.BOOSTED]
-    nodes = x.read_trees(model, run.features)
+    nodes = trees.Forest.of_model(model, run.features.sparkSession).nodes
     used = sorted(nodes[nodes["left"] >= 0]["feature"].unique())
     short = {f: i for i, f in enumerate(used)}
-    trees = [
+    tables = [
         {
             n["node"]: {**n, "feature": short.get(n["feature"])}
             for n in table.to_dict("records")
@@ -175,7 +176,7 @@ def test_attributions_are_shapley_values(fitted):
         inputs = [r["inputs"][f] for f in used]
         want = np.zeros(len(used))
         base = 0.0
-        for tree, w in zip(trees, weights, strict=True):
+        for tree, w in zip(tables, weights, strict=True):
             parts = sorted({n["feature"] for n in tree.values() if n["left"] >= 0})
             local = {f: i for i, f in enumerate(parts)}
             small = {k: {**n, "feature": local.get(n["feature"])} for k, n in tree.items()}
@@ -268,6 +269,6 @@ def test_nan_goes_right_in_attributions():
         [(0, 0, 0.0, 4.0, 1, 2, 0, 0.5), (0, 1, -0.5, 2.0, -1, -1, -1, 0.0), (0, 2, 1.0, 2.0, -1, -1, -1, 0.0)],
         columns=["tree", "node", "prediction", "cover", "left", "right", "feature", "threshold"],
     )
-    leaves = x.collect_leaves(nodes, [1.0], 1)
+    leaves = x.collect_leaves(trees.Forest(nodes, (1.0,), ("x",)))
     parts = x.attribute(leaves, np.array([[np.nan], [0.0], [1.0]]))
     assert (leaves.base + parts.sum(1)).tolist() == pytest.approx([2.0, -1.0, 2.0])
