@@ -26,7 +26,7 @@ from riskweave.operators.metrics import metrics_long
 from riskweave.operators.models import BOOSTED, KINDS, RiskModel
 from riskweave.plans import workflow
 from riskweave.sources import transactions as src
-from riskweave.streaming.scoring import read_requests, score_requests, start_scoring
+from riskweave.streaming.scoring import read_requests, score_requests, start_scoring_apart
 
 PROFILE = {
     "shape": profile.shape,
@@ -125,7 +125,7 @@ def main(arguments: list[str] | None = None) -> None:
             rejects.write.mode("overwrite").parquet(f"{out}/rejected")
         else:
             arriving = read_requests(spark, args.requests)
-            start_scoring(arriving, model, f"{out}/stream", f"{out}/progress").awaitTermination()
+            start_scoring_apart(arriving, model, f"{out}/stream", f"{out}/stream_rejected", f"{out}/progress").awaitTermination()
 
 
 if __name__ == "__main__":

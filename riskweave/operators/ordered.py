@@ -101,14 +101,36 @@ def interpolated(placed: DataFrame, value: str, probabilities: dict[str, float],
     )
 
 
-def quantiles(df: DataFrame, value: str, probabilities: dict[str, float], by: Sequence[str] = ()) -> DataFrame:
+def quantiles(
+    df: DataFrame, value: str, probabilities: dict[str, float], by: Sequence[str] = (), accuracy: int | None = None
+) -> DataFrame:
     """Exact quantiles with linear interpolation, one row per group.
 
-    Rows are first counted per distinct value; the distinct values are ranked over slices, at every size alike.
+    Rows are first counted per distinct value; the distinct values are ranked over slices, at every size alike. With an
+    ``accuracy`` mergeable sketches are used instead, one pass without ranking: each quantile is then a value of the group
+    whose rank is at most ``1 / accuracy`` of the group's rows, and one row, away (see ``rank_errors``).
     """
+    if accuracy is not None:
+        found = F.approx_percentile(F.col(value).cast("double"), list(probabilities.values()), accuracy)
+        sketched = df.groupBy(*by).agg(found.alias("found"))
+        return sketched.select(*by, *[F.get("found", F.lit(i)).alias(name) for i, name in enumerate(probabilities)])
     return interpolated(placed_values(df, value, by), value, probabilities, by)
 
 
+def rank_errors(df: DataFrame, value: str, found: DataFrame, probabilities: dict[str, float], by: Sequence[str] = ()) -> DataFrame:
+    """(by, quantile, value, rows, rank_error): how far the rank of each found quantile is from the one asked for.
+
+    The error is a share of the group's rows, by exact ranks; equal values count as the nearest of their ranks.
+    """
+    asked = F.explode(F.array(*[F.struct(F.lit(n).alias("quantile"), F.lit(float(p)).alias("p"), F.col(n).alias("value")) for n, p in probabilities.items()]))
+    asked = found.select(*by, asked.alias("asked")).select(*by, "asked.*")
+    placed = placed_values(df.withColumn(value, F.col(value).cast("double")), value, by).withColumnRenamed(value, "value")
+    target = F.col("p") * F.col("total_n")
+    gap = F.greatest(F.col("before_n") + 1 - target, target - F.col("before_n") - F.col("n"), F.lit(0.0))
+    joined = placed.join(asked, [*by, "value"])
+    return joined.select(*by, "quantile", "value", F.col("total_n").alias("rows"), (gap / F.col("total_n")).alias("rank_error"))
+
+
 # --- order statistics on (time, id) --------------------------------------------------------------
 
 BINS = 4096

@@ -28,8 +28,11 @@ def class_balance(txns: DataFrame) -> DataFrame:
     return per_class.withColumn("fraction", F.col("count").cast("double") / total)
 
 
-def describe_amount(txns: DataFrame) -> DataFrame:
-    """Count, mean, sample deviation, minimum, quartiles and maximum as (statistic, value) rows."""
+def describe_amount(txns: DataFrame, accuracy: int | None = None) -> DataFrame:
+    """Count, mean, sample deviation, minimum, quartiles and maximum as (statistic, value) rows.
+
+    Here and below, ``accuracy`` asks for sketched quantiles (``ordered.quantiles``); without it they are exact.
+    """
     moments = txns.agg(
         F.count("amount").cast("double").alias("count"),
         F.avg("amount").alias("mean"),
@@ -37,7 +40,7 @@ def describe_amount(txns: DataFrame) -> DataFrame:
         F.min("amount").alias("min"),
         F.max("amount").alias("max"),
     )
-    points = quantiles(txns, "amount", {"25%": 0.25, "50%": 0.5, "75%": 0.75})
+    points = quantiles(txns, "amount", {"25%": 0.25, "50%": 0.5, "75%": 0.75}, accuracy=accuracy)
     return _long(moments).unionByName(_long(points))
 
 
@@ -45,18 +48,18 @@ def _long(one_row: DataFrame) -> DataFrame:
     return one_row.unpivot([], one_row.columns, "statistic", "value")
 
 
-def amount_by_class(txns: DataFrame) -> DataFrame:
+def amount_by_class(txns: DataFrame, accuracy: int | None = None) -> DataFrame:
     """Mean, median, sample deviation and quartiles of the amount per class."""
     labelled = txns.filter(F.col(LABEL).isNotNull())
     moments = labelled.groupBy(LABEL).agg(F.avg("amount").alias("mean"), F.stddev_samp("amount").alias("std"))
-    return moments.join(quantiles(labelled, "amount", QUARTILES, [LABEL]), LABEL)
+    return moments.join(quantiles(labelled, "amount", QUARTILES, [LABEL], accuracy), LABEL)
 
 
-def boxplot_amount(txns: DataFrame) -> DataFrame:
+def boxplot_amount(txns: DataFrame, accuracy: int | None = None) -> DataFrame:
     """Quartiles and whiskers per class; a whisker is the outermost value within 1.5 box heights."""
     amounts = txns.filter(F.col(LABEL).isNotNull()).select(LABEL, "amount")
     # one row per class
-    fenced = amounts.join(F.broadcast(quantiles(amounts, "amount", QUARTILES, [LABEL])), LABEL)
+    fenced = amounts.join(F.broadcast(quantiles(amounts, "amount", QUARTILES, [LABEL], accuracy)), LABEL)
     reach = (F.col("q3") - F.col("q1")) * 1.5
     amount = F.col("amount")
     return fenced.groupBy(LABEL, "q1", "median", "q3").agg(
@@ -88,5 +91,5 @@ def crosstab(txns: DataFrame, key: str = "payment_type") -> DataFrame:
     )
 
 
-def global_median(txns: DataFrame) -> DataFrame:
-    return quantiles(txns, "amount", {"median_amount": 0.5})
+def global_median(txns: DataFrame, accuracy: int | None = None) -> DataFrame:
+    return quantiles(txns, "amount", {"median_amount": 0.5}, accuracy=accuracy)

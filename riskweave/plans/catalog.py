@@ -15,6 +15,7 @@ from riskweave.functions.scalar import percent, round_half_even
 from riskweave.operators import encode, explain, features, hypothesis, metrics, models, profile, reports
 from riskweave.operators import requests as req
 from riskweave.operators import scoring, trees
+from riskweave.operators.ordered import quantiles, rank_errors
 from riskweave.operators.split import SPLIT, split_summary, with_split
 from riskweave.plans import workflow
 from riskweave.schema import LABEL, NUMERIC_FEATURES
@@ -22,7 +23,7 @@ from riskweave.session import new_path
 from riskweave.sources.events import requests_from_events, transactions_from_events
 from riskweave.sources.transactions import load_table, map_columns, read_csv, write_csv
 from riskweave.streaming import history
-from riskweave.streaming.scoring import start_scoring
+from riskweave.streaming.scoring import read_answers, start_scoring, start_scoring_apart
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -158,7 +159,23 @@ _report(
     ),
 )
 _report("corr_hour_fraud", lambda t: rounded(hypothesis.correlation(t), 9, "corr"))
-_report("hypothesis_results", hypothesis.hypothesis_results)
+_report(
+    "hypothesis_results",
+    lambda t: rounded(rounded(hypothesis.hypothesis_results(t), 6, "statistic"), 7, "p_value"),
+)
+
+# One row in a thousand: the rank of a sketched quartile may be off by that share of its class, and a row.
+SKETCH_ACCURACY = 1000
+
+
+@register
+def sketched_quartiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quartiles per class out of mergeable sketches, held against exact ranks."""
+    txns = transactions(spark, sf_dir)
+    found = quantiles(txns, "amount", profile.QUARTILES, [LABEL], SKETCH_ACCURACY)
+    errors = rank_errors(txns, "amount", found, profile.QUARTILES, [LABEL])
+    within = (F.col("rank_error") <= 1 / F.lit(SKETCH_ACCURACY) + 1 / F.col("rows")).alias("within")
+    return errors.select(LABEL, "quantile", "rows", within)
 
 # --- features ------------------------------------------------------------------------------------
 
@@ -404,6 +421,32 @@ def score_stream_card(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _streamed(spark, sf_dir, Scorecard()).filter(F.size("errors") == 0).drop("errors")
 
 
+def _apart(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Responses and rejects of the request table as a stream through the scorecard."""
+    arriving = spark.readStream.schema(events(spark, sf_dir).schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+    folders = [new_path(spark, name) for name in ("responses", "rejects", "progress")]
+    start_scoring_apart(requests_from_events(arriving), Scorecard(), *folders, available_now=True).awaitTermination()
+    return read_answers(spark, folders[0]), read_answers(spark, folders[1])
+
+
+@register
+def stream_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _apart(spark, sf_dir)[0]
+
+
+@register
+def stream_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _apart(spark, sf_dir)[1].withColumn("errors", F.array_join("errors", ","))
+
+
+@register
+def report_csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The scorecard's report as CSV text, read again."""
+    path = new_path(spark, "report-csv")
+    scoring.write_report(card_report(spark, sf_dir), path, "csv")
+    return workflow.read_report(spark, path, "csv")
+
+
 @register
 def report_read_back(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The scorecard's report through its sink and its reader."""
@@ -452,14 +495,19 @@ def linear_explain_top(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- models --------------------------------------------------------------------------------------
 
-_TRAINED: dict[tuple[str, str], tuple[dict[str, models.RiskModel], DataFrame]] = {}
+_TRAINED: dict[tuple, tuple[dict[str, models.RiskModel], DataFrame]] = {}
 
 
 def trained(
     spark: SparkSession, sf_dir: str, kinds: Iterable[str] = models.KINDS
 ) -> tuple[dict[str, models.RiskModel], DataFrame]:
-    """Full-size models and feature table of one session and folder: each is trained once, by the first query that needs it."""
-    key = (spark.sparkContext.applicationId, sf_dir)
+    """Full-size models and feature table of one session and folder: each is trained once, by the first query that needs it.
+
+    A folder whose files have changed since is another one.
+    """
+    files = events(spark, sf_dir).select("_metadata.file_path", "_metadata.file_size", "_metadata.file_modification_time")
+    version = files.agg(F.bit_xor(F.xxhash64(*files.columns)), F.count("*")).first()
+    key = (spark.sparkContext.applicationId, sf_dir, tuple(version))
     if key not in _TRAINED:
         _TRAINED[key] = ({}, workflow.write_features(transactions(spark, sf_dir), new_path(spark, "features")))
     fitted, table = _TRAINED[key]
@@ -482,6 +530,16 @@ _scores("rf_scores", models.FOREST)
 _scores("gbt_scores", models.BOOSTED)
 
 
+@register
+def logreg_small_design(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Logistic regression on two flags: a design with so few distinct rows that SQL can solve it too."""
+    parts = with_split(_feature_table(spark, sf_dir))
+    train, test = (parts.filter(F.col(SPLIT) == name) for name in ("train", "test"))
+    encoding = encode.Encoding(("is_night", "new_device"), ())
+    model = models.train_models(train, [models.LOGISTIC], {models.LOGISTIC: {"tol": 1e-12}}, encoding)[models.LOGISTIC]
+    return rounded(model.score(test).select("transaction_id", LABEL, "fraud_probability"), 6, "fraud_probability")
+
+
 @register
 def validation_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     fitted, table = trained(spark, sf_dir)
@@ -590,7 +648,8 @@ def _streamed(spark: SparkSession, sf_dir: str, model) -> DataFrame:
     schema = events(spark, sf_dir).schema
     arriving = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
     output = new_path(spark, "responses")
-    start_scoring(requests_from_events(arriving), model, output, new_path(spark, "progress"), True).awaitTermination()
+    tasks = spark.sparkContext.defaultParallelism
+    start_scoring(requests_from_events(arriving), model, output, new_path(spark, "progress"), True, tasks=tasks).awaitTermination()
     return spark.read.parquet(output)
 
 

