@@ -3,16 +3,20 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Sequence
+import math
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
+from pyspark.ml.feature import OneHotEncoder, VectorAssembler
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskweave.functions.scalar import ratio
+from riskweave.operators.ordered import running_totals
 from riskweave.schema import CATEGORICAL, LABEL, NUMERIC_FEATURES
+from riskweave.session import cut_lineage
 
-# An indicator per category only makes sense for short lists; a longer one is refused, never shortened.
+# A column per category only makes sense for short lists; longer ones take sparse vectors (``encode_sparse``).
 MAX_CATEGORIES = 10_000
 
 
@@ -71,13 +75,27 @@ def fit_encoding(
     df: DataFrame, categorical: Sequence[str] = CATEGORICAL, numeric: Sequence[str] = NUMERIC_FEATURES
 ) -> Encoding:
     """Sorted distinct non-null values per column, found in one pass with map-side distinct."""
+    return fit_encoding_shares(df, categorical, numeric)[0]
+
+
+def category_counts(df: DataFrame, categorical: Sequence[str]) -> DataFrame:
+    """(column, value, n) of the non-null values, in one pass with map-side sums."""
     pairs = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("value")) for c in categorical])
-    listed = df.select(F.explode(pairs).alias("p")).select("p.*").filter(F.col("value").isNotNull()).distinct()
-    found = listed.limit(MAX_CATEGORIES + 1).collect()
+    listed = df.select(F.explode(pairs).alias("p")).select("p.*").filter(F.col("value").isNotNull())
+    return listed.groupBy("column", "value").agg(F.count("*").alias("n"))
+
+
+def fit_encoding_shares(
+    df: DataFrame, categorical: Sequence[str] = CATEGORICAL, numeric: Sequence[str] = NUMERIC_FEATURES
+) -> tuple[Encoding, dict[str, int]]:
+    """The encoding, and how many rows have each indicator set."""
+    found = category_counts(df, categorical).limit(MAX_CATEGORIES + 1).collect()
     if len(found) > MAX_CATEGORIES:
-        raise ValueError(f"more than {MAX_CATEGORIES} categories in {list(categorical)}: group rare values first")
-    values = {c: sorted(r["value"] for r in found if r["column"] == c) for c in categorical}
-    return Encoding(tuple(numeric), tuple((c, tuple(values[c])) for c in categorical))
+        raise ValueError(f"more than {MAX_CATEGORIES} categories in {list(categorical)}: use encode_sparse")
+    counts = {(r["column"], r["value"]): r["n"] for r in found}
+    values = {c: sorted(v for column, v in counts if column == c) for c in categorical}
+    encoding = Encoding(tuple(numeric), tuple((c, tuple(values[c])) for c in categorical))
+    return encoding, {name: counts[c, v] for name, c, v in encoding.indicators()}
 
 
 def one_hot(df: DataFrame, encoding: Encoding, keep: Sequence[str] = ("transaction_id",)) -> DataFrame:
@@ -118,6 +136,120 @@ def fit_scaling(df: DataFrame, names: Sequence[str]) -> Scaling:
     )
 
 
+def moment_columns(names: Sequence[str], where: Column) -> list[Column]:
+    """Aggregates for ``scaling_of``: moments of the rows that ``where`` holds for, and how many they are by class."""
+    picked = [F.when(where, F.col(n).cast("double")) for n in names]
+    return [
+        *[F.avg(c).alias(f"m{i}") for i, c in enumerate(picked)],
+        *[F.stddev_pop(c).alias(f"s{i}") for i, c in enumerate(picked)],
+        F.count_if(where).alias("rows"),
+        F.count_if(where & (F.col(LABEL) == 1)).alias("positives"),
+        F.count_if(where & (F.col(LABEL) == 0)).alias("negatives"),
+    ]
+
+
+def scaling_of(moments: Mapping[str, float], names: Sequence[str], shares: Mapping[str, int]) -> Scaling:
+    """The scaling of ``names`` out of ``moment_columns``, and of indicators out of the rows that have each of them set."""
+    means = {n: moments[f"m{i}"] or 0.0 for i, n in enumerate(names)}
+    deviations = {n: moments[f"s{i}"] or 1.0 for i, n in enumerate(names)}
+    rows = moments["rows"]
+    for n, k in shares.items():
+        means[n] = k / rows
+        deviations[n] = math.sqrt(k * (rows - k)) / rows or 1.0
+    return Scaling(means, deviations)
+
+
+def weights_of(positives: int, negatives: int) -> dict[str, float | None]:
+    """``class_weights`` of known class sizes."""
+    n = positives + negatives
+    return {
+        "positives": positives,
+        "negatives": negatives,
+        "weight_positive": n / (2 * positives) if positives else None,
+        "weight_negative": n / (2 * negatives) if negatives else None,
+        "scale_pos_weight": negatives / max(positives, 1),
+    }
+
+
+# --- long category lists -------------------------------------------------------------------------
+
+
+@dataclass(frozen=True)
+class Dictionary:
+    """Category lists of any length as a table (column, value, at): ``at`` counts a column's values from 0, in their order.
+
+    Inputs are the numeric features, then per column one place for each value but the first. ``sizes`` has the number of
+    values by column. The table stays distributed: nothing here grows with the number of categories but it.
+    """
+
+    table: DataFrame
+    numeric: tuple[str, ...]
+    sizes: tuple[tuple[str, int], ...]
+
+    def begins(self) -> dict[str, int]:
+        """Place of each column's first indicator."""
+        out, at = {}, len(self.numeric)
+        for c, n in self.sizes:
+            out[c] = at
+            at += max(n - 1, 0)
+        return out
+
+    def save(self, spark: SparkSession, path: str) -> None:
+        self.table.write.mode("overwrite").parquet(f"{path}/values")
+        text = json.dumps({"numeric": self.numeric, "sizes": self.sizes})
+        spark.createDataFrame([(text,)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/sizes")
+
+    @staticmethod
+    def load(spark: SparkSession, path: str) -> Dictionary:
+        raw = json.loads(spark.read.text(f"{path}/sizes", wholetext=True).first()["value"])
+        return Dictionary(spark.read.parquet(f"{path}/values"), tuple(raw["numeric"]), tuple((c, n) for c, n in raw["sizes"]))
+
+
+def fit_dictionary(df: DataFrame, categorical: Sequence[str] = CATEGORICAL, numeric: Sequence[str] = NUMERIC_FEATURES) -> Dictionary:
+    """The same lists as ``fit_encoding``, without its limit: values are ranked over slices, by column."""
+    values = category_counts(df, categorical).withColumn("one", F.lit(1).cast("long"))
+    ranked = running_totals(values, "value", ["one"], ["column"])
+    table = cut_lineage(ranked.select("column", "value", F.col("before_one").alias("at")))
+    found = {r["column"]: r["n"] for r in table.groupBy("column").agg(F.count("*").alias("n")).collect()}
+    return Dictionary(table, tuple(numeric), tuple((c, found.get(c, 0)) for c in categorical))
+
+
+def category_places(df: DataFrame, dictionary: Dictionary) -> DataFrame:
+    """Add ``<column>_at``: the place of each row's indicator among the inputs; null where a row has none set.
+
+    Each column is looked up by a join, which adaptive execution broadcasts while the list is small and splits where a
+    category is hot.
+    """
+    out = df
+    for c, begin in dictionary.begins().items():
+        listed = dictionary.table.filter((F.col("column") == c) & (F.col("at") > 0))
+        listed = listed.select(F.col("value").alias(c), (F.col("at") - 1 + begin).cast("int").alias(f"{c}_at"))
+        out = out.join(listed, c, "left")
+    return out.select(*df.columns, *[f"{c}_at" for c in dictionary.begins()])
+
+
+def encode_sparse(df: DataFrame, dictionary: Dictionary, keep: Sequence[str] = ("transaction_id",)) -> DataFrame:
+    """``keep`` and ``features``, the inputs as one sparse vector per row; missing and unlisted categories have zeros."""
+    placed = category_places(df, dictionary)
+    begins, vectors = dictionary.begins(), []
+    columns = [F.col(n).cast("double").alias(f"numeric_{i}") for i, n in enumerate(dictionary.numeric)]
+    coded = {c: (f"code_{i}", n - 1) for i, (c, n) in enumerate(dictionary.sizes) if n > 1}
+    # a row without a category has the number after the last, which the encoder leaves out
+    columns += [F.coalesce(F.col(f"{c}_at") - begins[c], F.lit(n)).cast("double").alias(code) for c, (code, n) in coded.items()]
+    wide = placed.select(*[F.col(k).alias(f"kept_{i}") for i, k in enumerate(keep)], *columns)
+    if coded:
+        vectors = [f"{code}_vector" for code, _ in coded.values()]
+        encoder = OneHotEncoder(inputCols=[code for code, _ in coded.values()], outputCols=vectors, handleInvalid="keep")
+        last = df.sparkSession.createDataFrame([tuple(float(n - 1) for _, n in coded.values())], [code for code, _ in coded.values()])
+        wide = encoder.fit(last).transform(wide)
+    inputs = [f"numeric_{i}" for i in range(len(dictionary.numeric))] + vectors
+    assembled = VectorAssembler(inputCols=inputs, outputCol="features", handleInvalid="keep").transform(wide)
+    return assembled.select(*[F.col(f"kept_{i}").alias(k) for i, k in enumerate(keep)], "features")
+
+
+# --- scaling -------------------------------------------------------------------------------------
+
+
 def standardize(
     df: DataFrame, scaling: Scaling, names: Sequence[str], keep: Sequence[str] = ("transaction_id",)
 ) -> DataFrame:

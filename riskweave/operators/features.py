@@ -13,12 +13,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from riskweave.functions.scalar import day_of_week, is_night, is_weekend
-from riskweave.operators.ordered import SLICE, add_earlier_totals, quantiles, slice_by
+from riskweave.operators.ordered import SLICE, add_earlier_totals, quantiles, slice_by, span_columns
 from riskweave.schema import RATIO_EPSILON
 from riskweave.session import cut_lineage
 
@@ -44,21 +44,31 @@ def time_features(txns: DataFrame) -> DataFrame:
     )
 
 
-def add_history(txns: DataFrame, columns: Sequence[str] = HISTORY, slices: int | None = None) -> DataFrame:
-    """Add the requested history columns; the running average is null where there is no earlier amount.
-
-    Ids are taken to be unique, and rows to have an id, a customer and a time (``keyed_rows``). Without a number of slices
-    it is the session's shuffle partitions, merged where they are small. A running average is exact to a billionth.
-    """
+def sliced_rows(txns: DataFrame, slices: int | None = None, seen: Observation | None = None) -> DataFrame:
+    """The transactions in slices, written once; ``seen`` observes their ``span``."""
     units = F.floor("amount")
     summed = {
         "amount_units": F.coalesce(units, F.lit(0)),
         "amount_parts": F.coalesce(F.round((F.col("amount") - units) * PARTS).cast("long"), F.lit(0)),
         "amount_counted": F.col("amount").isNotNull().cast("long"),
     }
-    rows = slice_by(txns.withColumns(summed), CUSTOMER, TIME, ID, slices=slices)
+    observed = None if seen is None else (seen, span_columns(TIME))
+    return slice_by(txns.withColumns(summed), CUSTOMER, TIME, ID, slices=slices, observed=observed)
+
+
+def add_history(txns: DataFrame, columns: Sequence[str] = HISTORY, slices: int | None = None) -> DataFrame:
+    """Add the requested history columns; the running average is null where there is no earlier amount.
+
+    Ids are taken to be unique, and rows to have an id, a customer and a time (``keyed_rows``). Without a number of slices
+    it is the session's shuffle partitions, merged where they are small. A running average is exact to a billionth.
+    """
+    return history_of(sliced_rows(txns, slices), txns.columns, columns, slices)
+
+
+def history_of(rows: DataFrame, kept: Sequence[str], columns: Sequence[str] = HISTORY, slices: int | None = None) -> DataFrame:
+    """``kept`` and the history columns of ``sliced_rows``."""
     over = spanning_customers(rows)
-    kept = [*txns.columns, *[c for c in HISTORY if c in columns]]
+    kept = [*kept, *[c for c in HISTORY if c in columns]]
     if not over.take(1):
         return _finished(_inside_slices(rows, columns), columns).select(*kept)
     listed = F.broadcast(over)  # a customer per slice at most
@@ -224,12 +234,16 @@ def build_features(txns: DataFrame, fill_value: float | None = None, slices: int
     ``fill_value`` replaces a missing running average; without it the median of all amounts given is
     used. Training passes the median of its own split, so that nothing later leaks in.
     """
-    if fill_value is None:
-        fill_value = median_amount(txns)
-    history = add_history(txns, HISTORY, slices)
+    rows = sliced_rows(txns, slices)
+    return features_of(rows, txns.columns, median_amount(rows) if fill_value is None else fill_value, slices)
+
+
+def features_of(rows: DataFrame, kept: Sequence[str], fill_value: float | None, slices: int | None = None) -> DataFrame:
+    """``kept`` and all features of ``sliced_rows``."""
+    history = history_of(rows, kept, HISTORY, slices)
     # row-local features come last, so the shuffle carries the raw columns only
     return time_features(with_ratio(history, fill_value)).select(
-        *txns.columns,
+        *kept,
         "hour",
         "day_of_week",
         "is_weekend",

@@ -132,31 +132,34 @@ def train_models(
     kinds: Iterable[str] = KINDS,
     settings: Mapping[str, Mapping] | None = None,
     encoding: Encoding | None = None,
+    scaling: Scaling | None = None,
+    weights: Mapping[str, float] | None = None,
 ) -> dict[str, RiskModel]:
     """Fit the classifiers on one feature table, all at the same time.
 
     The needed columns are kept across the fits (they are read once per tree level); lost blocks are
-    rebuilt from the feature table. Settings override the full-size ones by key.
+    rebuilt from the feature table. Settings override the full-size ones by key. What is known of the rows already
+    (``workflow.write_and_fit``) is not fitted again.
     """
     shared_folder(train.sparkSession)
     encoding = encoding or fit_encoding(train)
     needed = [*encoding.numeric, *[c for c, _ in encoding.categories], LABEL]
     rows = train.select(*needed).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        sizes = class_weights(rows).first()
+        sizes = weights or class_weights(rows).first()
         if not sizes["positives"] or not sizes["negatives"]:
             raise ValueError("training needs rows of both classes")
 
         def fit(kind: str) -> RiskModel:
-            scaling = None
+            own = None
             if kind == LOGISTIC:
-                scaling = fit_scaling(rows.select(*encoding.columns()), encoding.names)
+                own = scaling or fit_scaling(rows.select(*encoding.columns()), encoding.names)
             chosen = {**SETTINGS[kind], **(settings or {}).get(kind, {})}
-            inputs = _assemble(rows, encoding, scaling).select(
+            inputs = _assemble(rows, encoding, own).select(
                 FEATURES, F.col(LABEL).cast("double").alias(LABEL), _row_weight(kind, sizes).alias(WEIGHT)
             )
             model = _estimator(kind, sizes["positives"] + sizes["negatives"], chosen).fit(inputs)
-            return RiskModel(kind, encoding, scaling, model)
+            return RiskModel(kind, encoding, own, model)
 
         kinds = list(kinds)
         with ThreadPoolExecutor(max(1, len(kinds))) as pool:

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -21,13 +21,18 @@ from riskweave.session import cut_lineage
 SLICE = "slice_no"
 
 
-def slice_by(df: DataFrame, *keys: str | Column, slices: int | None = None) -> DataFrame:
+def slice_by(
+    df: DataFrame, *keys: str | Column, slices: int | None = None, observed: tuple[Observation, Sequence[Column]] | None = None
+) -> DataFrame:
     """Add ``slice_no``: ascending along ``keys``, with equal keys always in the same slice.
 
     Without a number of slices it is the session's shuffle partitions, which adaptive execution merges
-    where they are small.
+    where they are small. ``observed`` aggregates are gathered by the job that writes the slices.
     """
     ranged = df.repartitionByRange(*keys) if slices is None else df.repartitionByRange(slices, *keys)
+    if observed is not None:
+        # behind the exchange: the sample that finds the boundaries must not count
+        ranged = ranged.observe(observed[0], *observed[1])
     return cut_lineage(ranged.withColumn(SLICE, F.spark_partition_id()))
 
 
@@ -139,11 +144,15 @@ FINISH_ROWS = 200_000
 
 def span(df: DataFrame, time: str = "transaction_time") -> tuple[int, int | None, int | None]:
     """Row count and the first and last microsecond, in one aggregation."""
-    us = micros(F.col(time))
-    row = df.agg(F.count("*").alias("n"), F.min(us).alias("low"), F.max(us).alias("high")).first()
+    row = df.agg(*span_columns(time)).first()
     return row["n"], row["low"], row["high"]
 
 
+def span_columns(time: str = "transaction_time") -> list[Column]:
+    us = micros(F.col(time))
+    return [F.count("*").alias("n"), F.min(us).alias("low"), F.max(us).alias("high")]
+
+
 def keys_at_ranks(
     df: DataFrame,
     ranks: Sequence[int],

@@ -38,9 +38,13 @@ def chronological_cuts(
     train: float = TRAIN_SHARE,
     validation: float = VALIDATION_SHARE,
     finish_rows: int = FINISH_ROWS,
+    known: tuple[int, int | None, int | None] | None = None,
 ) -> Cuts:
-    """Exact cut keys: the rows at positions ``int(n * train)`` and ``int(n * (train + validation))``."""
-    n, low, high = span(txns)
+    """Exact cut keys: the rows at positions ``int(n * train)`` and ``int(n * (train + validation))``.
+
+    ``known`` is the ``span`` of the rows where it has been gathered already.
+    """
+    n, low, high = known or span(txns)
     ends = [int(n * train), int(n * (train + validation))]
     keys = keys_at_ranks(txns, [e for e in ends if e < n], (low, high), finish_rows=finish_rows)
     return Cuts(keys.get(ends[0]), keys.get(ends[1]))

@@ -8,6 +8,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable
 
 import pandas as pd
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -288,10 +289,14 @@ def one_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode.one_hot(txns, encode.fit_encoding(_train(txns)))
 
 
+def _fitted(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, workflow.Fitted]:
+    return workflow.write_and_fit(transactions(spark, sf_dir), new_path(spark, "features"), fill_from_all=True)
+
+
 @register
 def feature_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    txns = transactions(spark, sf_dir)
-    matrix = encode.feature_matrix(_features(spark, sf_dir), encode.fit_encoding(_train(txns)))
+    table, fitted = _fitted(spark, sf_dir)
+    matrix = encode.feature_matrix(table, fitted.encoding)
     matrix = rounded(matrix, 8, "cust_running_avg_amount")
     return rounded(matrix, 6, "log_amount", "amount_vs_customer_avg", "location_change")
 
@@ -299,12 +304,32 @@ def feature_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register
 def standardize(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All rows, on the scale of the training rows."""
-    parts = with_split(_feature_table(spark, sf_dir))
-    scaling = encode.fit_scaling(parts.filter(F.col(SPLIT) == "train"), NUMERIC_FEATURES)
-    scaled = encode.standardize(parts, scaling, NUMERIC_FEATURES)
+    table, fitted = _fitted(spark, sf_dir)
+    scaled = encode.standardize(table, fitted.scaling, NUMERIC_FEATURES)
     return rounded(scaled, 6, *NUMERIC_FEATURES)
 
 
+@register
+def fitted_moments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Mean and deviation of every model input, gathered by the job that writes the features."""
+    _, fitted = _fitted(spark, sf_dir)
+    rows = [(n, fitted.scaling.means[n], fitted.scaling.deviations[n]) for n in fitted.encoding.names]
+    return rounded(spark.createDataFrame(rows, "feature string, mean double, deviation double"), 6, "mean", "deviation")
+
+
+@register
+def sparse_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The inputs as sparse vectors by a category table: which indicators are set, and the amount, read off the vectors."""
+    txns = transactions(spark, sf_dir)
+    numeric = ("amount", "location_lat")
+    encoded = encode.encode_sparse(txns, encode.fit_dictionary(_train(txns), numeric=numeric))
+    values = vector_to_array("features")
+    marked = F.transform(values, lambda x, i: F.when((i >= len(numeric)) & (x == 1.0), i))
+    places = F.array_join(F.array_compact(marked), ",").alias("places")
+    return encoded.select("transaction_id", F.size(values).alias("inputs"), values[0].alias("amount"), places)
+
+
+
 _report("class_weights", lambda t: encode.class_weights(_train(t)))
 
 # --- metrics -------------------------------------------------------------------------------------

@@ -406,6 +406,27 @@ def sql() -> dict[str, str]:
         f"m as (select {moments} from f where transaction_id in (select transaction_id from parts where split = 'train'))",
         f"select transaction_id, {scaled} from f, m",
     )
+    sets = {f"{c}_{v}": f"case when {c} = '{v}' then 1e0 else 0e0 end" for c, values in CATEGORIES.items() for v in values[1:]}
+    inputs = {n: n for n in NUMERIC_FEATURES} | sets
+    out["fitted_moments"] = _q(
+        T,
+        H,
+        F,
+        PARTS,
+        "u as (select f.* from f join parts using (transaction_id) where split = 'train')",
+        " union all ".join(
+            f"select '{n}' as feature, round(avg({e}), 6) as mean, round(coalesce(nullif(stddev_pop({e}), 0), 1), 6) as deviation from u"
+            for n, e in inputs.items()
+        ),
+    )
+    begin = 2
+    places = []
+    for c, values in CATEGORIES.items():
+        places.append(f"case {c} " + " ".join(f"when '{v}' then {begin + i}" for i, v in enumerate(values[1:])) + " end")
+        begin += len(values) - 1
+    out["sparse_encoding"] = _q(
+        T, f"select transaction_id, {begin} as inputs, amount, concat_ws(',', {', '.join(places)}) as places from t"
+    )
     out["class_weights"] = _q(
         T,
         PARTS,

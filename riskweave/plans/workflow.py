@@ -5,29 +5,55 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from riskweave.operators.features import build_features, median_amount
+from riskweave.operators.encode import Encoding, Scaling, fit_encoding_shares, moment_columns, scaling_of, weights_of
+from riskweave.operators.features import features_of, median_amount, sliced_rows
 from riskweave.operators.metrics import compare_models, confusion_matrix, pr_curve, ranking, roc_curve, stack_scores
 from riskweave.operators.models import BOOSTED, KINDS, RiskModel, train_models
 from riskweave.operators.scoring import PROBABILITY, level_distribution, scored_report, top_risk, write_report
-from riskweave.operators.split import SPLIT, chronological_cuts, split_summary, with_split
+from riskweave.operators.split import SPLIT, Cuts, chronological_cuts, split_summary, with_split
 from riskweave.schema import MODEL_COMPARISON, SCORED_REPORT
 from riskweave.sources.transactions import keyed_rows, rejected_rows
 
 
-def write_features(txns: DataFrame, path: str, slices: int | None = None) -> DataFrame:
-    """Build the features once and write them by split part; later stages read only the part they need.
+@dataclass(frozen=True)
+class Fitted:
+    """What the writing of the features has gathered: cut keys, category lists, and scaling and class weights of the training rows."""
+
+    cuts: Cuts
+    fill_value: float | None
+    encoding: Encoding
+    scaling: Scaling
+    weights: dict[str, float | None]
+
 
-    The stand-in average comes from the training part, so no later amount reaches a feature.
+def write_and_fit(txns: DataFrame, path: str, slices: int | None = None, fill_from_all: bool = False) -> tuple[DataFrame, Fitted]:
+    """Build the features once and write them by split part, fitting what later stages need on the way.
+
+    ``txns`` is read once. Its slices, written with their time range, give the cuts, the stand-in average and the category
+    counts, each from a column or two; moments and class sizes are observed while the features are written. The stand-in
+    average comes from the training part, so no later amount reaches a feature, unless it is to come from all rows.
     """
     usable = keyed_rows(txns)
-    cuts = chronological_cuts(usable)
-    fill = median_amount(usable.filter(cuts.column() == "train"))
-    features = with_split(build_features(usable, fill, slices), cuts)
-    features.write.mode("overwrite").partitionBy(SPLIT).parquet(path)
-    return txns.sparkSession.read.schema(features.schema).parquet(path)
+    seen, gathered = Observation(), Observation()
+    rows = sliced_rows(usable, slices, seen)
+    span = seen.get
+    cuts = chronological_cuts(rows, known=(span["n"], span["low"], span["high"]))
+    in_train = cuts.column() == "train"
+    fill = median_amount(rows if fill_from_all else rows.filter(in_train))
+    encoding, shares = fit_encoding_shares(rows.filter(in_train))
+    features = with_split(features_of(rows, usable.columns, fill, slices), cuts)
+    observed = features.observe(gathered, *moment_columns(encoding.numeric, F.col(SPLIT) == "train"))
+    observed.write.mode("overwrite").partitionBy(SPLIT).parquet(path)
+    moments = gathered.get
+    fitted = Fitted(cuts, fill, encoding, scaling_of(moments, encoding.numeric, shares), weights_of(moments["positives"], moments["negatives"]))
+    return txns.sparkSession.read.schema(features.schema).parquet(path), fitted
+
+
+def write_features(txns: DataFrame, path: str, slices: int | None = None) -> DataFrame:
+    return write_and_fit(txns, path, slices)[0]
 
 
 def part(features: DataFrame, name: str) -> DataFrame:
@@ -93,9 +119,9 @@ def run(
 
     write("rejected_rows", rejected_rows(txns))
     write("rejected_count", spark.read.schema(txns.schema).parquet(f"{folder}/rejected_rows").agg(F.count("*").alias("rejected")))
-    features = write_features(txns, f"{folder}/features")
+    features, fitted = write_and_fit(txns, f"{folder}/features")
     write("split_summary", split_summary(features))
-    models = train_models(part(features, "train"), kinds, settings)
+    models = train_models(part(features, "train"), kinds, settings, fitted.encoding, fitted.scaling, fitted.weights)
     for kind, model in models.items():
         model.save(spark, f"{folder}/models/{kind}")
     test = part(features, "test")

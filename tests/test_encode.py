@@ -55,3 +55,50 @@ def test_scaling_of_categories_that_differ_in_case_or_hold_a_backtick(make):
     scaling = e.fit_scaling(e.feature_matrix(df, encoding), encoding.names)
     assert scaling.means == {"amount": 10.0, "payment_type_a`b": 0.25, "payment_type_upi": 0.5}
     assert len(e.standardize(e.feature_matrix(df, encoding), scaling, encoding.names).collect()) == 4
+
+
+def test_sparse_vectors_equal_the_matrix(make, spark, tmp_path):
+    df = make(
+        [{"merchant_category": c, "payment_type": p, "device": d, "amount": float(i)} for i, (c, p, d) in enumerate(
+            [("b", "y", "d"), ("a", None, "d"), ("c", "x", "d"), ("c", "y", None), ("new", "x", "e"), (None, None, None)]
+        )]
+    )
+    seen = df.filter("coalesce(merchant_category, '') <> 'new'")
+    numeric = ["amount", "location_lat"]
+    encoding = e.fit_encoding(seen, numeric=numeric)
+    dictionary = e.fit_dictionary(seen, numeric=numeric)
+    dictionary.save(spark, str(tmp_path / "d"))
+    for d in (dictionary, e.Dictionary.load(spark, str(tmp_path / "d"))):
+        rows = {r["transaction_id"]: r["features"].toArray().tolist() for r in e.encode_sparse(df, d).collect()}
+        assert rows == {r[0]: list(r[1:]) for r in map(tuple, e.feature_matrix(df, encoding).collect())}
+    # columns without categories, or with one, have no place
+    none = e.fit_dictionary(df.filter("false"), numeric=numeric)
+    assert [len(r["features"]) for r in e.encode_sparse(df, none).collect()] == [2] * 6
+
+
+def test_a_million_categories(spark):
+    rows = spark.range(1_100_000).selectExpr("concat('T', id) as transaction_id", "cast(id as double) as amount", "concat('c', lpad(id % 1000000, 7, '0')) as device")
+    dictionary = e.fit_dictionary(rows, ["device"], ["amount"])
+    assert dictionary.sizes == (("device", 1_000_000),)
+    found = e.encode_sparse(rows.filter("id % 100000 = 17 or id % 1000000 = 0"), dictionary)
+    for r in found.collect():
+        number = int(r["transaction_id"][1:]) % 1_000_000
+        wanted = {0: float(r["transaction_id"][1:])} | ({number: 1.0} if number else {})
+        assert r["features"].size == 1_000_000
+        assert {i: v for i, v in zip(r["features"].indices.tolist(), r["features"].values.tolist(), strict=True) if v} == {i: v for i, v in wanted.items() if v}
+
+
+def test_moments_gathered_while_writing(spark, tmp_path):
+    from riskweave.plans import workflow
+    from riskweave.sources.events import transactions_from_events
+
+    txns = transactions_from_events(spark.read.parquet("/root/testdata/sf0.001/events.parquet"))
+    # several slices: sampling their boundaries must not count rows twice
+    table, fitted = workflow.write_and_fit(txns.repartition(3), str(tmp_path / "f"), slices=5)
+    train = workflow.part(table, "train")
+    encoding = e.fit_encoding(train)
+    assert fitted.encoding == encoding
+    plain = e.fit_scaling(train.select(*encoding.columns()), encoding.names)
+    assert fitted.scaling.means == pytest.approx(plain.means) and fitted.scaling.deviations == pytest.approx(plain.deviations)
+    assert fitted.weights == pytest.approx(e.class_weights(train).first().asDict())
+    assert {r["split"]: r["count"] for r in table.groupBy("split").count().collect()} == {"train": 700, "validation": 150, "test": 150}
