@@ -111,6 +111,15 @@ def load_table_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@register
+def load_table_replaced(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored table after a part of the transactions, and then all of them, were loaded into it."""
+    txns, path = transactions(spark, sf_dir), new_path(spark, "stored")
+    name = f"stored_{path.rpartition('-')[2]}"
+    load_table(txns.filter("amount < 20"), name, path=path)
+    return load_table(txns, name, path=path)
+
+
 @register
 def map_foreign_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = spark.read.parquet(f"{sf_dir}/orders.parquet")

@@ -232,6 +232,7 @@ def sql() -> dict[str, str]:
     out["scan_transactions"] = _q(T, "select * from t")
     out["csv_round_trip"] = out["scan_transactions"]
     out["load_table_count"] = _q(T, "select count(*) as rows_loaded from t")
+    out["load_table_replaced"] = out["scan_transactions"]
     out["map_foreign_orders"] = """select concat('ORD', o_orderkey) as transaction_id, o_custkey as customer_id,
       o_totalprice as amount, o_orderdate as transaction_time, cast(null as varchar) as merchant_category,
       lower(o_orderpriority) as payment_type, cast(null as varchar) as device,

@@ -48,12 +48,12 @@ def new_path(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
+def cut_lineage(df: DataFrame, file_rows: int = 0) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
     Later stages depend on the written rows alone, which survive a lost executor, and read only the
-    columns they use.
+    columns they use. ``file_rows`` bounds the rows of a file, for large rows: a reader holds some thousands at once.
     """
     path = new_path(df.sparkSession, "stage")
-    df.write.parquet(path)
+    df.write.option("maxRecordsPerFile", file_rows).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

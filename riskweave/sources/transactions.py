@@ -31,12 +31,13 @@ def read_parquet(spark: SparkSession, path: str) -> DataFrame:
     return without_nan(spark.read.schema(TRANSACTIONS).parquet(path))
 
 
-def load_table(df: DataFrame, name: str = "transactions", *, view: bool = False) -> DataFrame:
-    """Create or replace the catalog table (or session view) and return it."""
+def load_table(df: DataFrame, name: str = "transactions", *, view: bool = False, path: str | None = None) -> DataFrame:
+    """Create or replace the catalog table (or session view) and return it; ``path`` keeps the table's files there."""
     if view:
         df.createOrReplaceTempView(name)
     else:
-        df.write.mode("overwrite").format("parquet").saveAsTable(name)
+        writer = df.write.mode("overwrite").format("parquet")
+        (writer if path is None else writer.option("path", path)).saveAsTable(name)
     return df.sparkSession.table(name)
 
 
