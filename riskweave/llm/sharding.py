@@ -120,7 +120,14 @@ def assign(docs: DataFrame, shards: int = SHARDS, bits: int = BITS) -> DataFrame
     return slotted.select("doc_id", "size", "text_crc32", "curve", "shard", F.col("before_one").alias("slot"))
 
 
-def write_shards(docs: DataFrame, assigned: DataFrame, path: str) -> None:
-    """One folder per shard, rows in curve order, so row groups have narrow ranges in every dimension."""
-    rows = docs.join(assigned.select("doc_id", "shard", "slot"), "doc_id")
+def write_shards(docs: DataFrame, path: str, **options) -> None:
+    """One folder per shard, rows in curve order, so row groups have narrow ranges in every dimension.
+
+    ``options`` are those of ``assign``. Rows are told apart by all their columns; repeated rows keep their number.
+    """
+    named = docs.select("*", F.xxhash64(*docs.columns, *[F.col(c).isNull() for c in docs.columns]).alias("shard_row"))
+    ids = named.withColumn("doc_id", F.col("shard_row"))
+    places = cut_lineage(assign(ids, **options)).select(F.col("doc_id").alias("shard_row"), "shard", "slot")
+    once = named.dropDuplicates(["shard_row"])
+    rows = places.join(once, "shard_row").drop("shard_row")
     rows.repartition("shard").sortWithinPartitions("shard", "slot").write.partitionBy("shard").parquet(path)

@@ -53,7 +53,10 @@ def test_odd_rows_and_no_rows(odd, nothing):
 
 
 def test_written_shards_hold_the_rows(spark, tmp_path):
-    docs = frame(spark, random_rows(60))
-    sharding.write_shards(docs, sharding.assign(docs, shards=4), str(tmp_path / "shards"))
+    rows = random_rows(60) + odd_rows() + [odd_rows()[0]] * 4
+    docs = frame(spark, rows)
+    sharding.write_shards(docs, str(tmp_path / "shards"), shards=4)
     back = spark.read.parquet(str(tmp_path / "shards"))
-    assert back.select("doc_id", "shard", "slot").distinct().count() == 60
+    assert sorted(map(tuple, back.select(*docs.columns).collect()), key=key) == sorted(rows, key=key)
+    for _, part in back.select("shard", "slot").toPandas().groupby("shard"):
+        assert sorted(part.slot) == list(range(len(part)))
