@@ -6,13 +6,15 @@ that Spark writes to can hold them; files, and blocks in a file, ascend in docum
 file, so the place of any block is a sum of two numbers, and ids are unpacked with numpy, from any place in a block.
 
 Each document ends with ``end_id``. Null texts are empty ones. Documents of one id keep all their rows, ordered by a hash of the
-text. A tokenizer that splits at white space gives a text's ids as those of its words, one after the other, so each
-distinct word is encoded once and looked up afterwards (``Encoder``).
+text. A tokenizer file with the rules ``WORD_RULES`` gives a text's ids as those of its words, one after the other, so each
+distinct word is encoded once and looked up afterwards (``Encoder``); with a file of any other rules whole texts are encoded.
 """
 
 from __future__ import annotations
 
+import json
 import math
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -57,12 +59,42 @@ def unpack(packed: np.ndarray, width: int, first: int, count: int) -> np.ndarray
     return ((low | high) & np.uint64((1 << width) - 1)).astype(np.uint32)
 
 
+# The rules of tokenizer files under which a text can be encoded word by word.
+WORD_RULES = {
+    "normalizer": {
+        "type": "Sequence",
+        "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}],
+    },
+    "pre_tokenizer": {
+        "type": "Sequence",
+        "pretokenizers": [
+            {
+                "type": "Split",
+                "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"},
+                "behavior": "Removed",
+                "invert": True,
+            },
+            {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+        ],
+    },
+}
+WORD_END = "</w>"
+
+
+def splits_at_words(tokenizer) -> bool:
+    """Whether a tokenizer has the rules that ``Encoder`` cuts words by, and no added token that a word could be part of."""
+    rules = json.loads(tokenizer.to_str())
+    same = all(rules[name] == wanted for name, wanted in WORD_RULES.items()) and not rules["truncation"] and not rules["padding"]
+    added = [t["content"] for t in rules["added_tokens"]]
+    return same and rules["model"].get("end_of_word_suffix") == WORD_END and all(a[:1] == "<" and not re.search(r"\s", a) for a in added)
+
+
 _LETTER = np.zeros(256, bool)
 _LETTER[65:91] = _LETTER[97:123] = True
 
 
 class Encoder:
-    """Ids of whole texts from a tokenizer file, by distinct words.
+    """Ids of whole texts from a tokenizer file, by distinct words where its rules allow that.
 
     Words of ASCII and U+00C0 to U+00FF are cut further where letters meet other signs, as the tokenizer does itself, and
     A-Z lower-cased; a word with an apostrophe, a ``<`` or another character goes to the tokenizer as it is.
@@ -72,10 +104,11 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.by_word = splits_at_words(self.tokenizer)
         size = self.tokenizer.get_vocab_size()
         self.ends_word = np.zeros(size, bool)
         for token, number in self.tokenizer.get_vocab().items():
-            self.ends_word[number] = token.endswith("</w>")
+            self.ends_word[number] = token.endswith(WORD_END)
         self._forget()
 
     def _forget(self) -> None:
@@ -141,6 +174,11 @@ class Encoder:
 
     def encode(self, raw: np.ndarray, starts: np.ndarray, end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, each closed by ``end_id``, and how many each text has."""
+        if not self.by_word:
+            data = raw.tobytes()
+            texts = [data[a:b].decode() for a, b in zip(starts[:-1].tolist(), starts[1:].tolist(), strict=True)]
+            found = [[*e.ids, end_id] for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
+            return np.array([i for ids in found for i in ids], np.uint32), np.array([len(ids) for ids in found], np.int64)
         units, letters = self._units(raw, starts)
         hashes, first, place = np.unique(units.hashes(), return_index=True, return_inverse=True)
         spot = np.searchsorted(self.known, hashes)

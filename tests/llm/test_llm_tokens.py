@@ -72,3 +72,22 @@ def blocks_match():
 
 def test_no_documents(nothing):
     assert token_file.encoded_documents(nothing, PATH, 2, 49_408).count() == 0
+
+
+def test_files_of_other_rules_are_encoded_whole(spark, tmp_path):
+    import json
+
+    texts = ["Two  words, THREE\n\n", "it's <|endoftext|> é中", "", "a" * 500]
+    raw, starts = w.text_bytes(pa.array(texts))
+    changed = json.loads(Tokenizer.from_file(PATH).to_str())
+    changed["normalizer"]["normalizers"].pop()  # no longer lower-cased
+    (tmp_path / "cased.json").write_text(json.dumps(changed))
+    own = json.loads(Tokenizer.from_file(PATH).to_str())
+    own["added_tokens"].append({**own["added_tokens"][0], "id": 49408, "content": "wor"})
+    (tmp_path / "added.json").write_text(json.dumps(own))
+    paths = [public_tokenizers.path("byte_bpe_50k.json"), str(tmp_path / "cased.json"), str(tmp_path / "added.json"), PATH]
+    for path in paths:
+        encoder, plain = token_file.Encoder(path), Tokenizer.from_file(path)
+        assert encoder.by_word == (path == PATH)
+        ids, sizes = encoder.encode(raw, starts, 2)
+        assert [x.tolist() for x in np.split(ids, np.cumsum(sizes)[:-1])] == [[*plain.encode(t, add_special_tokens=False).ids, 2] for t in texts]
