@@ -13,26 +13,32 @@ text stands whole in some passage. A query runs as block-max WAND, on whole arra
    only if the sum of these maxima reaches that bound;
 3. items of opened blocks are scored in full. All at or above the threshold are retrieved, none is cut off by a rank.
 
-A retrieved pair counts when the question's word 3-grams and the answer's are found in the passage at ``overlap`` or more
-each (words instead, where a part has fewer than three).
-
-The index is built and used in shards of about ``POSTINGS`` postings, so what a task holds does not grow with the
-benchmark; document frequencies and lengths are those of all items. Null or empty items match nothing; null or empty
+A retrieved pair counts when some stretch of the passage, of twice the item's own words, reaches the threshold by itself and
+has the question's word 3-grams and the answer's at ``overlap`` or more each (words instead, where a part has fewer than
+three). Stretches begin at every item's length, so an item that stands in a passage stands whole in one, and neither the
+longest item nor the other items of its shard decide for a short one.
+
+The index is built in tasks, one for each shard of about ``POSTINGS`` postings, and used by as many shards at once as
+``INDEX_BYTES`` allow, so what a task or the driver holds does not grow with the benchmark; document frequencies and lengths
+are those of all items. Null or empty items match nothing; null or empty
 texts have no passage; repeated items are reported each. The result has one row per (doc_id, item_id), the best passage's.
 """
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskweave.llm import words as w
+from riskweave.llm.tables import numbers
 from riskweave.llm.toxicity import LETTER
 from riskweave.session import cut_lineage
 
@@ -42,6 +48,8 @@ LIGHT = 0.25
 OVERLAP = 0.6
 BLOCK = 8
 POSTINGS = 2_000_000
+# Bytes of indexes that one scan of the documents uses.
+INDEX_BYTES = 128_000_000
 GRAM = 3
 ENDS = np.zeros(256, bool)
 ENDS[[ord(c) for c in ".?!\n"]] = True
@@ -83,6 +91,7 @@ class Index:
     item_ids: list
     questions: list[np.ndarray]
     answers: list[np.ndarray]
+    lengths: np.ndarray
     stride: int
 
 
@@ -102,39 +111,45 @@ def item_terms(items: DataFrame) -> DataFrame:
     return items.select("row_hash", "text").mapInArrow(run, "row_hash long, term long, tf long, words long")
 
 
-def build(items: list, postings: list, n_items: int, mean_words: float) -> Index:
+def build(items: pa.Table, postings: pa.Table, n_items: int, mean_words: float) -> Index:
     """Index of one shard: items (row_hash, item_id, text), postings (row_hash, term, tf, words, df)."""
-    place = {r["row_hash"]: i for i, r in enumerate(items)}
-    item = np.array([place[p["row_hash"]] for p in postings], np.int64)
-    term = np.array([p["term"] for p in postings], np.int64).view(np.uint64)
-    tf, words, df = (np.array([p[c] for p in postings], float) for c in ("tf", "words", "df"))
+    items = items.sort_by([("item_id", "ascending"), ("row_hash", "ascending")])
+    rows = numbers(items["row_hash"])
+    order = np.argsort(rows)
+    item = order[np.searchsorted(rows[order], numbers(postings["row_hash"]))]
+    term = numbers(postings["term"]).view(np.uint64)
+    tf, words, df = (numbers(postings[c]).astype(float) for c in ("tf", "words", "df"))
     idf = np.log1p((n_items - df + 0.5) / (df + 0.5))
     impact = idf * tf * (K1 + 1) / (tf + K1 * (1 - B + B * words / mean_words))
-    impact /= np.maximum(np.bincount(item, impact, len(items)), 1e-12)[item]
+    count = items.num_rows
+    impact /= np.maximum(np.bincount(item, impact, count), 1e-12)[item]
     terms, term = np.unique(term, return_inverse=True)
     order = np.lexsort((item, term))
     term, item, impact = term[order], item[order], impact[order]
     begin = np.searchsorted(term, np.arange(len(terms) + 1))
     # block maxima
-    key, at = np.unique(term * (len(items) // BLOCK + 1) + item // BLOCK, return_inverse=True)
+    blocks = count // BLOCK + 1
+    key, at = np.unique(term * blocks + item // BLOCK, return_inverse=True)
     block_max = np.zeros(len(key))
     np.maximum.at(block_max, at, impact)
-    block_term, block = key // (len(items) // BLOCK + 1), key % (len(items) // BLOCK + 1)
+    block_term, block = key // blocks, key % blocks
     # light lists: the longest first, as long as no item collects more than LIGHT from them
     essential = np.ones(len(terms), bool)
-    mass = np.zeros(len(items))
+    mass = np.zeros(count)
     for t in np.argsort(-np.diff(begin), kind="stable"):
         own = slice(begin[t], begin[t + 1])
         if (mass[item[own]] + impact[own]).max() <= LIGHT:
             mass[item[own]] += impact[own]
             essential[t] = False
-    parts = [_item(r["text"]) for r in items]
+    parts = [_item(text) for text in items["text"].to_pylist()]
+    lengths = np.array([len(h) for h, _ in parts], np.int64)
     return Index(
         terms, begin, item, impact, np.searchsorted(block_term, np.arange(len(terms) + 1)), block, block_max, essential,
-        [r["item_id"] for r in items],
+        items["item_id"].to_pylist(),
         [_grams(h[:a]) for h, a in parts],
         [_grams(h[a:]) for h, a in parts],
-        max([8, *(len(h) for h, _ in parts)]),
+        lengths,
+        max(8, int(lengths.max(initial=0))),
     )
 
 
@@ -191,17 +206,45 @@ def search(index: Index, raw: np.ndarray, starts: np.ndarray, threshold: float,
         at, _ = _ranges(index.begin[here], index.begin[here + 1])
         at = at[np.isin(index.item[at] // BLOCK, blocks)]
         score = np.bincount(index.item[at], index.impact[at])
-        grams = None
+        words = hashes[own]
         for item in np.flatnonzero(score >= threshold):
-            if grams is None:
-                words = hashes[own]
-                grams = np.concatenate([w.grams(words, np.array([0, len(words)]), GRAM)[0], w.scramble(words, 5)])
-            q, a = (np.isin(x, grams).mean() if len(x) else 1.0 for x in (index.questions[item], index.answers[item]))
-            if q >= overlap and a >= overlap:
-                out.append((i, item, float(score[item]), float(q), float(a)))
+            mine = at[index.item[at] == item]
+            listed = np.searchsorted(index.begin, mine, "right") - 1
+            best = _best_stretch(index, item, words, term[own], listed, index.impact[mine], threshold, overlap)
+            if best:
+                out.append((i, item, *best))
     return out
 
 
+def _best_stretch(
+    index: Index, item: int, words: np.ndarray, term: np.ndarray, listed: np.ndarray, impact: np.ndarray, threshold: float, overlap: float
+) -> tuple[float, float, float] | None:
+    """(score, question overlap, answer overlap) of the passage's best stretch for an item, if one counts.
+
+    ``listed`` are the item's terms in the passage and ``impact`` what each adds to its score.
+    """
+    length, best = max(8, int(index.lengths[item])), None
+    # only stretches that hold enough of the item's words are looked into
+    order = np.argsort(listed)
+    spot = np.searchsorted(listed[order], term).clip(max=len(listed) - 1)
+    worth = np.where(listed[order][spot] == term, impact[order][spot], 0.0)
+    so_far = np.concatenate([[0.0], np.cumsum(worth)])
+    starts = np.arange(0, max(1, len(words) - length), length)
+    ends = np.minimum(starts + 2 * length, len(words))
+    for low, high in zip(starts, ends, strict=True):
+        if so_far[high] - so_far[low] < threshold - 1e-9:
+            continue
+        part = words[low:high]
+        score = float(impact[np.isin(listed, term[low:high])].sum())
+        if score < threshold:
+            continue
+        grams = np.concatenate([w.grams(part, np.array([0, len(part)]), GRAM)[0], w.scramble(part, 5)])
+        q, a = (float(np.isin(x, grams).mean()) if len(x) else 1.0 for x in (index.questions[item], index.answers[item]))
+        if q >= overlap and a >= overlap:
+            best = max(best or (0.0, 0.0, 0.0), (score, q, a))
+    return best
+
+
 def contaminated(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD, overlap: float = OVERLAP) -> DataFrame:
     """(doc_id, item_id, score, question_overlap, answer_overlap) of every document that holds a test item."""
     spark = docs.sparkSession
@@ -212,36 +255,53 @@ def contaminated(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD
     if not total["items"]:
         return spark.createDataFrame([], RESULT)
     shards = -(-total["postings"] // POSTINGS)
-    shard = F.pmod("row_hash", F.lit(shards))
-    with_df = postings.join(postings.groupBy("term").agg(F.count("*").alias("df")), "term")
+    n_items, mean = total["items"], total["mean"]
+
+    def run(key: tuple, some_items: pa.Table, some_postings: pa.Table) -> pa.Table:
+        if not some_items.num_rows or not some_postings.num_rows:
+            return pa.table({"shard": pa.array([], pa.int64()), "index": pa.array([], pa.binary())})
+        index = zstandard.compress(pickle.dumps(build(some_items, some_postings, n_items, mean)), 1)
+        return pa.table({"shard": pa.array([key[0].as_py()], pa.int64()), "index": pa.array([index], pa.binary())})
+
+    shard = F.pmod("row_hash", F.lit(shards)).cast("long").alias("shard")
+    with_df = postings.join(postings.groupBy("term").agg(F.count("*").alias("df")), "term").select("row_hash", "term", "tf", "words", "df", shard)
+    by_shard = cut_lineage(rows.select("row_hash", "item_id", "text", shard)).groupBy("shard")
+    indexes = cut_lineage(by_shard.cogroup(with_df.groupBy("shard")).applyInArrow(run, "shard long, index binary"))
+    sizes = indexes.select("shard", F.length("index").alias("size")).orderBy("shard").collect()
+    together, held = [[]], 0
+    for r in sizes:
+        if together[-1] and held + r["size"] > INDEX_BYTES:
+            together.append([])
+            held = 0
+        together[-1].append(r["shard"])
+        held += r["size"]
     result = None
-    for i in range(shards):
-        index = build(
-            rows.filter(shard == i).orderBy("item_id", "row_hash").collect(), with_df.filter(shard == i).collect(), total["items"], total["mean"]
-        )
-        found = _search_all(docs, index, threshold, overlap)
+    for some in together:
+        packed = [r["index"] for r in indexes.filter(F.col("shard").isin(some)).orderBy("shard").collect()]
+        found = _search_all(docs, packed, threshold, overlap)
         result = found if result is None else result.union(found)
     order = F.struct("score", "question_overlap", "answer_overlap")
     return result.groupBy("doc_id", "item_id").agg(F.max(order).alias("best")).select("doc_id", "item_id", "best.*")
 
 
-def _search_all(docs: DataFrame, index: Index, threshold: float, overlap: float) -> DataFrame:
-    shared = docs.sparkSession.sparkContext.broadcast(index)
+def _search_all(docs: DataFrame, packed: list[bytes], threshold: float, overlap: float) -> DataFrame:
+    shared = docs.sparkSession.sparkContext.broadcast(packed)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index = shared.value
+        indexes = [pickle.loads(zstandard.decompress(p)) for p in shared.value]
         for batch in batches:
             ids = batch.column(0).to_pylist()
             for low, _, raw, starts in w.pieces(pc.utf8_lower(batch.column(1))):
-                hits = search(index, raw, starts, threshold, overlap)
-                if hits:
-                    yield pa.record_batch(
-                        [
-                            pa.array([ids[low + i] for i, *_ in hits], pa.int64()),
-                            pa.array([index.item_ids[j] for _, j, *_ in hits], pa.int64()),
-                            *[pa.array([h[c] for h in hits], pa.float64()) for c in (2, 3, 4)],
-                        ],
-                        names=["doc_id", "item_id", "score", "question_overlap", "answer_overlap"],
-                    )
+                for index in indexes:
+                    hits = search(index, raw, starts, threshold, overlap)
+                    if hits:
+                        yield pa.record_batch(
+                            [
+                                pa.array([ids[low + i] for i, *_ in hits], pa.int64()),
+                                pa.array([index.item_ids[j] for _, j, *_ in hits], pa.int64()),
+                                *[pa.array([h[c] for h in hits], pa.float64()) for c in (2, 3, 4)],
+                            ],
+                            names=["doc_id", "item_id", "score", "question_overlap", "answer_overlap"],
+                        )
 
     return docs.select("doc_id", "text").mapInArrow(run, RESULT)

@@ -142,7 +142,7 @@ def test_retrieval_equals_scoring_everything(spark):
         df[p["term"]] = df.get(p["term"], 0) + 1
     postings = [{**p, "df": df[p["term"]]} for p in postings]
     mean = np.mean([len(t.split()) for _, t in bench])
-    index = decontaminate.build(frame_.collect(), postings, len(bench), mean)
+    index = decontaminate.build(frame_.toArrow(), pa.Table.from_pylist(postings), len(bench), mean)
     raw, starts = w.text_bytes(pa.array(texts))
     got = {}
     for text, item, score, *_ in decontaminate.search(index, raw, starts, 0.5, 0.0):
@@ -153,15 +153,40 @@ def test_retrieval_equals_scoring_everything(spark):
     for t, text in enumerate(texts):
         hashes = w.Words(*w.text_bytes(pa.array([text])), is_word=decontaminate.LETTER).hashes()
         for low in range(0, len(hashes), index.stride):
-            here = set(map(int, hashes[low : low + 2 * index.stride]))
-            for i in range(len(bench)):
-                score = sum(weight.get((i, h), 0) for h in here)
-                if score >= 0.5:
-                    expected[t, i] = max(score, expected.get((t, i), 0))
+            passage = hashes[low : low + 2 * index.stride]
+            for i, length in enumerate(index.lengths):
+                length = max(8, int(length))
+                # stretches of twice the item's words, one from each of its lengths on
+                for begin in range(0, max(1, len(passage) - length), length):
+                    score = sum(weight.get((i, h), 0) for h in set(map(int, passage[begin : begin + 2 * length])))
+                    if score >= 0.5:
+                        expected[t, i] = max(score, expected.get((t, i), 0))
     assert got == pytest.approx(expected)
     assert len(got) > 20
 
 
+@pytest.mark.parametrize("index_bytes", [1, 10**9])
+def test_a_very_long_item_does_not_decide_for_short_ones(spark, monkeypatch, index_bytes):
+    monkeypatch.setattr(decontaminate, "INDEX_BYTES", index_bytes)
+    monkeypatch.setattr(decontaminate, "POSTINGS", 5_000)
+    rng = random.Random(9)
+    vocabulary = [f"u{i}" for i in range(6000)]
+    long = " ".join(rng.choice(vocabulary) for _ in range(10_000))
+    short = [(i, " ".join(f"s{i}x{j}" for j in range(15)) + f". answer a{i} b{i} c{i}") for i in range(12)]
+    bench = items(spark, [(100, long), *short])
+    noise = [rng.choice(vocabulary) for _ in range(9_000)]
+    scattered, whole = list(noise), list(noise)
+    # every three words of a short item, far from each other; and the item in one place
+    words_ = short[3][1].replace(".", "").split()
+    for n, j in enumerate(range(0, len(words_), 3)):
+        at = 300 + n * 1400
+        scattered[at:at] = words_[j : j + 3]
+    whole[5000:5000] = short[4][1].split()
+    docs = frame(spark, [(1, " ".join(scattered), "en", "s", 0), (2, " ".join(whole), "en", "s", 0), (3, f"before {long} after", "en", "s", 0)])
+    found = decontaminate.contaminated(docs, bench)
+    assert {(r["doc_id"], r["item_id"]) for r in found.collect()} == {(2, 4), (3, 100)}
+
+
 def test_no_items_or_no_documents(spark, odd, nothing):
     bench = items(spark, [(1, "some question about nothing in particular. And its answer")])
     assert decontaminate.contaminated(odd, bench.limit(0)).count() == 0
