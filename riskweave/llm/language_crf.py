@@ -209,7 +209,7 @@ def word_posteriors(model: Crf, raw: np.ndarray, starts: np.ndarray) -> tuple[w.
 
 def training_rows(docs: DataFrame, per_label: int = PER_LABEL, most: int = MOST) -> list[tuple]:
     keys = docs.filter(~held_out() & F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
-    keys = keys.select("doc_id", "lang", F.xxhash64("text").alias("text_hash")).distinct()
+    keys = keys.select("doc_id", "lang", F.xxhash64("text").alias("text_hash"), F.octet_length("text").alias("size")).distinct()
     return sample_texts(docs, keys, ["lang"], per_label, most)
 
 

@@ -24,18 +24,41 @@ def held_out() -> F.Column:
     return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
-def sample_texts(docs: DataFrame, keys: DataFrame, strata: Sequence[str], per_stratum: int, most: int) -> list[tuple]:
-    """A bounded training sample: (text, *strata) of the rows of ``docs`` that ``keys`` (doc_id, text_hash, *strata) names.
+# Bytes of text in a training sample.
+MOST_BYTES = 64_000_000
+# Steps of a row's place in the fixed pseudo-random order.
+PLACES = 1 << 40
 
-    At most ``per_stratum`` of each stratum and ``most`` in all, those that come first in a fixed pseudo-random order.
+
+def sample_texts(
+    docs: DataFrame, keys: DataFrame, strata: Sequence[str], per_stratum: int, most: int, most_bytes: int = MOST_BYTES
+) -> list[tuple]:
+    """A bounded training sample: (text, *strata) of the rows of ``docs`` that ``keys`` (doc_id, text_hash, size, *strata) names.
+
+    At most ``per_stratum`` of each stratum, ``most`` in all and ``most_bytes`` of text, those that come first in a fixed
+    pseudo-random order. Rows of a large stratum that are far behind in that order are left out before any are ranked, so a
+    stratum is never gathered in one task; texts are fetched by id and hash once the sample is known. Rows without id
+    are not sampled.
     """
-    rank = F.row_number().over(W.partitionBy(*strata).orderBy(F.xxhash64("doc_id", F.lit(10)), "doc_id", "text_hash"))
-    small = keys.withColumn("rank", rank).filter(F.col("rank") <= per_stratum)
-    small = small.orderBy("rank", F.xxhash64("doc_id"), "doc_id", "text_hash").limit(most)
-    wanted = {(r["doc_id"], r["text_hash"]): [r[c] for c in strata] for r in small.collect()}
-    ids = docs.sparkSession.createDataFrame([(d,) for d in sorted({d for d, _ in wanted})], "doc_id long")
-    found = docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash")).join(F.broadcast(ids), "doc_id")
-    texts = {(r["doc_id"], r["text_hash"]): r["text"] for r in found.dropDuplicates(["doc_id", "text_hash"]).collect()}
+    place = F.pmod(F.xxhash64("doc_id", "text_hash", F.lit(10)), F.lit(PLACES)).alias("place")
+    known = cut_lineage(keys.filter(F.col("doc_id").isNotNull()).select("*", place))
+    sizes = known.groupBy(*strata).agg(F.count("*").alias("n")).withColumnsRenamed({c: f"of_{c}" for c in strata})
+    same = F.lit(True)
+    for c in strata:
+        same = same & F.col(c).eqNullSafe(F.col(f"of_{c}"))
+    # twice the rows wanted and a hundred more: fewer than wanted are practically never left
+    ahead = F.col("place") <= F.lit(float(PLACES)) * (2 * per_stratum + 100) / F.col("n")
+    rank = F.row_number().over(W.partitionBy(*strata).orderBy("place", "doc_id", "text_hash"))
+    small = known.join(sizes, same).filter(ahead).withColumn("rank", rank).filter(F.col("rank") <= per_stratum)
+    wanted: dict[tuple, list] = {}
+    for r in small.orderBy("rank", "place", "doc_id", "text_hash").limit(most).collect():
+        most_bytes -= r["size"]
+        if most_bytes >= 0 or not wanted:
+            wanted[r["doc_id"], r["text_hash"]] = [r[c] for c in strata]
+    few = docs.sparkSession.createDataFrame(sorted(wanted), "doc_id long, text_hash long")
+    found = docs.select(F.col("doc_id").cast("long"), "text", F.xxhash64("text").alias("text_hash"))
+    found = found.join(F.broadcast(few), ["doc_id", "text_hash"]).dropDuplicates(["doc_id", "text_hash"])
+    texts = {(r["doc_id"], r["text_hash"]): r["text"] for r in found.collect()}
     return [(texts[k], *wanted[k]) for k in sorted(wanted) if k in texts]
 
 
