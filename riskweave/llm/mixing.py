@@ -56,12 +56,12 @@ def targets(sized: DataFrame, most: int = MOST) -> DataFrame:
     return per.select("source", "source_size", "weight", "target", "quota", low.alias("low"), F.sum("quota").over(every).alias("all_quota"))
 
 
-def schedule(per_source: DataFrame, block: int = BLOCK) -> DataFrame:
+def schedule(per_source: DataFrame, block: int = BLOCK, ratio: float = GOLDEN) -> DataFrame:
     """(slot, source, rank, first, last): slot takes words [first, last) of its source's stream."""
     spark = per_source.sparkSession
     total = per_source.agg(F.max("all_quota")).first()[0] or 0
     slots = -(-total // block)
-    point = F.col("slot") * F.lit(GOLDEN)
+    point = F.col("slot") * F.lit(ratio)
     points = spark.range(0, slots).withColumnRenamed("id", "slot")
     points = points.withColumn("x", F.floor((point - F.floor(point)) * F.lit(float(total))).cast("long"))
     points = points.withColumn("bin", F.floor(F.col("x") * BINS / F.lit(float(max(total, 1)))).cast("int"))
@@ -86,27 +86,55 @@ def schedule(per_source: DataFrame, block: int = BLOCK) -> DataFrame:
     )
 
 
-def mix(docs: DataFrame, block: int = BLOCK) -> DataFrame:
-    """(doc_id, source, size, source_size, target, taken) of every document."""
+def _placed(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Every document with its place in its source's stream (begin, row) and what is known of the source; the sources."""
     sized = cut_lineage(sizes(docs))
     per_source = cut_lineage(targets(sized))
-    slots = cut_lineage(schedule(per_source, block))
     placed = with_starts(sized, ["source"], ["place", "size"], ["size", "one"])
     known = per_source.withColumnRenamed("source", "of_source")
     placed = placed.join(known, F.col("source").eqNullSafe(F.col("of_source")))
+    return cut_lineage(
+        placed.select("doc_id", "source", "size", "source_size", "target", "quota", F.col("before_size").alias("begin"), F.col("before_one").alias("row"))
+    ), per_source
+
+
+def _sequence(placed: DataFrame, slots: DataFrame, block: int) -> DataFrame:
     # a document stands once in every round of its source's stream that the quota reaches
     rounds = F.ceil(F.col("quota") / F.greatest("source_size", F.lit(1))).cast("int")
-    copies = placed.withColumn("round", F.explode(F.sequence(F.lit(0), F.greatest(rounds, F.lit(1)) - 1)))
-    copies = copies.withColumn("begin", F.col("before_size") + F.col("round") * F.col("source_size"))
+    copies = placed.filter("size > 0 and quota > 0").withColumn("round", F.explode(F.sequence(F.lit(0), rounds - 1)))
+    copies = copies.withColumn("begin", F.col("begin") + F.col("round") * F.col("source_size"))
     end = F.col("begin") + F.col("size")
-    last = F.greatest(F.floor((end - 1) / block), F.floor(F.col("begin") / block)).cast("long")
-    pieces = copies.withColumn("rank", F.explode(F.sequence(F.floor(F.col("begin") / block).cast("long"), last)))
-    drawn = slots.select(F.col("source").alias("slot_source"), F.col("rank").alias("slot_rank"), "first", "last")
-    joined = pieces.join(drawn, F.col("source").eqNullSafe(F.col("slot_source")) & (F.col("rank") == F.col("slot_rank")), "left")
-    inside = F.least(end, F.col("last")) - F.greatest(F.col("begin"), F.col("first"))
-    words = F.when(F.col("slot_rank").isNotNull(), F.greatest(inside, F.lit(0)))
-    return (
-        joined.groupBy("source", "before_one", "doc_id", "size", "source_size", "target")
-        .agg(F.coalesce(F.sum(words), F.lit(0)).alias("taken"))
-        .select("doc_id", "source", "size", "source_size", "target", "taken")
+    ranks = F.sequence(F.floor(F.col("begin") / block).cast("long"), F.floor((end - 1) / block).cast("long"))
+    pieces = copies.withColumn("rank", F.explode(ranks))
+    drawn = slots.select("slot", F.col("source").alias("slot_source"), F.col("rank").alias("slot_rank"), "first", "last")
+    joined = pieces.join(drawn, F.col("source").eqNullSafe(F.col("slot_source")) & (F.col("rank") == F.col("slot_rank")))
+    low, high = F.greatest(F.col("begin"), F.col("first")), F.least(end, F.col("last"))
+    return joined.filter(low < high).select(
+        "slot", (low - F.col("first")).alias("offset"), "source", "row", "doc_id", "round",
+        (low - F.col("begin")).alias("first_word"), (high - F.col("begin")).alias("last_word"),
+    )
+
+
+def sequence(docs: DataFrame, block: int = BLOCK, ratio: float = GOLDEN) -> DataFrame:
+    """The mix itself: (slot, offset, source, row, doc_id, round, first_word, last_word), in order of (slot, offset).
+
+    Each row stands for words [first_word, last_word) of a document, the ``row``-th of its source's stream, in its
+    ``round``-th repetition. A slot holds one block of one source.
+    """
+    placed, per_source = _placed(docs)
+    return _sequence(placed, cut_lineage(schedule(per_source, block, ratio)), block)
+
+
+def mix(docs: DataFrame, block: int = BLOCK, ratio: float = GOLDEN) -> DataFrame:
+    """(doc_id, size, source_size, target, taken, source, slots) of every document, out of the mixed sequence.
+
+    ``slots`` has the slot with which each repetition of the document begins, in ascending order.
+    """
+    placed, per_source = _placed(docs)
+    mixed = _sequence(placed, cut_lineage(schedule(per_source, block, ratio)), block)
+    each = mixed.groupBy("source", "row", "round").agg(F.sum(F.col("last_word") - F.col("first_word")).alias("words"), F.min("slot").alias("slot"))
+    taken = each.groupBy(F.col("source").alias("of_source"), F.col("row").alias("of_row")).agg(
+        F.sum("words").alias("taken"), F.sort_array(F.collect_list("slot")).alias("slots")
     )
+    joined = placed.join(taken, F.col("source").eqNullSafe(F.col("of_source")) & (F.col("row") == F.col("of_row")), "left")
+    return joined.select("doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).alias("taken"), "source", F.coalesce("slots", F.array().cast("array<long>")).alias("slots"))

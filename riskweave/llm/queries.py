@@ -34,7 +34,9 @@ def op1_language_crf(spark: SparkSession, folder: str) -> DataFrame:
 
 def op2_suffix_repetition(spark: SparkSession, folder: str) -> DataFrame:
     """Repetition counts and verdict of every document."""
-    return repetition.judge(table(spark, folder, "documents")).drop("longest_repeat")
+    found = repetition.judge(table(spark, folder, "documents"))
+    counts = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+    return found.select("doc_id", *counts, "base_failed", "kept", "covered_words")
 
 
 # Words that repeats of k words or more cover are those in k-word windows that occur twice; a repeat of more than 50 words
@@ -98,7 +100,8 @@ from w left join n using (doc_id) left join (select a as doc_id, min(b) as low f
 def op3_hilbert_shards(spark: SparkSession, folder: str) -> DataFrame:
     """Every document's shard and slot, by equal bytes along the curve."""
     law, grown = F.lit("bytes").alias("law"), F.lit(None).cast("int").alias("grown_shard")
-    return sharding.assign(table(spark, folder, "documents")).select("*", law, grown)
+    placed = sharding.assign(table(spark, folder, "documents"))
+    return placed.select("doc_id", "size", "text_crc32", law, "shard", "slot", grown, "curve")
 
 
 def op4_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
@@ -108,7 +111,7 @@ def op4_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
 
 def op6_mix(spark: SparkSession, folder: str) -> DataFrame:
     """How many words the mix takes of every document."""
-    return mixing.mix(table(spark, folder, "documents"))
+    return mixing.mix(table(spark, folder, "documents")).drop("slots")
 
 
 # What a source gives is the beginning of its repeated, shuffled stream, up to its quota.

@@ -44,16 +44,20 @@ def brute(rows):
     return sorted(out, key=key)
 
 
+def plain(mixed):
+    return [(r.doc_id, r.source, r.size, r.source_size, round(r.target, 6), r.taken) for r in mixed.collect()]
+
+
 @pytest.mark.parametrize("block", [1, 7, 4096])
 def test_equals_plain_streams(spark, block):
     rows = [(i, t, lang, f"s{i % 7}" if i % 11 else None, n) for i, t, lang, _, n in random_rows(80)]
     rows += [(1000 + i, "word " * i, "en", "tiny" if i < 3 else "s1", 0) for i in range(12)]
-    found = [(*r[:4], round(r[4], 6), r[5]) for r in map(tuple, mixing.mix(frame(spark, rows), block).collect())]
+    found = plain(mixing.mix(frame(spark, rows), block))
     assert sorted(found, key=key) == brute(rows)
 
 
 def test_odd_rows_and_no_rows(odd, nothing):
-    found = [(*r[:4], round(r[4], 6), r[5]) for r in map(tuple, mixing.mix(odd).collect())]
+    found = plain(mixing.mix(odd))
     assert sorted(found, key=key) == brute(odd_rows())
     assert mixing.mix(nothing).count() == 0
 
@@ -86,3 +90,26 @@ def test_reruns_agree(odd):
     first, second = (sorted(map(tuple, mixing.mix(odd).select(*order).collect()), key=key) for _ in range(2))
     assert first == second
     assert mixing.mix(odd).agg(F.sum("taken")).first()[0] > 0
+
+
+def test_the_sequence_is_the_mix(spark):
+    rows = [(i, t, lang, f"s{i % 3}", n) for i, t, lang, _, n in random_rows(60)]
+    found = mixing.sequence(frame(spark, rows), block=16).orderBy("slot", "offset").toPandas()
+    text = {i: words(t) for i, t, *_ in rows}
+    # blocks hold their words without gap or overlap, and one source each
+    for _, part in found.groupby("slot"):
+        length = part.last_word - part.first_word
+        assert part.source.nunique() == 1 and (length > 0).all()
+        assert list(part.offset) == [0, *length.cumsum()[:-1]] and length.sum() <= 16
+    assert all(r.last_word <= len(text[r.doc_id]) for r in found.itertuples())
+    taken = (found.last_word - found.first_word).groupby(found.doc_id).sum().to_dict()
+    mixed = {r.doc_id: r.taken for r in mixing.mix(frame(spark, rows), block=16).collect()}
+    assert {i: n for i, n in mixed.items() if n} == taken
+
+
+def test_other_points_change_the_sequence_and_not_the_sums(spark):
+    rows = [(i, t, lang, f"s{i % 3}", n) for i, t, lang, _, n in random_rows(60)]
+    df = frame(spark, rows)
+    order = [[tuple(r) for r in mixing.sequence(df, 16, ratio).select("slot", "offset", "doc_id", "first_word").orderBy("slot", "offset").collect()] for ratio in (mixing.GOLDEN, 0.41421356237309515)]
+    assert order[0] != order[1]
+    assert plain(mixing.mix(df, 16).orderBy("doc_id")) == plain(mixing.mix(df, 16, 0.41421356237309515).orderBy("doc_id"))
