@@ -60,14 +60,22 @@ def remove_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as the mix takes it, to the nearest whole time; documents without words stay once."""
+    """Each document as often as the mix takes it, to the nearest whole time, in the order of the mix's slots.
+
+    A copy stands where the document's repetition of that number begins; of rows that agree in everything, where the first
+    of them does. Documents without words stay once, at the end.
+    """
     keyed = _documents(docs).withColumn("row_key", _row_key())
     taken = mixing.mix(_numbered(docs)).groupBy(F.col("doc_id").alias("row_key")).agg(
-        F.min("size").alias("size"), F.sum("taken").alias("taken"), F.count("*").alias("rows")
+        F.min("size").alias("size"),
+        F.sum("taken").alias("taken"),
+        F.count("*").alias("rows"),
+        F.array(*[F.min(F.get("slots", F.lit(i))) for i in range(mixing.MOST)]).alias("slots"),
     )
     times = F.when(F.col("size") == 0, F.col("rows")).otherwise(F.round(F.col("taken") / F.col("size"))).cast("int")
     once = keyed.dropDuplicates(["row_key"]).join(taken.withColumn("times", times).filter("times > 0"), "row_key")
-    return once.withColumn("copy", F.explode(F.sequence(F.lit(1), "times"))).select(*COLUMNS)
+    each = once.withColumn("copy", F.explode(F.sequence(F.lit(1), "times")))
+    return each.withColumn("slot", F.get("slots", (F.col("copy") - 1) % mixing.MOST)).orderBy(F.col("slot").asc_nulls_last()).select(*COLUMNS)
 
 
 def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
