@@ -6,6 +6,7 @@ import pytest
 from llm_fixtures import frame, key, odd_rows, words
 
 import corpus_pipeline
+from riskweave.llm import mixing
 
 
 @pytest.fixture(scope="module")
@@ -96,6 +97,29 @@ def test_mix_takes_whole_documents(spark, folder):
     assert not any(word in plan for word in ("Python", "Pandas", "Arrow"))
 
 
+def test_mix_comes_near_its_targets_and_is_mixed(spark, folder):
+    docs = spark.read.parquet(f"{folder}/documents.parquet").filter("doc_id < 240")
+    wanted = {r["source"]: r["target"] for r in mixing.targets(mixing.sizes(docs)).collect()}
+    mixed = [(r["source"], len(words(r["text"]))) for r in stage("mixing sources to target weights")(spark, docs, folder).collect()]
+    taken = {s: sum(n for source, n in mixed if source == s) for s in wanted}
+    # only a stream's last document is rounded
+    assert all(abs(taken[s] - target) <= max(n for source, n in mixed if source == s) for s, target in wanted.items())
+    # slots hold blocks of thousands of words: every quarter of the rows has several sources
+    quarter = len(mixed) // 4
+    assert all(len({source for source, _ in mixed[i * quarter : (i + 1) * quarter]}) >= 2 for i in range(4))
+
+
+def test_shards_have_equal_bytes(spark, folder):
+    docs = spark.read.parquet(f"{folder}/documents.parquet").filter("doc_id < 240")
+    sharded = stage("sharding")(spark, docs, folder).collect()
+    sizes = {}
+    for r in sharded:
+        sizes[r["shard"]] = sizes.get(r["shard"], 0) + len(r["text"].encode()) + 16
+    largest = max(len(r["text"].encode()) + 16 for r in sharded)
+    assert len(sizes) == 40
+    assert max(sizes.values()) - min(sizes.values()) <= 2 * largest
+
+
 def test_shards_hold_every_row(spark, folder):
     docs = spark.read.parquet(f"{folder}/documents.parquet")
     sharded = stage("sharding")(spark, docs, folder)
