@@ -39,7 +39,7 @@ _BYTE = scramble(np.arange(256, dtype=np.uint64), 77)
 def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
     global _powers, _inverse
     if len(_powers) < n:
-        size = max(n, 2 * PIECE_BYTES)
+        size = 1 << n.bit_length()
         for name, base in (("_powers", _BASE), ("_inverse", pow(_BASE, -1, 1 << 64))):
             steps = np.full(size, base, np.uint64)
             steps[0] = 1

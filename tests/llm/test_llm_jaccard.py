@@ -1,5 +1,6 @@
 import itertools
 
+import numpy as np
 import pytest
 from llm_fixtures import LOWER, frame, odd_rows, random_rows, words
 
@@ -51,3 +52,33 @@ def test_components_of_a_long_chain(spark):
     edges = spark.createDataFrame([(i + 1, i) for i in range(0, 60)] + [(200, 300), (300, 400)], "a long, b long")
     found = {r["node"]: r["component"] for r in components(edges).collect()}
     assert found == {**dict.fromkeys(range(61), 0), 200: 200, 300: 200, 400: 200}
+
+
+@pytest.mark.parametrize(("share", "tokens", "rows_of_a_group"), [(0.2, 40, 16_384), (1.0, 1_000_000, 8), (20.0, 100, 8)])
+def test_counted_share_buckets_and_groups_change_nothing(spark, monkeypatch, share, tokens, rows_of_a_group):
+    rows = random_rows(120, vocabulary=12, length=25)
+    monkeypatch.setattr(jaccard_join, "COUNTED", share)
+    monkeypatch.setattr(jaccard_join, "BUCKET_TOKENS", tokens)
+    monkeypatch.setattr(jaccard_join, "GROUP_ROWS", rows_of_a_group)
+    monkeypatch.setattr(jaccard_join, "BLOCK", 8)
+    found = jaccard_join.jaccard_components(frame(spark, rows), 3, 60, 100).collect()
+    assert sorted(map(tuple, found), key=str) == brute(rows, 3, 60, 100)
+
+
+def test_frequencies_are_those_of_all_documents(spark):
+    rows = random_rows(200, vocabulary=15, length=30)
+    docs = frame(spark, rows).repartition(5).selectExpr("doc_id as row", "doc_id", "text")
+    pieced = jaccard_join.cut_lineage(jaccard_join.pieces(docs, 2, 80, 100))
+    sets = [set(zip(w, w[1:], strict=False)) if len(w) > 1 else {tuple(w)} for w in (words(t) for _, t, *_ in rows)]
+    # equal sets of a piece count once
+    counted, shared = {}, {}
+    for r in pieced.collect():
+        for t in set(np.frombuffer(r["tokens"], np.uint64).tolist()):
+            counted[t] = counted.get(t, 0)
+        values = np.frombuffer(r["tokens"], np.uint64)
+        for t, n in zip(*np.unique(values[jaccard_join._counted(values, 80, 100)], return_counts=True), strict=True):
+            counted[int(t)] += int(n)
+    for r in jaccard_join.shared_tokens(pieced, 80, 100).collect():
+        shared |= dict(zip(np.frombuffer(r["tokens"], np.uint64).tolist(), np.frombuffer(r["frequencies"], np.uint32).tolist(), strict=True))
+    assert shared == {t: n for t, n in counted.items() if n > 1}
+    assert 0 < len(shared) <= len(set().union(*sets))
