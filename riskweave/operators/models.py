@@ -26,7 +26,7 @@ from pyspark.util import inheritable_thread_target
 from riskweave.operators.encode import Encoding, Scaling, class_weights, fit_encoding, fit_scaling
 from riskweave.operators.scoring import PROBABILITY
 from riskweave.schema import LABEL
-from riskweave.session import shared_folder
+from riskweave.session import new_path, shared_folder
 
 LOGISTIC, FOREST, BOOSTED = "LogisticRegression", "RandomForest", "GradientBoostedTrees"
 KINDS = (LOGISTIC, FOREST, BOOSTED)
@@ -127,6 +127,16 @@ def _estimator(kind: str, rows: int, settings: Mapping):
     return GBTClassifier(**columns, **settings)
 
 
+def _without_summary(kind: str, model: Model, spark: SparkSession) -> Model:
+    """The model as it is when loaded. A training summary holds on to the session, which then goes out with every task,
+    and which cannot go out at all once it has observed metrics."""
+    if not getattr(model, "hasSummary", False):
+        return model
+    path = new_path(spark, "model")
+    model.write().save(path)
+    return _LOADERS[kind].load(path)
+
+
 def train_models(
     train: DataFrame,
     kinds: Iterable[str] = KINDS,
@@ -158,7 +168,7 @@ def train_models(
             inputs = _assemble(rows, encoding, own).select(
                 FEATURES, F.col(LABEL).cast("double").alias(LABEL), _row_weight(kind, sizes).alias(WEIGHT)
             )
-            model = _estimator(kind, sizes["positives"] + sizes["negatives"], chosen).fit(inputs)
+            model = _without_summary(kind, _estimator(kind, sizes["positives"] + sizes["negatives"], chosen).fit(inputs), train.sparkSession)
             return RiskModel(kind, encoding, own, model)
 
         kinds = list(kinds)
