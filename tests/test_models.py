@@ -9,12 +9,13 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from riskweave.operators import explain as x
+from riskweave.operators import metrics
 from riskweave.operators import models as m
 from riskweave.operators import requests as rq
 from riskweave.operators import trees
 from riskweave.operators.scoring import PROBABILITY
 from riskweave.plans import catalog, workflow
-from riskweave.schema import REQUESTS
+from riskweave.schema import LABEL, REQUESTS
 from riskweave.sources.events import requests_from_events, transactions_from_events
 from riskweave.streaming import scoring as stream
 
@@ -272,3 +273,29 @@ def test_nan_goes_right_in_attributions():
     leaves = x.collect_leaves(trees.Forest(nodes, (1.0,), ("x",)))
     parts = x.attribute(leaves, np.array([[np.nan], [0.0], [1.0]]))
     assert (leaves.base + parts.sum(1)).tolist() == pytest.approx([2.0, -1.0, 2.0])
+
+
+def test_last_round_equals_the_model_and_rounds_can_be_chosen(fitted):
+    run, _ = fitted
+    model, rows = run.models[m.BOOSTED], workflow.part(run.features, "validation")
+    forest = trees.Forest.of_model(model, rows.sparkSession)
+    inputs = trees.model_inputs(model, rows, [LABEL])
+    found = {r["round"]: r.asDict() for r in trees.round_metrics(inputs, forest).collect()}
+    assert sorted(found) == list(range(1, len(forest.weights) + 1))
+    whole = workflow.compare({m.BOOSTED: model}, rows).first().asDict()
+    last = found[len(forest.weights)]
+    assert [last[c] for c in metrics.METRICS] == pytest.approx([whole[c] for c in metrics.METRICS])
+    few = trees.round_metrics(inputs, forest, rounds=[1, len(forest.weights)]).collect()
+    assert {r["round"]: r["roc_auc"] for r in few} == pytest.approx({n: found[n]["roc_auc"] for n in (1, len(forest.weights))})
+    # a grid of scores bounds the counts
+    coarse = trees.round_counts(inputs, forest, digits=1).groupBy("round").count().collect()
+    assert max(r["count"] for r in coarse) <= 11
+
+
+def test_forest_round_trip(spark, fitted, tmp_path):
+    run, _ = fitted
+    forest = trees.Forest.of_model(run.models[m.BOOSTED], spark)
+    forest.write(spark, str(tmp_path / "t"))
+    back = trees.Forest.read(spark, str(tmp_path / "t"))
+    assert (back.weights, back.names) == (forest.weights, forest.names)
+    assert back.nodes.equals(forest.nodes.astype(back.nodes.dtypes))
