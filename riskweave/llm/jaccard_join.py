@@ -39,7 +39,7 @@ from riskweave.session import cut_lineage
 # The share of all tokens whose frequencies are counted, as a multiple of a prefix's share of a set.
 COUNTED = 2.5
 # Tokens that one task counts.
-BUCKET_TOKENS = 1_000_000
+BUCKET_TOKENS = 500_000
 # Bytes of text in a piece, and pieces in a file, each a row of up to about as many bytes.
 PIECE_BYTES = 1_000_000
 PIECES_OF_A_FILE = 64
@@ -48,13 +48,15 @@ FULL = (1 << 32) - 1  # frequencies above rank alike
 FILTER_CELLS = 1 << 20
 BINS = 256
 BLOCK = 512
+# Rows of whole cells that a task holds at once, or one cell.
+HELD_ROWS = 1_000
 ORDERS = 2
 # Bucket rows of one family that a task compares together.
-GROUP_ROWS = 16_384
+GROUP_ROWS = 8_192
 # Pairs compared by histogram at once; bounds memory only.
-SLAB = 25_000
+SLAB = 10_000
 # Prefix tokens of pairs looked through at once; bounds memory only.
-LOOKED_THROUGH = 500_000
+LOOKED_THROUGH = 200_000
 
 
 def need(n: np.ndarray, num: int, den: int) -> np.ndarray:
@@ -264,7 +266,7 @@ def star_candidates(rows: DataFrame, described: DataFrame, num: int, den: int) -
     """(a, b): each member of a bucket's block with the block's smallest node, if the bounds leave it open."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for t in whole_runs(batches, ["token", "block"]):
+        for t in whole_runs(batches, ["token", "block"], HELD_ROWS):
             node, n = numbers(t["node"]), numbers(t["n"])
             starts = run_starts([numbers(t["token"]), numbers(t["block"])])
             head = np.repeat(starts, np.diff(np.append(starts, len(node))))
@@ -312,7 +314,7 @@ def cross_candidates(rows: DataFrame, described: DataFrame, num: int, den: int)
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for t in whole_runs(batches, ["lead", "salt", "one", "two"]):
+        for t in whole_runs(batches, ["lead", "salt", "one", "two"], HELD_ROWS):
             cells = run_starts([numbers(t[c]) for c in ("lead", "salt", "one", "two")])
             cell = np.repeat(np.arange(len(cells)), np.diff(np.append(cells, t.num_rows)))
             at = t["at"].combine_chunks()

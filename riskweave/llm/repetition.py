@@ -10,7 +10,7 @@ A text is kept if it has ten words or more, if at most a fifth of its words lie
 repeats of ``MIN_WORDS`` words cover at most ``MAX_COVERED`` of it and none is longer than ``MAX_LONGEST`` words.
 
 Null and empty texts have no words and fail. Repeated rows are judged each. Texts are read whole; a piece of work holds
-about two megabytes of texts, or one text if that is longer.
+about half a megabyte of texts, or one text if that is longer.
 """
 
 from __future__ import annotations

@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 
 # Bytes of text taken at once; a longer text makes a piece of its own.
-PIECE_BYTES = 2_000_000
+PIECE_BYTES = 500_000
 
 _BASE = 0x9E3779B97F4A7C15 | 1
 _MASK = (1 << 64) - 1
