@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskweave.llm import words as w
-from riskweave.llm.tables import components, numbers, run_starts, whole_runs
+from riskweave.llm.tables import arrow_bytes, components, numbers, run_starts, whole_runs
 from riskweave.session import cut_lineage
 
 SHINGLE, SEED = 4, 42
@@ -43,8 +43,9 @@ BLOCKS = tuple(np.uint64(((1 << high) - 1) ^ ((1 << low) - 1)) for low, high in
 SAMPLE, LEAST_SAMPLE, SHARD = 16_384, 64, 4_096
 # Members that one task compares with each other or with as many others, and sizes compared without going down further.
 CELL, LEAF = 32_768, 64
-# Shingles hashed at once; bounds memory only.
-HASHED = 500_000
+# Shingles hashed at once, and bytes of text handed to a task at once; they bound memory only.
+HASHED = 32_768
+HANDED = 4_000_000
 
 
 def joined_words(found: w.Words) -> tuple[bytes, np.ndarray, np.ndarray]:
@@ -246,7 +247,8 @@ def cells(placed: DataFrame) -> DataFrame:
 def near_components(docs: DataFrame) -> DataFrame:
     """(doc_id, fingerprint, component_id) for every row of ``docs`` (doc_id, text)."""
     reach = DISTANCE // len(BLOCKS)
-    prints = cut_lineage(fingerprints(docs))
+    with arrow_bytes(docs.sparkSession, HANDED):
+        prints = cut_lineage(fingerprints(docs))
     nodes = cut_lineage(prints.groupBy("bits").agg(F.min("doc_id").alias("low")))
     trees = grow(nodes, nodes.count())
     placed = cut_lineage(members(nodes, trees, reach))

@@ -1,12 +1,14 @@
 import random
+import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from llm_fixtures import LOWER, frame, odd_rows, random_rows, words
 
 from riskweave.llm import simhash as s
-from riskweave.llm.tables import cut_lineage
+from riskweave.llm.tables import BATCH_BYTES, arrow_bytes, cut_lineage
 
 
 def fingerprint(text):
@@ -113,3 +115,32 @@ def test_shingles_in_small_portions(monkeypatch):
     monkeypatch.setattr(s, "HASHED", 7)
     found = [b for _, _, raw, starts in w.pieces(pa.array(texts), 300) for b in s.piece_fingerprints(raw, starts).tolist()]
     assert found == [fingerprint(t) for t in texts]
+
+
+def test_a_piece_of_short_words_stays_small():
+    raw = np.frombuffer(b"a b c d " * 62_500, np.uint8)
+    tracemalloc.start()
+    s.piece_fingerprints(raw, np.array([0, len(raw)]))
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 80_000_000
+
+
+def test_texts_are_handed_to_tasks_in_small_batches(spark, monkeypatch):
+    sizes, before = [], spark.conf.get(BATCH_BYTES)
+
+    def written(df):
+        sizes.append(spark.conf.get(BATCH_BYTES))
+        return cut_lineage(df)
+
+    monkeypatch.setattr(s, "cut_lineage", written)
+    assert s.near_components(frame(spark, random_rows(5))).count() == 5
+    assert sizes[0] == str(s.HANDED) and set(sizes[1:]) == {before} == {spark.conf.get(BATCH_BYTES)}
+
+    def rows(batches):
+        yield from (pa.record_batch([pa.array([b.num_rows])], names=["n"]) for b in batches)
+
+    texts = spark.range(0, 3000, 1, 1).selectExpr("repeat('a ', 4000) text")
+    with arrow_bytes(spark, s.HANDED):
+        found = [r["n"] for r in texts.mapInArrow(rows, "n long").collect()]
+    assert sum(found) == 3000 and max(found) <= 500
