@@ -97,3 +97,57 @@ def test_counts_of_a_silent_customer_expire(make, replay, spark, tmp_path):
 def test_rows_without_a_key_are_not_answered(make, replay):
     found, _ = replay(make([{"customer_id": None}, {"transaction_time": None}, {"transaction_id": None}, {}]))
     assert [r.transaction_id for r in found.collect()] == ["T00003"]
+
+
+class Kept:
+    """A customer's state in memory, with the number of calls; every call of the real one is a round trip."""
+
+    def __init__(self, value=None):
+        self.value, self.calls = value, 0
+
+    def __getattr__(self, name):
+        self.calls += 1
+        return {
+            "get": lambda: self.value,
+            "put": lambda rows: setattr(self, "value", rows),
+            "update": lambda row: setattr(self, "value", row),
+            "clear": lambda: setattr(self, "value", []),
+            "appendList": lambda rows: setattr(self, "value", self.value + rows),
+            "registerTimer": lambda at: None,
+            "keys": lambda: iter([(d,) for d in self.value]),
+            "containsKey": lambda key: key[0] in self.value,
+            "updateValue": lambda key, _: self.value.add(key[0]),
+        }[name]
+
+
+@pytest.mark.parametrize(("limit", "most"), [(500, (9, 6)), (2, (9, 10))])
+def test_few_round_trips_per_customer(monkeypatch, limit, most):
+    monkeypatch.setattr(history, "KEPT_DEVICES", limit)
+    state = history.CustomerHistory()
+    state.waiting, state.recent, state.last, state.devices, state.handle = Kept([]), Kept([]), Kept(), Kept(set()), Kept()
+    parts = (state.waiting, state.recent, state.last, state.devices, state.handle)
+
+    def answered(devices, start):
+        state.waiting.value = [(start + i, f"T{i}", 5.0, d, 1.0, 1.0) for i, d in enumerate(devices)]
+        for p in parts:
+            p.calls = 0
+        clock = type("Clock", (), {"getCurrentWatermarkInMs": staticmethod(lambda: start // 1000 + 10)})
+        found = list(state.handleExpiredTimer((7,), clock, None))[0]
+        return found["new_device"].tolist(), sum(p.calls for p in parts)
+
+    first, calls = answered(["a", "b", "c", "a"], history.DAY)
+    assert first == [1, 1, 1, 0] and calls <= most[0]
+    # three days on, the counts have expired
+    again, calls = answered(["c", "a", None, "b", "a"], 4 * history.DAY)
+    assert again == [0, 0, 0, 0, 0] and calls <= most[1] + 2
+    assert answered(["d", "a"], 8 * history.DAY)[0] == [1, 0]
+
+
+def test_missing_values_wait_as_none():
+    import pandas as pd
+
+    state = history.CustomerHistory()
+    state.waiting, state.handle = Kept([]), Kept()
+    rows = pd.DataFrame({"time_us": [5, 6], "transaction_id": ["a", "b"], "amount": [1.5, float("nan")], "device": ["x", None], "location_lat": [None, 2.0], "location_lon": [1.0, None]})
+    state.handleInputRows((7,), iter([rows]), None)
+    assert state.waiting.value == [(5, "a", 1.5, "x", None, 1.0), (6, "b", None, None, 2.0, None)]
