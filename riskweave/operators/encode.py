@@ -136,15 +136,15 @@ def fit_scaling(df: DataFrame, names: Sequence[str]) -> Scaling:
     )
 
 
-def moment_columns(names: Sequence[str], where: Column) -> list[Column]:
-    """Aggregates for ``scaling_of``: moments of the rows that ``where`` holds for, and how many they are by class."""
-    picked = [F.when(where, F.col(n).cast("double")) for n in names]
+def moment_columns(names: Sequence[str]) -> list[Column]:
+    """Aggregates for ``scaling_of``: moments of the rows, and how many they are by class."""
+    picked = [F.col(n).cast("double") for n in names]
     return [
         *[F.avg(c).alias(f"m{i}") for i, c in enumerate(picked)],
         *[F.stddev_pop(c).alias(f"s{i}") for i, c in enumerate(picked)],
-        F.count_if(where).alias("rows"),
-        F.count_if(where & (F.col(LABEL) == 1)).alias("positives"),
-        F.count_if(where & (F.col(LABEL) == 0)).alias("negatives"),
+        F.count("*").alias("rows"),
+        F.count_if(F.col(LABEL) == 1).alias("positives"),
+        F.count_if(F.col(LABEL) == 0).alias("negatives"),
     ]
 
 

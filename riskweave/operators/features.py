@@ -13,12 +13,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from riskweave.functions.scalar import day_of_week, is_night, is_weekend
-from riskweave.operators.ordered import SLICE, add_earlier_totals, quantiles, slice_by, span_columns
+from riskweave.operators.ordered import SLICE, add_earlier_totals, quantiles, slice_by
 from riskweave.schema import RATIO_EPSILON
 from riskweave.session import cut_lineage
 
@@ -44,16 +44,15 @@ def time_features(txns: DataFrame) -> DataFrame:
     )
 
 
-def sliced_rows(txns: DataFrame, slices: int | None = None, seen: Observation | None = None) -> DataFrame:
-    """The transactions in slices, written once; ``seen`` observes their ``span``."""
+def sliced_rows(txns: DataFrame, slices: int | None = None) -> DataFrame:
+    """The transactions in slices, written once."""
     units = F.floor("amount")
     summed = {
         "amount_units": F.coalesce(units, F.lit(0)),
         "amount_parts": F.coalesce(F.round((F.col("amount") - units) * PARTS).cast("long"), F.lit(0)),
         "amount_counted": F.col("amount").isNotNull().cast("long"),
     }
-    observed = None if seen is None else (seen, span_columns(TIME))
-    return slice_by(txns.withColumns(summed), CUSTOMER, TIME, ID, slices=slices, observed=observed)
+    return slice_by(txns.withColumns(summed), CUSTOMER, TIME, ID, slices=slices)
 
 
 def add_history(txns: DataFrame, columns: Sequence[str] = HISTORY, slices: int | None = None) -> DataFrame:

@@ -320,7 +320,7 @@ def standardize(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def fitted_moments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Mean and deviation of every model input, gathered by the job that writes the features."""
+    """Mean and deviation of every model input, gathered from the written features."""
     _, fitted = _fitted(spark, sf_dir)
     rows = [(n, fitted.scaling.means[n], fitted.scaling.deviations[n]) for n in fitted.encoding.names]
     return rounded(spark.createDataFrame(rows, "feature string, mean double, deviation double"), 6, "mean", "deviation")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskweave.operators.encode import Encoding, Scaling, fit_encoding_shares, moment_columns, scaling_of, weights_of
@@ -32,24 +32,23 @@ class Fitted:
 def write_and_fit(txns: DataFrame, path: str, slices: int | None = None, fill_from_all: bool = False) -> tuple[DataFrame, Fitted]:
     """Build the features once and write them by split part, fitting what later stages need on the way.
 
-    ``txns`` is read once. Its slices, written with their time range, give the cuts, the stand-in average and the category
-    counts, each from a column or two; moments and class sizes are observed while the features are written. The stand-in
+    ``txns`` is read once. Its written slices give the time range, the cuts, the stand-in average and the category counts, each
+    from a column or two; moments and class sizes come from the written training features. Nothing is observed by the writing
+    jobs: a session that holds observations cannot go out with a task, which some models' transforms need. The stand-in
     average comes from the training part, so no later amount reaches a feature, unless it is to come from all rows.
     """
     usable = keyed_rows(txns)
-    seen, gathered = Observation(), Observation()
-    rows = sliced_rows(usable, slices, seen)
-    span = seen.get
-    cuts = chronological_cuts(rows, known=(span["n"], span["low"], span["high"]))
+    rows = sliced_rows(usable, slices)
+    cuts = chronological_cuts(rows)
     in_train = cuts.column() == "train"
     fill = median_amount(rows if fill_from_all else rows.filter(in_train))
     encoding, shares = fit_encoding_shares(rows.filter(in_train))
     features = with_split(features_of(rows, usable.columns, fill, slices), cuts)
-    observed = features.observe(gathered, *moment_columns(encoding.numeric, F.col(SPLIT) == "train"))
-    observed.write.mode("overwrite").partitionBy(SPLIT).parquet(path)
-    moments = gathered.get
+    features.write.mode("overwrite").partitionBy(SPLIT).parquet(path)
+    table = txns.sparkSession.read.schema(features.schema).parquet(path)
+    moments = part(table, "train").agg(*moment_columns(encoding.numeric)).first()
     fitted = Fitted(cuts, fill, encoding, scaling_of(moments, encoding.numeric, shares), weights_of(moments["positives"], moments["negatives"]))
-    return txns.sparkSession.read.schema(features.schema).parquet(path), fitted
+    return table, fitted
 
 
 def write_features(txns: DataFrame, path: str, slices: int | None = None) -> DataFrame:
