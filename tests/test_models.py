@@ -116,6 +116,28 @@ def test_models_are_fitted_at_the_same_time(fitted, monkeypatch):
     assert list(again) == list(m.KINDS) and all(again[k].kind == k for k in again)
 
 
+@pytest.mark.parametrize("kind", [m.FOREST, m.BOOSTED])
+def test_trees_read_vectors_that_are_assembled_already(make, monkeypatch, kind):
+    """A boosted round reads all of its rows again, so only the weight is left to compute there."""
+    from riskweave.operators.features import build_features
+
+    train = build_features(make([{"is_fraud": i % 2, "amount": 10.0 + i} for i in range(40)]))
+    estimator, asked = m._estimator, []
+
+    class Seen:
+        def __init__(self, *args):
+            self.own = estimator(*args)
+
+        def fit(self, inputs):
+            asked.append(inputs._jdf.queryExecution().optimizedPlan().toString().partition("InMemoryRelation"))
+            return self.own.fit(inputs)
+
+    monkeypatch.setattr(m, "_estimator", Seen)
+    m.train_models(train, [kind], SMALL)
+    ((read, kept, _),) = asked
+    assert kept and "UDF" not in read and "input_0" not in read
+
+
 def test_training_needs_both_classes(make):
     from riskweave.operators.features import build_features
 
