@@ -255,8 +255,13 @@ def _blank(languages: list[str], rng: np.random.Generator) -> Model:
 
 
 def _start(model: Model, words: np.ndarray, found: np.ndarray, sizes: np.ndarray) -> None:
-    """The language model from its ``words`` (row, language), and the first embedding column from the texts with each row."""
-    model.language_rows = np.log((words + 1) / (words + 1).sum(0))
+    """The language model from its ``words`` (row, language), and the first embedding column from the texts with each row.
+
+    ``words`` becomes the language model in place: the driver has no room for copies of it.
+    """
+    words += 1
+    words /= words.sum(0)
+    model.language_rows = np.log(words, out=words)
     model.table[:, 0] = _log_odds(found, sizes)
     for f in model.filters.values():
         f[:, 0] = np.abs(f[:, 0])
@@ -320,6 +325,7 @@ def _fit_table(rows: DataFrame, seed: int) -> Model | None:
     for epoch in range(EPOCHS):
         _epoch(kept, model, seen, touched, [seed, epoch])
     model.table[~touched, 1:] = 0  # what training never moved is noise
+    del seen
     _calibrate(rows.filter("checked").select("text", "toxic"), model)
     return model
 
@@ -344,9 +350,12 @@ def _word_counts(kept: DataFrame, languages: list[str]) -> tuple[np.ndarray, np.
         yield pa.record_batch([pa.array(cell), pa.array(total[cell])], names=["cell", "n"])
 
     counted = kept.select("text", "lang", "toxic").mapInArrow(run, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
-    out = np.zeros(ROWS * width)
-    out[numbers(counted["cell"])] = numbers(counted["n"])
-    return np.split(out.reshape(ROWS, width), [len(languages)], axis=1)
+    (row, column), n = np.divmod(numbers(counted["cell"]), width), numbers(counted["n"])
+    words, found = np.zeros((ROWS, len(languages))), np.zeros((ROWS, 2))
+    of_words = column < len(languages)
+    words[row[of_words], column[of_words]] = n[of_words]
+    found[row[~of_words], column[~of_words] - len(languages)] = n[~of_words]
+    return words, found
 
 
 def _flat(arrays: Sequence[np.ndarray], last: float) -> np.ndarray:
@@ -356,7 +365,8 @@ def _flat(arrays: Sequence[np.ndarray], last: float) -> np.ndarray:
 def _epoch(kept: DataFrame, model: Model, seen: dict[int, np.ndarray], touched: np.ndarray, seed: Sequence[int]) -> None:
     """Every shard once through its texts from ``model``; then the mean of the changes, row by row over the shards that made some.
 
-    The small arrays are the last block, as rows of one number.
+    The small arrays are the last block, as rows of one number. Changes reach the driver as Arrow batches, which are read
+    where they lie: as rows they would be there several times over, in the JVM and here.
     """
     sent = kept.sparkSession.sparkContext.broadcast((replace(model, language_rows=None), [seen[id(a)] for a in _arrays(model)]))
 
@@ -408,11 +418,11 @@ def _epoch(kept: DataFrame, model: Model, seen: dict[int, np.ndarray], touched:
         return pa.table([t["block"].slice(0, 1), *[pa.array([x], pa.binary()) for x in (ids.tobytes(), *out)]], names=["block", "rows", "delta", "square"])
 
     schema = "block long, rows binary, delta binary, square binary"
-    changed = kept.select("shard", "text", "toxic").mapInArrow(run, schema).groupBy("block").applyInArrow(mean, schema).collect()
+    changed = kept.select("shard", "text", "toxic").mapInArrow(run, schema).groupBy("block").applyInArrow(mean, schema).toArrow()
     sent.destroy()
-    for r in changed:
-        rows, delta, square = (np.frombuffer(r[c], kind) for c, kind in (("rows", np.int64), ("delta", np.float32), ("square", np.float32)))
-        if r["block"] >= 0:
+    for block, *parts in zip(changed["block"].to_pylist(), changed["rows"], changed["delta"], changed["square"], strict=True):
+        rows, delta, square = (np.frombuffer(x.as_buffer(), kind) for x, kind in zip(parts, (np.int64, np.float32, np.float32), strict=True))
+        if block >= 0:
             model.table[rows] += delta.reshape(-1, WIDTH)
             seen[id(model.table)][rows] += square.reshape(-1, WIDTH)
             touched[rows] = True

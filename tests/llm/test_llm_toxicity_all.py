@@ -1,6 +1,7 @@
 """The toxicity model learns from every labelled text: rows, word counts, averaged shards, thresholds."""
 
 import random
+import tracemalloc
 
 import numpy as np
 import pyarrow as pa
@@ -89,3 +90,15 @@ def test_thresholds_equal_sorting_all_scores(spark):
     for g in found:
         z, y = (np.array([r[c] for r in rows if r[0] == g]) for c in (1, 2))
         assert found[g] == pytest.approx(toxicity._threshold(z, y))
+
+
+def test_language_model_takes_the_place_of_its_word_counts():
+    rng = np.random.default_rng(3)
+    words, found = rng.integers(0, 9, (toxicity.ROWS, 6)).astype(float), rng.integers(0, 9, (toxicity.ROWS, 2)).astype(float)
+    model, wanted = toxicity._blank(list("abcdef"), rng), np.log((words + 1) / (words + 1).sum(0))
+    tracemalloc.start()
+    toxicity._start(model, words, found, np.array([20, 10]))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert np.array_equal(model.language_rows, wanted)
+    assert peak < words.nbytes
