@@ -1,0 +1,541 @@
+"""Boosted trees out of binned rows: the trees of Spark's ``GBTClassifier``, with less work per round.
+
+A row is binned once, features of few bins sharing a byte; a round reads those bytes and the row's margin. A level of a tree
+is one job: tasks sum class counts, residuals and their squares per node and byte, and send sums per node, feature and bin,
+whose size follows from depth and bins alone. Of two siblings the smaller is summed, the other is what is left of the parent.
+Thresholds, samples of rows and features, gains and leaves follow ``GBTClassifier`` with its random numbers, so that a model is
+the same as from ``GBTClassifier.fit`` on the same partitions, up to the order of summation.
+"""
+
+from __future__ import annotations
+
+import gc
+import json
+import math
+from collections.abc import Iterator
+from dataclasses import dataclass, field
+from functools import cached_property, lru_cache
+
+import numpy as np
+import pyarrow as pa
+from pyspark import RDD, StorageLevel, TaskContext
+from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from riskweave.session import new_path, shared_folder
+
+# Codes that fit in a byte, and the unit of positives in a sum that counts rows and positives at once.
+CODES = 256
+POSITIVE = float(1 << 26)
+EPSILON = np.finfo(float).eps
+# Gains closer than this share of the impurity are the same split written in another way: the first one counts.
+TIE = 1e-10
+
+NODES = (
+    "treeID int, nodeData struct<id int, prediction double, impurity double, impurityStats array<double>, rawCount long, gain double, "
+    "leftChild int, rightChild int, split struct<featureIndex int, leftCategoriesOrThreshold array<double>, numCategories int>>"
+)
+
+# --- random numbers, as Spark draws them ---------------------------------------------------------
+
+_WORD, _LONG = 0xFFFFFFFF, 0xFFFFFFFFFFFFFFFF
+
+
+def _murmur(data: bytes, seed: int) -> int:
+    h = seed
+    for i in range(0, len(data), 4):
+        k = int.from_bytes(data[i : i + 4], "little") * 0xCC9E2D51 & _WORD
+        h ^= (k << 15 | k >> 17) * 0x1B873593 & _WORD
+        h = (h << 13 | h >> 19) & _WORD
+        h = h * 5 + 0xE6546B64 & _WORD
+    h ^= len(data)
+    h = (h ^ h >> 16) * 0x85EBCA6B & _WORD
+    h = (h ^ h >> 13) * 0xC2B2AE35 & _WORD
+    return h ^ h >> 16
+
+
+def _start(seed: int) -> int:
+    """First state of Spark's generator."""
+    data = (seed & _LONG).to_bytes(8, "big")
+    low = _murmur(data, 0x3C074A61)
+    return _murmur(data, low) << 32 | low
+
+
+def _step(x):
+    """Next state; of one number or of an array of them."""
+    x = x ^ (x << 21) & _LONG if isinstance(x, int) else x ^ (x << np.uint64(21))
+    x = x ^ (x >> 35 if isinstance(x, int) else x >> np.uint64(35))
+    return x ^ (x << 4) & _LONG if isinstance(x, int) else x ^ (x << np.uint64(4))
+
+
+def _applied(matrix: np.ndarray, states: np.ndarray) -> np.ndarray:
+    """States after a linear map of their bits; ``matrix`` has the image of each bit."""
+    out = np.zeros_like(states)
+    for i in range(64):
+        out ^= matrix[i] * (states >> np.uint64(i) & np.uint64(1))
+    return out
+
+
+@lru_cache(maxsize=64)
+def _jump(steps: int) -> np.ndarray:
+    """The map of so many steps."""
+    power, out = _step(np.uint64(1) << np.arange(64, dtype=np.uint64)), np.uint64(1) << np.arange(64, dtype=np.uint64)
+    while steps:
+        if steps & 1:
+            out = _applied(power, out)
+        power, steps = _applied(power, power), steps >> 1
+    return out
+
+
+def uniform(seed: int, n: int) -> np.ndarray:
+    """The first ``n`` numbers of Spark's generator. They follow one another, so stretches of them start from jumps ahead."""
+    lanes = 1 << max(0, min(10, n.bit_length() - 5))
+    length = -(-n // lanes)
+    states, jump = np.array([_start(seed)], np.uint64), _jump(2 * length)
+    while len(states) < lanes:
+        states, jump = np.concatenate([states, _applied(jump, states)]), _applied(jump, jump)
+    out = np.empty((length, lanes))
+    for row in out:
+        high = _step(states)
+        states = _step(high)
+        row[:] = (high & np.uint64((1 << 26) - 1)) * 2.0**27 + (states & np.uint64((1 << 27) - 1))
+    return out.T.ravel()[:n] * 2.0**-53
+
+
+def choose(k: int, n: int, seed: int) -> list[int]:
+    """``k`` of the numbers below ``n``, by reservoir sampling."""
+    chosen, state = list(range(min(k, n))), _start(seed)
+    for i in range(k, n):
+        high = _step(state)
+        state = _step(high)
+        at = int(((high & (1 << 26) - 1) * 2**27 + (state & (1 << 27) - 1)) * 2.0**-53 * (i + 1))
+        if at < k:
+            chosen[at] = i
+    return chosen
+
+
+def _longs(seed: int) -> Iterator[int]:
+    """Java's ``Random.nextLong``: the seeds of the nodes' features."""
+    x = (seed ^ 0x5DEECE66D) & (1 << 48) - 1
+    while True:
+        words = []
+        for _ in range(2):
+            x = x * 0x5DEECE66D + 0xB & (1 << 48) - 1
+            words.append((x >> 16) - (1 << 32 if x >> 47 else 0))
+        yield (words[0] << 32) + words[1]
+
+
+# --- bins ----------------------------------------------------------------------------------------
+
+
+def thresholds(values: np.ndarray, weights: np.ndarray, expected: float, rows: int, most: int) -> np.ndarray:
+    """At most ``most`` cuts of a feature into bins of about equal weight, out of a sample whose expected weight is given.
+
+    Zeros count as what the other values leave of that weight.
+    """
+    found, place = np.unique(values[values != 0.0], return_inverse=True)
+    counts = np.bincount(place, weights=weights[values != 0.0], minlength=len(found))
+    if not len(found):
+        return np.empty(0)
+    zeros = expected - counts.sum()
+    if zeros > EPSILON * rows * 100:
+        at = np.searchsorted(found, 0.0)
+        found, counts = np.insert(found, at, 0.0), np.insert(counts, at, zeros)
+    middles = (found[:-1] + found[1:]) / 2
+    if len(middles) <= most:
+        return middles
+    cuts, stride = [], expected / (most + 1)
+    target, sums = stride, np.cumsum(counts)
+    for before, now, middle in zip(sums[:-1], sums[1:], middles, strict=True):
+        if abs(before - target) < abs(now - target):
+            cuts.append(middle)
+            target += stride
+    return np.array(cuts)
+
+
+@dataclass(frozen=True)
+class Bins:
+    """Thresholds of every feature. Features whose numbers of bins multiply to a byte's codes at most are coded together."""
+
+    cuts: tuple[np.ndarray, ...]
+
+    @cached_property
+    def sizes(self) -> list[int]:
+        return [len(c) + 1 for c in self.cuts]
+
+    @cached_property
+    def groups(self) -> list[list[int]]:
+        out: list[list[int]] = []
+        for f in sorted((f for f, n in enumerate(self.sizes) if n > 1), key=lambda f: -self.sizes[f]):
+            fitting = (g for g in out if math.prod(self.sizes[k] for k in [*g, f]) <= CODES)
+            if (group := next(fitting, None)) is not None:
+                group.append(f)
+            else:
+                out.append([f])
+        return out or [[0]]  # sums need a group, if only of one code
+
+    @cached_property
+    def grid(self) -> np.ndarray:
+        """Place of each feature's bins, filled up with the place after all."""
+        at = np.arange(max(self.sizes))
+        return np.where(at < np.array(self.sizes)[:, None], np.array(self.begins[:-1])[:, None] + at, self.begins[-1])
+
+    @cached_property
+    def place(self) -> dict[int, tuple[int, int]]:
+        """Group and stride of each feature that has splits."""
+        return {f: (k, math.prod(self.sizes[x] for x in g[:i])) for k, g in enumerate(self.groups) for i, f in enumerate(g)}
+
+    @cached_property
+    def begins(self) -> list[int]:
+        """Place of each feature's first bin among all bins."""
+        return [0, *np.cumsum(self.sizes).tolist()]
+
+    def codes(self, x: np.ndarray) -> np.ndarray:
+        out = np.zeros((len(self.groups), len(x)), np.uint8)
+        for f, (k, stride) in self.place.items():
+            out[k] += (np.searchsorted(self.cuts[f], x[:, f]) * stride).astype(np.uint8)
+        return out
+
+    def left(self, f: int, cut: int) -> tuple[int, np.ndarray]:
+        """Group of a feature, and which of its codes are at most ``cut``."""
+        k, stride = self.place[f]
+        return k, np.arange(CODES) // stride % self.sizes[f] <= cut
+
+    def per_bin(self, by_code: np.ndarray) -> np.ndarray:
+        """Sums per bin of every feature out of sums per code: the last two axes are groups and codes."""
+        out = np.zeros((*by_code.shape[:-2], self.begins[-1]))
+        for f, (k, stride) in self.place.items():
+            n, begin = self.sizes[f], self.begins[f]
+            whole = by_code[..., k, : CODES // (stride * n) * stride * n]
+            out[..., begin : begin + n] = whole.reshape(*whole.shape[:-1], -1, n, stride).sum(axis=(-3, -1))
+        return out
+
+
+# --- rows of a partition -------------------------------------------------------------------------
+
+
+@dataclass
+class Block:
+    """A partition's rows: codes by group, class, margin (half the log-odds), and which are in the round's sample (as bits)."""
+
+    part: int
+    codes: np.ndarray
+    positive: np.ndarray
+    margin: np.ndarray
+    sample: np.ndarray
+
+    def parts(self, codes: np.ndarray, splits: dict[int, tuple[int, np.ndarray]], wanted: set[int]) -> dict[int, np.ndarray | None]:
+        """Places of the rows that reach each wanted node; None: all. Nodes count from 1, children of i are 2 i and 2 i + 1."""
+        above = {n >> k for n in wanted for k in range(1, n.bit_length())}
+        at: dict[int, np.ndarray | None] = {1: None}
+        for node in sorted(above):
+            k, left = splits[node]
+            rows = at.pop(node)
+            goes = left.take(codes[k] if rows is None else codes[k].take(rows))
+            for child, here in ((2 * node, goes), (2 * node + 1, ~goes)):
+                if child in wanted or child in above:
+                    found = np.flatnonzero(here)
+                    at[child] = found if rows is None else rows.take(found)
+        return at
+
+    def advanced(self, tree: Tree | None, rate: float, share: float, seed: int) -> Block:
+        """After a round: its tree's part of the margin added, and the sample of the next round drawn."""
+        margin = self.margin
+        if tree is not None:
+            margin = margin.copy()
+            for node, rows in self.parts(self.codes, tree.splits, set(tree.leaves)).items():
+                margin[slice(None) if rows is None else rows] += rate * tree.leaves[node]
+        n = len(margin)
+        sample = np.ones(n, bool) if share >= 1 else uniform(seed + self.part + 1, n) < share
+        return Block(self.part, self.codes, self.positive, margin, np.packbits(sample))
+
+    def sums(self, bins: Bins, splits: dict, wanted: list[int], weights: tuple[float, float], first: bool) -> np.ndarray:
+        """(4, nodes, bins): negatives, positives, residuals and squared residuals, both times the row's weight."""
+        rows = np.flatnonzero(np.unpackbits(self.sample, count=len(self.margin)))
+        codes, positive = self.codes.take(rows, axis=1), self.positive.take(rows)
+        sign = np.where(positive, 1.0, -1.0)
+        pull = sign if first else 4 * sign / (1 + np.exp(2 * sign * self.margin.take(rows)))
+        weighted = np.where(positive, weights[1], weights[0]) * pull
+        values = [np.where(positive, POSITIVE, 1.0), weighted, weighted * pull]
+        out = np.zeros((4, len(wanted), len(codes), CODES))
+        at = self.parts(codes, splits, set(wanted))
+        for i, node in enumerate(wanted):
+            here = at[node]
+            picked = values if here is None else [v.take(here) for v in values]
+            for k, own in enumerate(codes):
+                own = (own if here is None else own.take(here)).astype(np.intp)
+                counts, *others = (np.bincount(own, v, CODES) for v in picked)
+                out[1, i, k], out[0, i, k] = np.divmod(counts, POSITIVE)
+                out[2:, i, k] = others
+        return bins.per_bin(out)
+
+
+# --- trees ---------------------------------------------------------------------------------------
+
+
+@dataclass
+class Node:
+    weight: float
+    total: float
+    squares: float
+    rows: int
+    one_class: bool
+    looked_at: bool = False
+    gain: float = -1.0
+    feature: int = -1
+    threshold: float = 0.0
+
+    @property
+    def prediction(self) -> float:
+        return self.total / self.weight
+
+    @property
+    def impurity(self) -> float:
+        return _impurity(self.weight, self.total, self.squares)
+
+
+def _impurity(weight, total, squares):
+    return (squares - total * total / weight) / weight
+
+
+@dataclass
+class Tree:
+    """Nodes by number; for rows that walk down, the codes that go left per inner node and the prediction per leaf."""
+
+    nodes: dict[int, Node] = field(default_factory=dict)
+    splits: dict[int, tuple[int, np.ndarray]] = field(default_factory=dict)
+
+    @cached_property
+    def leaves(self) -> dict[int, float]:
+        return {n: x.prediction for n, x in self.nodes.items() if n not in self.splits}
+
+    def merged(self) -> set[int]:
+        """Inner nodes that end as leaves, since all leaves below them say the same."""
+        out: set[int] = set()
+        for n in sorted(self.splits, reverse=True):
+            below = [c for c in (2 * n, 2 * n + 1) if c not in self.splits or c in out]
+            if len(below) == 2 and self.nodes[2 * n].prediction == self.nodes[2 * n + 1].prediction:
+                out.add(n)
+        return out
+
+    def rows(self, number: int) -> list[tuple]:
+        """Rows of ``NODES``, numbered from the root down, left first."""
+        ends, order, stack = self.merged(), [], [1]
+        while stack:
+            order.append(n := stack.pop())
+            if n in self.splits and n not in ends:
+                stack += [2 * n + 1, 2 * n]
+        ids, out = {n: i for i, n in enumerate(order)}, []
+        for n in order:
+            x = self.nodes[n]
+            inner = 2 * n in ids
+            split = (x.feature, [x.threshold], -1) if inner else (-1, [], -1)
+            stats = [float(x.weight), float(x.total), float(x.squares)]
+            shape = (ids[2 * n], ids[2 * n + 1]) if inner else (-1, -1)
+            # Spark's own mark of a node without any split that leaves enough rows on both sides
+            impurity = -1.0 if x.looked_at and n not in self.splits else float(x.impurity)
+            out.append((number, (ids[n], float(x.prediction), impurity, stats, x.rows, float(x.gain) if inner else -1.0, *shape, split)))
+        return out
+
+
+class BoostedTrees:
+    """Fits the model that ``settings`` describe; a row's weight follows from its class."""
+
+    def __init__(self, settings: GBTClassifier):
+        self.settings = settings
+
+    def fit(self, inputs: DataFrame) -> GBTClassificationModel:
+        """``inputs`` has feature vector, label (0 or 1) and weight; it is read three times."""
+        s, spark = self.settings, inputs.sparkSession
+        rows = inputs.select(F.col(s.getFeaturesCol()).alias("features"), F.col(s.getLabelCol()).alias("label"), F.col(s.getWeightCol()).alias("weight"))
+        shared_folder(spark)
+        weights, sizes = _classes(rows)
+        bins = _bins(rows, weights, sizes, s.getMaxBins(), s.getSeed())
+        state = _blocks(rows, bins)
+        trees: list[Tree] = []
+        old, saved = [state], []
+        try:
+            for m in range(s.getMaxIter()):
+                tree, rate = trees[-1] if trees else None, 1.0 if m == 1 else s.getStepSize()
+                state = _advanced(state, tree, rate, s.getSubsamplingRate(), s.getSeed() + m)
+                if m and m % s.getCheckpointInterval() == 0:
+                    state.checkpoint()  # else every task carries the steps of all rounds before
+                    saved.append(state)
+                old.append(state)
+                trees.append(self._tree(state, bins, weights, m))
+                while len(old) > 1:
+                    old.pop(0).unpersist()
+                while len(saved) > 1:
+                    _forget(saved.pop(0))
+        finally:
+            for kept in old:
+                kept.unpersist()
+            for kept in saved:
+                _forget(kept)
+        return self._model(spark, trees, len(bins.cuts))
+
+    def _tree(self, state: RDD, bins: Bins, weights: tuple[float, float], m: int) -> Tree:
+        s = self.settings
+        seeds, count = _longs(s.getSeed() + m), _subset(s.getFeatureSubsetStrategy(), len(bins.cuts))
+        tree, known, level = Tree(), {}, [1]
+        for depth in range(max(s.getMaxDepth(), 1)):
+            known = _level_sums(state, bins, tree, level, known, weights, m == 0)
+            if not depth:
+                f = bins.groups[0][0]
+                tree.nodes[1] = _node(known[1][:, bins.begins[f] : bins.begins[f + 1]].sum(axis=1), weights)
+            if not s.getMaxDepth():
+                break
+            nexts = []
+            for node in level:
+                features = choose(count, len(bins.cuts), next(seeds)) if count < len(bins.cuts) else list(range(len(bins.cuts)))
+                tree.nodes[node].looked_at = True
+                if (found := best_split(known[node], bins, features, weights, s.getMinInstancesPerNode())) is None:
+                    continue
+                x, (x.feature, cut, x.gain, *children) = tree.nodes[node], found
+                x.threshold = float(bins.cuts[x.feature][cut])
+                tree.splits[node] = bins.left(x.feature, cut)
+                for child, own in zip((2 * node, 2 * node + 1), children, strict=True):
+                    tree.nodes[child] = own
+                    # all pull alike: rows of one class in the first round, else by the variance, as ``GBTClassifier`` tells it
+                    if not own.one_class if m == 0 else abs(own.impurity) >= EPSILON:
+                        nexts.append(child)
+            # the last one pushed is the next one taken
+            level = nexts[::-1]
+            if not level:
+                break
+        return tree
+
+    def _model(self, spark: SparkSession, trees: list[Tree], features: int) -> GBTClassificationModel:
+        """The trees in the form that Spark saves a model in, read as one."""
+        path = new_path(spark, "boosted")
+        self.settings.write().save(f"{path}/settings")
+        said = json.loads(spark.read.text(f"{path}/settings/metadata", wholetext=True).first()["value"])
+        shared = ("cacheNodeIds", "featuresCol", "labelCol", "maxDepth", "maxMemoryInMB", "minInstancesPerNode", "seed", "weightCol")
+        own = {k: v for k, v in said["paramMap"].items() if k in shared}
+        kind = "org.apache.spark.ml.regression.DecisionTreeRegressionModel"
+        about = [json.dumps({**said, "class": kind, "uid": f"dtr_{i:012x}", "paramMap": own, "defaultParamMap": {}}) for i in range(len(trees))]
+        rates = [1.0, *[self.settings.getStepSize()] * (len(trees) - 1)]
+        whole = {**said, "class": "org.apache.spark.ml.classification.GBTClassificationModel", "numFeatures": features, "numTrees": len(trees)}
+        spark.createDataFrame([(json.dumps(whole),)], "value string").coalesce(1).write.text(f"{path}/model/metadata")
+        spark.createDataFrame([*zip(range(len(trees)), about, rates, strict=True)], "_1 int, _2 string, _3 double").coalesce(1).write.parquet(f"{path}/model/treesMetadata")
+        nodes = [row for i, tree in enumerate(trees) for row in tree.rows(i)]
+        spark.createDataFrame(nodes, NODES).coalesce(1).write.parquet(f"{path}/model/data")
+        return GBTClassificationModel.load(f"{path}/model")
+
+
+def _forget(state: RDD) -> None:
+    """Delete the files of a state that no later one is computed from."""
+    if file := state.getCheckpointFile():
+        path = state.ctx._jvm.org.apache.hadoop.fs.Path(file)
+        path.getFileSystem(state.ctx._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def _classes(rows: DataFrame) -> tuple[tuple[float, float], tuple[int, int]]:
+    """Weight of a negative and of a positive row, and how many there are of each."""
+    found = rows.groupBy("label").agg(F.count("*").alias("n"), F.min("weight").alias("low"), F.max("weight").alias("high")).limit(3).collect()
+    if any(r["label"] not in (0.0, 1.0) or r["low"] != r["high"] for r in found):
+        raise ValueError("labels are 0 or 1, and a class has one weight")
+    by_label = {r["label"]: (r["low"], r["n"]) for r in found}
+    negative, positive = by_label.get(0.0, (1.0, 0)), by_label.get(1.0, (1.0, 0))
+    return (negative[0], positive[0]), (negative[1], positive[1])
+
+
+def _bins(rows: DataFrame, weights: tuple[float, float], sizes: tuple[int, int], most: int, seed: int) -> Bins:
+    """Thresholds out of ``GBTClassifier``'s own sample of the rows, some ten thousand of them."""
+    if most > CODES:
+        raise ValueError(f"at most {CODES} bins")
+    spark, n = rows.sparkSession, sum(sizes)
+    share, total = min(1.0, max(most * most, 10_000) / n), weights[0] * sizes[0] + weights[1] * sizes[1]
+    sampled = rows.select("features", "weight")
+    if share < 1:
+        state = _step(_start(seed)) & _WORD
+        drawn = sampled._jdf.javaRDD().sample(False, share, state - (1 << 32 if state >> 31 else 0))
+        sampled = DataFrame(spark._jsparkSession.createDataFrame(drawn, sampled._jdf.schema()), spark)
+    found = sampled.select(vector_to_array("features").alias("x"), "weight").toPandas()
+    x, own = np.stack(found["x"].to_numpy()), found["weight"].to_numpy()
+    splits = min(most, n) - 1
+    return Bins(tuple(thresholds(x[:, f], own, share * total, n, splits) for f in range(x.shape[1])))
+
+
+def _blocks(rows: DataFrame, bins: Bins) -> RDD:
+    """A block per partition, at most as many tasks as run at once."""
+
+    def coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codes, positive = [], []
+        for batch in batches:
+            if batch.num_rows:
+                codes.append(bins.codes(batch.column(0).flatten().to_numpy().reshape(batch.num_rows, -1)))
+                positive.append(batch.column(1).to_numpy() == 1)
+        if codes:
+            labels = np.concatenate(positive)
+            found = [[TaskContext.get().partitionId()], [len(labels)], [np.concatenate(codes, axis=1).tobytes()], [np.packbits(labels).tobytes()]]
+            yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(found, (pa.int32(), pa.int64(), pa.binary(), pa.binary()), strict=True)], ["part", "n", "codes", "positive"])
+
+    def block(row) -> Block:
+        codes = np.frombuffer(row["codes"], np.uint8).reshape(-1, row["n"])
+        positive = np.unpackbits(np.frombuffer(row["positive"], np.uint8), count=row["n"]).astype(bool)
+        return Block(row["part"], codes, positive, np.zeros(row["n"]), np.empty(0, np.uint8))
+
+    found = rows.select(vector_to_array("features"), "label").mapInArrow(coded, "part int, n long, codes binary, positive binary").rdd.map(block)
+    tasks = rows.sparkSession.sparkContext.defaultParallelism
+    return found.coalesce(tasks) if found.getNumPartitions() > tasks else found
+
+
+def _advanced(state: RDD, tree: Tree | None, rate: float, share: float, seed: int) -> RDD:
+    return state.map(lambda block: block.advanced(tree, rate, share, seed)).persist(StorageLevel.MEMORY_AND_DISK)
+
+
+def _level_sums(state: RDD, bins: Bins, tree: Tree, level: list[int], known: dict[int, np.ndarray], weights: tuple[float, float], first: bool) -> dict[int, np.ndarray]:
+    """Sums per bin of the nodes of a level: of a pair of siblings the smaller is counted."""
+    counted = [n for n in level if n == 1 or (tree.nodes[n].rows, n) <= (tree.nodes[n ^ 1].rows, n ^ 1)]
+    counted += [n ^ 1 for n in level if n not in counted and n ^ 1 not in counted]
+    splits = tree.splits
+
+    def summed(blocks: Iterator[Block]) -> Iterator[np.ndarray]:
+        if not gc.get_freeze_count():
+            gc.freeze()  # else a worker looks through all of its modules after every task
+        out = 0
+        for block in blocks:
+            out = out + block.sums(bins, splits, counted, weights, first)
+        if isinstance(out, np.ndarray):
+            yield out
+
+    total = sum(state.mapPartitions(summed).collect())
+    found = {n: total[:, i] for i, n in enumerate(counted)}
+    return {n: found[n] if n in found else known[n >> 1] - found[n ^ 1] for n in level}
+
+
+def _subset(strategy: str, features: int) -> int:
+    """Features that a node may split on."""
+    return features if strategy in ("auto", "all") else math.ceil(float(strategy) * features)
+
+
+def _node(sums: np.ndarray, weights: tuple[float, float]) -> Node:
+    """A node out of its (negatives, positives, residuals, squared residuals)."""
+    negatives, positives, total, squares = sums.tolist()
+    weight = weights[0] * negatives + weights[1] * positives
+    return Node(weight, total, squares, int(negatives + positives), not negatives or not positives)
+
+
+def best_split(sums: np.ndarray, bins: Bins, features: list[int], weights: tuple[float, float], least: int) -> tuple | None:
+    """(feature, bin, gain, left, right) of the split that lowers the variance most; None without gain."""
+    features = [f for f in features if bins.sizes[f] > 1]
+    if not features:
+        return None
+    own = np.pad(sums, ((0, 0), (0, 1)))[:, bins.grid[features]]
+    left, right = np.cumsum(own, axis=2), np.cumsum(own[:, :, ::-1], axis=2)[:, :, ::-1] - own
+    whole = left[:, :1, -1:]
+    rows = np.minimum(left[0] + left[1], right[0] + right[1])
+    cut = np.arange(left.shape[2]) < np.array(bins.sizes)[features, None] - 1
+    weight, heavy, both = (weights[0] * s[0] + weights[1] * s[1] for s in (left, right, whole))
+    with np.errstate(divide="ignore", invalid="ignore"):
+        impurity = _impurity(both, whole[2], whole[3])
+        gain = impurity - weight / both * _impurity(weight, left[2], left[3]) - heavy / both * _impurity(heavy, right[2], right[3])
+    gain = np.where(cut & (rows >= least), gain, -np.inf)
+    best = gain.max()
+    if not best > 0:
+        return None
+    at, b = np.argwhere(gain >= best - TIE * abs(impurity.item()))[0].tolist()
+    return features[at], b, float(gain[at, b]), _node(left[:, at, b], weights), _node(right[:, at, b], weights)

@@ -1,0 +1,99 @@
+"""Boosted trees are those of Spark's own trainer, out of one stage per level."""
+
+import numpy as np
+import pytest
+from pyspark.ml.classification import GBTClassifier
+from pyspark.ml.functions import array_to_vector
+from pyspark.sql import functions as F
+
+from riskweave.operators import boosting as b
+from riskweave.operators import models as m
+from riskweave.schema import LABEL
+
+COLUMNS = {"featuresCol": m.FEATURES, "labelCol": LABEL, "weightCol": m.WEIGHT}
+FULL = {k: v for k, v in m.SETTINGS[m.BOOSTED].items() if k not in ("maxIter", "maxDepth")}
+
+
+def rows(spark, n, parts):
+    """Numbers of many and of few values, flags, and a constant; labels follow some of them, positives weigh more."""
+    x = [F.pmod(F.xxhash64("id", F.lit(i)), F.lit(k)).cast("double") for i, k in enumerate((100_003, 9_973, 500, 24, 7, 2, 2, 2, 2, 1))]
+    label = (x[0] / 100_003 + x[3] / 24 + x[5] / 3 + F.pmod(F.xxhash64("id", F.lit(99)), F.lit(1000)) / 700 > 2.4).cast("double")
+    weight = F.when(label == 1, 3.7).otherwise(1.0).alias(m.WEIGHT)
+    return spark.range(0, n, 1, parts).select(array_to_vector(F.array(x[0] - 50_000, *x[1:])).alias(m.FEATURES), label.alias(LABEL), weight).cache()
+
+
+def saved(model, spark, path):
+    model.write().save(path)
+    found = spark.read.parquet(f"{path}/data").orderBy("treeID", "nodeData.id").select("treeID", "nodeData.*").collect()
+    shape = [(r["treeID"], r["id"], r["leftChild"], r["rightChild"], r["rawCount"], r["split"]["featureIndex"]) for r in found]
+    numbers = [(r["prediction"], r["impurity"], r["gain"], *r["impurityStats"], *r["split"]["leftCategoriesOrThreshold"]) for r in found]
+    return shape, [x for row in numbers for x in row]
+
+
+def test_random_numbers_are_sparks(spark):
+    for n in (1, 33, 5_000):
+        assert b.uniform(43, n).tolist() == [r[0] for r in spark.range(0, n, 1, 1).select(F.rand(43)).collect()]
+
+
+@pytest.mark.parametrize("n, parts", [(900, 3), (30_000, 5)])
+def test_trees_are_those_of_sparks_trainer(spark, tmp_path, n, parts):
+    """With all rows as the sample of the thresholds, and with a third of them."""
+    inputs = rows(spark, n, parts)
+    settings = GBTClassifier(**COLUMNS, **FULL, maxIter=5, maxDepth=4)
+    shape, numbers = saved(settings.fit(inputs), spark, str(tmp_path / "spark"))
+    own = m._estimator(m.BOOSTED, n, {**FULL, "maxIter": 5, "maxDepth": 4}).fit(inputs)
+    own_shape, own_numbers = saved(own, spark, str(tmp_path / "own"))
+    assert own_shape == shape and len(shape) > 100
+    assert own_numbers == pytest.approx(numbers, rel=1e-6, abs=1e-9)
+    assert own.treeWeights == [1.0, 0.05, 0.05, 0.05, 0.05] and own.numFeatures == 10
+
+
+def test_a_round_is_one_stage_per_level(spark):
+    inputs, used = rows(spark, 2_000, 2), []
+    inputs.count()
+    for rounds in (2, 5):
+        group = f"boosting-{rounds}"
+        spark.sparkContext.setJobGroup(group, group)
+        try:
+            m._estimator(m.BOOSTED, 2_000, {**FULL, "maxIter": rounds, "maxDepth": 3}).fit(inputs)
+        finally:
+            spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        tracker = spark.sparkContext.statusTracker()
+        used.append(sum(len(tracker.getJobInfo(j).stageIds) for j in tracker.getJobIdsForGroup(group)))
+    assert used[1] - used[0] == 3 * 3
+
+
+def test_states_are_saved_on_the_way_and_deleted(spark):
+    """After more rounds than the interval, with rows in fewer partitions than blocks are coalesced to, and one of them empty."""
+    inputs = rows(spark, 400, 3).filter(F.col(m.FEATURES).isNotNull()).union(rows(spark, 400, 3).limit(0))
+    model = m._estimator(m.BOOSTED, 400, {**FULL, "maxIter": 23, "maxDepth": 2, "checkpointInterval": 10}).fit(inputs)
+    assert len(model.treeWeights) == 23
+
+
+def test_constant_features_and_depth_zero_give_leaves(spark):
+    one = spark.createDataFrame([(1.0, 0.0), (1.0, 1.0), (1.0, 1.0), (1.0, 1.0)], f"x double, {LABEL} double")
+    inputs = one.select(array_to_vector(F.array("x", F.lit(2.0))).alias(m.FEATURES), LABEL, F.lit(1.0).alias(m.WEIGHT))
+    for depth in (0, 3):
+        model = m._estimator(m.BOOSTED, 4, {**FULL, "maxIter": 1, "maxDepth": depth, "subsamplingRate": 1.0}).fit(inputs)
+        assert model.totalNumNodes == 1 and "Predict: 0.5" in model.toDebugString
+
+
+def test_a_class_with_two_weights_is_refused(spark):
+    inputs = rows(spark, 50, 1).withColumn(m.WEIGHT, F.rand(1))
+    with pytest.raises(ValueError, match="one weight"):
+        m._estimator(m.BOOSTED, 50, {**FULL, "maxIter": 1, "maxDepth": 1}).fit(inputs)
+
+
+def test_sums_per_bin_of_codes_that_share_a_byte():
+    rng = np.random.default_rng(1)
+    bins = b.Bins(tuple(np.arange(k) + 0.5 for k in (30, 6, 2, 1, 1, 0, 1)))
+    x = np.stack([rng.integers(0, n, 500) for n in bins.sizes], axis=1).astype(float)
+    codes = bins.codes(x)
+    assert len(codes) < x.shape[1]
+    found = bins.per_bin(np.stack([np.bincount(c, minlength=b.CODES) for c in codes])[None].astype(float))[0]
+    for f, n in enumerate(bins.sizes):
+        want = np.bincount(x[:, f].astype(int), minlength=n) if n > 1 else [0]
+        assert found[bins.begins[f] : bins.begins[f + 1]].tolist() == list(want)
+        for cut in range(n - 1):
+            k, left = bins.left(f, cut)
+            assert (left[codes[k]] == (x[:, f] <= cut)).all()
